@@ -44,4 +44,5 @@ def _load_all() -> None:
     # Import for the registration side effect.
     from gleaner.plans import (  # noqa: F401
         pages_plans,
+        text_plans,
     )
