@@ -1,9 +1,9 @@
 """HTML column functions: page text (H1) and link extraction (H2).
 
 Everything is a chain of JVM regex expressions so it stays inside whole-stage
-codegen.  The only Python is ``_unescape_rare``: it sees the (already
-tag-stripped) text of the few rows that hold an entity outside the common
-set, and null for every other row, so the Arrow transfer is near-empty.
+codegen.  The only Python is the rare-entity decoder: it sees the few rows
+that hold a character reference outside the common set, and null for every
+other row, so the Arrow transfer is near-empty.
 """
 
 from __future__ import annotations
@@ -121,3 +121,49 @@ def link_hrefs(html: Column) -> Column:
     """H2: array of truthy href values of <a> tags, DOM order, duplicates kept."""
     hrefs = F.transform(anchor_tags(html), href_of_tag)
     return F.filter(hrefs, lambda h: h != "")
+
+
+# Decoding a whole page before parsing it: characters that would read as
+# markup ('<' '>' '"' "'") are parked on private-use code points and put back
+# per text node with ``restore_markup_chars``.
+_PARKED = {"<": "\ue001", ">": "\ue002", '"': "\ue003", "'": "\ue004"}
+_PARKED_ENTITIES = [
+    ("&lt;", _PARKED["<"]),
+    ("&gt;", _PARKED[">"]),
+    ("&quot;", _PARKED['"']),
+    ("&#39;", _PARKED["'"]),
+    ("&apos;", _PARKED["'"]),
+    ("&nbsp;", " "),
+    ("&copy;", "©"),
+    ("&middot;", "·"),
+    ("&amp;", "&"),
+]
+_CHARREF = None
+
+
+def _unescape_parked_py(s: str) -> str:
+    global _CHARREF
+    import re
+
+    if _CHARREF is None:
+        _CHARREF = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
+    table = str.maketrans(_PARKED)
+    return _CHARREF.sub(lambda m: _html.unescape(m.group(0)).translate(table), s)
+
+
+@F.pandas_udf(T.StringType())
+def _unescape_parked(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: None if v is None else _unescape_parked_py(v))
+
+
+def decode_entities_keep_markup(html: Column) -> Column:
+    """Entities decoded once over a whole page, markup characters parked."""
+    fast = html
+    for ent, ch in _PARKED_ENTITIES:
+        fast = F.replace(fast, F.lit(ent), F.lit(ch))
+    rare = F.regexp_replace(html, _COMMON_ENTITY_RE, "").rlike("&[#A-Za-z]")
+    return F.coalesce(_unescape_parked(F.when(rare, html)), fast)
+
+
+def restore_markup_chars(text: Column) -> Column:
+    return F.translate(text, "".join(_PARKED.values()), "".join(_PARKED.keys()))

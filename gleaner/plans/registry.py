@@ -45,4 +45,5 @@ def _load_all() -> None:
     from gleaner.plans import (  # noqa: F401
         pages_plans,
         text_plans,
+        record_plans,
     )

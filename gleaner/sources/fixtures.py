@@ -9,7 +9,7 @@ expected answer from the same source columns.  Each builder is a narrow map
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as TX
@@ -43,3 +43,56 @@ def project_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(t))
     return c.select(F.col("doc_id").alias("query_no"), q.alias("query"),
                     F.col("project_id").alias("source_id"))
+
+
+def _dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation x region: fixed-size dimension tables (25 x 5 rows at every
+    scale), so broadcasting them is bounded by construction."""
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+        "n_nationkey", "n_name", "r_name")
+
+
+def _div_pair(label: str, value: Column) -> Column:
+    return F.concat(F.lit(f'<div><span class="name">{label}</span><span class="value">'),
+                    value, F.lit("</span></div>"))
+
+
+def record_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Project record pages built from ``supplier`` joined to its nation and
+    region.  Optional parts depend on the row: a title only for
+    non-negative balances; a second applicant above 5000; a second
+    institution for even nation keys; a project-number override below 1000.
+    Every page repeats the 'Fach' label (last wins), carries a label with
+    two colons, and a label without value."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    d = _dims(spark, sf_dir)
+    j = s.join(F.broadcast(d), s.s_nationkey == d.n_nationkey, "left")
+    name, nation, region = F.col("s_name"), F.coalesce("n_name", F.lit("")), F.coalesce("r_name", F.lit(""))
+    key = F.col("s_suppkey").cast("string")
+    opt = lambda cond, html: F.when(cond, html).otherwise(F.lit(""))
+    html = F.concat(
+        F.lit("<!DOCTYPE html><html><head><title>GEPRIS</title></head><body>"),
+        F.lit('<div class="details">'),
+        opt(F.col("s_acctbal") >= 0,
+            F.concat(F.lit('<h1 class="facelift">'), name, F.lit("<br>"), nation, F.lit("</h1>"))),
+        F.lit('<div class="firstUnderAntragsbeteiligte"><span class="name">Antragsteller:</span>'
+              '<span class="value">'), name, F.lit("</span></div>"),
+        opt(F.col("s_acctbal") > 5000, _div_pair("Antragstellerin:", F.concat(F.lit("Dr. "), nation))),
+        _div_pair("Beteiligte Institution:", F.concat(F.lit("Uni <b>"), nation, F.lit("</b>"))),
+        opt(F.pmod(F.col("s_nationkey"), F.lit(2)) == 0,
+            _div_pair("Antragstellende Institution:", F.concat(region, F.lit(" &amp; Co")))),
+        F.lit('<div class="projektnummer"><span class="name">Projektnummer:</span><span class="value">'),
+        key, F.lit("</span></div>"),
+        F.lit('<div><span class="name">Kontostand:</span></div>'),
+        F.lit("</div>"),
+        F.lit('<div id="projekttext">Lieferant <i>'), key, F.lit("</i> aus "), nation, F.lit("</div>"),
+        F.lit('<div id="projektbeschreibung">'),
+        _div_pair("Fach:", region),
+        _div_pair("Fach:", nation),
+        _div_pair("Land::", F.concat(F.lit(" "), nation, F.lit(" "))),
+        opt(F.col("s_acctbal") < 1000, _div_pair("Projektnummer:", F.concat(F.lit("X-"), key))),
+        F.lit("</div></body></html>"),
+    )
+    return j.select(F.col("s_suppkey").alias("doc_id"), html.alias("html"))
