@@ -46,4 +46,5 @@ def _load_all() -> None:
         pages_plans,
         text_plans,
         record_plans,
+        xml_plans,
     )
