@@ -47,4 +47,5 @@ def _load_all() -> None:
         text_plans,
         record_plans,
         xml_plans,
+        match_plans,
     )
