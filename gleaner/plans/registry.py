@@ -48,4 +48,5 @@ def _load_all() -> None:
         record_plans,
         xml_plans,
         match_plans,
+        crawl_plans,
     )

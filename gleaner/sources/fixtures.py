@@ -96,3 +96,58 @@ def record_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</div></body></html>"),
     )
     return j.select(F.col("s_suppkey").alias("doc_id"), html.alias("html"))
+
+
+# Addresses of the order/part link graph.
+SHOP_BASE = "https://shop.example"
+
+
+def link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst) links between order and part pages from ``lineitem``: an
+    order page links to its parts and a part page to its orders."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    order_url = F.concat(F.lit(SHOP_BASE + "/order/"), F.col("l_orderkey").cast("string"))
+    part_url = F.concat(F.lit(SHOP_BASE + "/part/"), F.col("l_partkey").cast("string"))
+    return (li.select(order_url.alias("src"), part_url.alias("dst"))
+            .unionByName(li.select(part_url.alias("src"), order_url.alias("dst"))))
+
+
+def crawl_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seed list -- the pages of the orders placed on the first
+    order date.  The date is a one-row aggregate, joined by broadcast."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    first = o.agg(F.min("o_orderdate").alias("o_orderdate"))
+    seeds = o.join(F.broadcast(first), "o_orderdate")
+    return seeds.select(F.concat(F.lit(SHOP_BASE + "/order/"), F.col("o_orderkey").cast("string")).alias("url"))
+
+
+LISTING_PAGE_SIZE = 10
+LISTING_PATH = "/gepris/OCTOPUS?task=doKatalog&context=projekt&page="
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog listing pages from ``part``: page n lists parts
+    [10(n-1), 10n) by key (a bounded group of 10), alternating entry
+    classes; large parts link absolutely, the rest relatively.  Every page
+    but the last links to the next one.  (page_no, url, html)."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    page_no = (F.floor(F.col("p_partkey") / LISTING_PAGE_SIZE) + 1).cast("int")
+    href = F.concat(F.when(F.col("p_size") > 40, F.lit("https://gepris.dfg.de")).otherwise(F.lit("")),
+                    F.lit("/gepris/projekt/"), F.col("p_partkey").cast("string"))
+    cls = F.when(F.pmod(F.col("p_partkey"), F.lit(2)) == 0, F.lit("eintrag")).otherwise(F.lit("eintrag_alternate"))
+    entry = F.concat(F.lit('<div class="'), cls, F.lit('"><h2><a href="'), href, F.lit('">'),
+                     F.col("p_name"), F.lit("</a></h2><p>Size "), F.col("p_size").cast("string"),
+                     F.lit("</p></div>"))
+    entries = (p.select(page_no.alias("page_no"), F.col("p_partkey"), entry.alias("entry"))
+               .groupBy("page_no")
+               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "entry"))),
+                                             lambda s: s["entry"]), "").alias("body")))
+    nxt = entries.select((F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("has_next"))
+    pages = entries.join(nxt, "page_no", "left")
+    url = F.concat(F.lit("https://gepris.dfg.de" + LISTING_PATH), F.col("page_no").cast("string"))
+    next_link = F.when(F.col("has_next"), F.concat(
+        F.lit('<div class="listennaviright"><a class="nextactive" href="' + LISTING_PATH),
+        (F.col("page_no") + 1).cast("string"), F.lit('">weiter</a></div>'))).otherwise(F.lit(""))
+    html = F.concat(F.lit('<html><body><div class="results">'), F.col("body"), F.lit("</div>"),
+                    next_link, F.lit("</body></html>"))
+    return pages.select("page_no", url.alias("url"), html.alias("html"))
