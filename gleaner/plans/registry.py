@@ -49,4 +49,5 @@ def _load_all() -> None:
         xml_plans,
         match_plans,
         crawl_plans,
+        collect_plans,
     )
