@@ -50,4 +50,5 @@ def _load_all() -> None:
         match_plans,
         crawl_plans,
         collect_plans,
+        results_plans,
     )

@@ -151,3 +151,58 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(F.lit('<html><body><div class="results">'), F.col("body"), F.lit("</div>"),
                     next_link, F.lit("</body></html>"))
     return pages.select("page_no", url.alias("url"), html.alias("html"))
+
+
+RESULTS_PER_PAGE = 10
+
+
+def _result_href(k: Column) -> Column:
+    """Result link variants by order priority; status P links to no project."""
+    pr = F.col("o_orderpriority")
+    base = F.concat(F.lit("/project/id/"), k)
+    return (F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("/search/related?order="), k))
+            .when(pr == "1-URGENT", F.concat(base, F.lit("/en")))
+            .when(pr == "2-HIGH", F.concat(base, F.lit("/reporting")))
+            .when(pr == "3-MEDIUM", F.concat(base, F.lit("/factsheet")))
+            .when(pr == "4-NOT SPECIFIED", F.concat(base, F.lit("/results")))
+            .otherwise(base))
+
+
+def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search result pages from ``orders``: page p lists orders [10p, 10p+10)
+    (a bounded group).  The markup variant is p mod 4: <li class="result">,
+    <section data-testid="result-item">, <article>, or bare links (no result
+    containers: the fallback path).  Link text is empty for status O;
+    descriptions: class "description" (F), "summary" (O), none (P).  Each
+    page ends with a Download section.  (page_id, url, html)."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    page = F.floor(F.col("o_orderkey") / RESULTS_PER_PAGE).cast("bigint")
+    variant = F.pmod(page, F.lit(4))
+    k = F.col("o_orderkey").cast("string")
+    text = F.when(F.col("o_orderstatus") == "O", F.lit("")).otherwise(F.concat(F.lit("Order "), k))
+    anchor = F.concat(F.lit('<a href="'), _result_href(k), F.lit('">'), text, F.lit("</a>"))
+    st = F.col("o_orderstatus")
+    desc = (F.when(st == "F", F.concat(F.lit('<p class="description">Total '), k, F.lit("</p>")))
+            .when(st == "O", F.concat(F.lit('<p class="summary">Summary '), k, F.lit("</p>")))
+            .otherwise(F.lit("")))
+    item = (F.when(variant == 0, F.concat(F.lit('<li class="result"><h3>'), anchor, F.lit("</h3>"), desc,
+                                          F.lit("</li>")))
+            .when(variant == 1, F.concat(F.lit('<section data-testid="result-item"><div class="title">'),
+                                         anchor, F.lit("</div>"), desc, F.lit("</section>")))
+            .when(variant == 2, F.concat(F.lit("<article><h2>"), anchor, F.lit("</h2>"), desc,
+                                         F.lit("</article>")))
+            .otherwise(F.concat(F.lit("<p>"), anchor, F.lit("</p>"))))
+    items = (o.select(page.alias("page_id"), "o_orderkey", item.alias("item"))
+             .groupBy("page_id")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "item"))),
+                                           lambda s: s["item"]), "").alias("body")))
+    pid = F.col("page_id").cast("string")
+    download = F.concat(
+        F.lit('<div class="download"><h2>Download</h2><a href="/project/id/'), pid,
+        F.lit('?format=xml">XML</a> <a href="/project/id/'), pid,
+        F.lit('?format=pdf">Download the PDF summary of the results for page '), pid,
+        F.lit(" of the order list</a></div>"))
+    url = F.concat(F.lit("https://cordis.europa.eu/search?q=orders+"), pid, F.lit("&p=1&num=10"))
+    html = F.concat(F.lit('<html><body><div id="search"><ul class="results-list">'), F.col("body"),
+                    F.lit("</ul></div>"), download, F.lit("</body></html>"))
+    return items.select("page_id", url.alias("url"), html.alias("html"))
