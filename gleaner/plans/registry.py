@@ -51,4 +51,5 @@ def _load_all() -> None:
         crawl_plans,
         collect_plans,
         results_plans,
+        stream_plans,
     )
