@@ -2,27 +2,27 @@
 
 The original tool sends each strategy string to a remote search engine and
 reads the first page (10 results).  Here the engine is a join against the
-catalog with a stated semantics:
-
-* tokens(s): the distinct words of normalize(s); plus an acronym token when
-  s itself looks like an acronym (2-10 letters A-Z after upper-casing).  A
-  catalog entry's tokens: the words of its normalized title plus the token of
-  the title's acronym (M2).
-* a plain strategy matches entries sharing at least k = max(1, ceil(|T|/2))
-  tokens; a quoted strategy ("...") matches entries whose normalized title
-  contains the phrase (so k = |T|).
-* results are ordered by shared tokens desc, title length, project id; the
-  first 10 are returned, relevance = max(1 - 0.1 * position, 0.1).
-
-Candidate generation is exact prefix filtering (Chaudhuri et al. 2006): with
-tokens in one global order (document frequency, then token), an entry
-sharing >= k of a strategy's |T| tokens must contain one of the first
-|T| - k + 1 of them.  So only those rare-first prefix tokens are joined with
-the postings; common tokens never drive the join unless a strategy consists
-of nothing else, in which case its true candidate set is that large too.
-There is no cap on posting lists.  Skewed join keys are split by AQE's skew
-join; the top-10 per strategy is a row_number filter that Spark plans as a
-partial window-group limit before the shuffle.
+catalog with a stated semantics.  With words(x) the distinct words of
+normalize(x), a catalog entry matches a strategy s when
+
+* s is plain: Jaccard(words(s), words(title)) >= 1/2, i.e.
+  3 * |shared| >= |words(s)| + |words(title)|;
+* s looks like an acronym (2-10 letters A-Z after upper-casing): also when
+  the title's acronym (M2) equals it;
+* s is quoted ("..."): the normalized title contains the phrase.
+
+Results are ordered by Jaccard desc, title length, project id; the first 10
+are returned, relevance = max(1 - 0.1 * position, 0.1).
+
+Candidates come from exact prefix filtering (Bayardo et al. 2007, All-Pairs;
+Xiao et al. 2008, PPJoin): with words in one global order (document
+frequency, then the word itself), two sets with Jaccard >= 1/2 share a word
+within the first |x| - ceil(|x|/2) + 1 words of *each* set, and their sizes
+are within a factor 2.  Both sides index only those prefixes, so common
+words rarely join at all; there is no cap on posting lists, and the
+candidate set is exactly the matching set.  Skewed join keys are split by
+AQE's skew join; the top-10 per strategy is a row_number filter that Spark
+plans as a partial window-group limit before the shuffle.
 """
 
 from __future__ import annotations
@@ -59,26 +59,30 @@ def _words(norm: Column) -> Column:
 
 
 def strategy_terms(strats: DataFrame) -> DataFrame:
-    """Adds phrase flag, normalized phrase, token set and required overlap."""
+    """Adds: is_phrase, phrase_norm, words (distinct), acr (acronym token)."""
     s = F.col("strategy")
     phrase = is_phrase(s)
     inner = F.when(phrase, F.expr("substring(strategy, 2, length(strategy) - 2)")).otherwise(s)
     norm = TX.normalize(inner)
-    acr = F.when(~phrase, _acronym_token(s))
-    tokens = F.array_distinct(F.concat(_words(norm), F.filter(F.array(acr), lambda t: t.isNotNull())))
-    out = strats.select("*", phrase.alias("is_phrase"), norm.alias("phrase_norm"), tokens.alias("tokens"))
-    n = F.size("tokens")
-    k = F.when(F.col("is_phrase"), n).otherwise(F.greatest(F.lit(1), F.ceil(n / 2).cast("int")))
-    return out.withColumn("k", k)
+    return strats.select("*", phrase.alias("is_phrase"), norm.alias("phrase_norm"),
+                         _words(norm).alias("words"), F.when(~phrase, _acronym_token(s)).alias("acr"))
 
 
 def catalog_index(catalog: DataFrame) -> DataFrame:
-    """Catalog with normalized title and index tokens (computed once)."""
+    """Catalog with normalized title, its words and acronym token (once)."""
     tn = TX.normalize(F.col("title"))
-    acr = _acronym_token(TX.extract_acronym(F.col("title")))
-    tokens = F.array_distinct(F.concat(_words(tn), F.filter(F.array(acr), lambda t: t.isNotNull())))
     return catalog.select("project_id", "title", "description", tn.alias("title_norm"),
-                          tokens.alias("tokens"))
+                          _words(tn).alias("words"),
+                          _acronym_token(TX.extract_acronym(F.col("title"))).alias("acr"))
+
+
+def _prefix(sets: DataFrame, keys: list[str], dfreq: DataFrame) -> DataFrame:
+    """The first |x| - ceil(|x|/2) + 1 words of each set, rarest first."""
+    w = sets.select(*keys, F.size("words").alias("n"), F.explode("words").alias("token"))
+    w = w.join(dfreq, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    r = F.row_number().over(Window.partitionBy(*keys).orderBy("df", "token"))
+    keep = F.col("n") - F.ceil(F.col("n") / 2) + 1
+    return w.withColumn("r", r).filter(F.col("r") <= keep).select(*keys, "n", "token")
 
 
 def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -87,37 +91,60 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
     Returns query_no, query, strategy_no, strategy, pos, relevance_score,
     project_id, title, description, title_norm, overlap.
     """
+    skey = ["query_no", "strategy_no"]
     terms = strategy_terms(strategies(queries))
     index = catalog_index(catalog)
-
-    postings = index.select("project_id", F.explode("tokens").alias("token"))
+    postings = index.select("project_id", F.explode("words").alias("token"))
     dfreq = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
-    # Rank each strategy's tokens rarest-first and keep the prefix.
-    st = terms.select("query_no", "strategy_no", "k", F.explode("tokens").alias("token"))
-    st = st.join(dfreq, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    w = Window.partitionBy("query_no", "strategy_no").orderBy("df", "token")
-    n_tokens = F.count(F.lit(1)).over(Window.partitionBy("query_no", "strategy_no"))
-    prefix = (st.withColumn("r", F.row_number().over(w)).withColumn("n", n_tokens)
-              .filter(F.col("r") <= F.col("n") - F.col("k") + 1)
-              .select("query_no", "strategy_no", "token"))
-
-    pairs = prefix.join(postings, "token").select("query_no", "strategy_no", "project_id").distinct()
-
-    cand = (pairs.join(terms, ["query_no", "strategy_no"])
-            .join(index.withColumnRenamed("tokens", "entry_tokens"), "project_id"))
-    overlap = F.size(F.array_intersect("tokens", "entry_tokens"))
+    # Word-set Jaccard >= 1/2: both prefixes, then the size filter.
+    plain = terms.filter(~F.col("is_phrase"))
+    sp = _prefix(plain, skey, dfreq).withColumnRenamed("n", "ns")
+    ep = _prefix(index, ["project_id"], dfreq).withColumnRenamed("n", "ne")
+    jac = (sp.join(ep, "token")
+           .filter((2 * F.col("ne") >= F.col("ns")) & (F.col("ne") <= 2 * F.col("ns")))
+           .select(*skey, "project_id").distinct())
+
+    # Acronym strategies: equal acronym tokens.
+    acr = (plain.filter(F.col("acr").isNotNull()).select(*skey, "acr")
+           .join(index.filter(F.col("acr").isNotNull()).select("project_id", "acr"), "acr")
+           .select(*skey, "project_id"))
+
+    # Phrases: the phrase's rarest word, then containment.
+    ph = terms.filter(F.col("is_phrase") & (F.size("words") > 0))
+    ph_tok = (ph.select(*skey, F.explode("words").alias("token")).join(dfreq, "token", "left")
+              .withColumn("df", F.coalesce("df", F.lit(0)))
+              .withColumn("r", F.row_number().over(Window.partitionBy(*skey).orderBy("df", "token")))
+              .filter(F.col("r") == 1).select(*skey, "token"))
+    phr = ph_tok.join(postings, "token").select(*skey, "project_id")
+
+    pairs = jac.unionByName(acr).unionByName(phr).distinct()
+
+    # Verify and rank on slim columns; wide text joins only the top 10.
+    slim_terms = terms.select(*skey, "is_phrase", "phrase_norm", "words", "acr")
+    slim_index = index.select("project_id", F.col("words").alias("entry_words"),
+                              F.col("acr").alias("entry_acr"), "title_norm",
+                              F.length("title").alias("title_len"))
+    cand = pairs.join(slim_terms, skey).join(slim_index, "project_id")
+    o = F.size(F.array_intersect("words", "entry_words"))
+    nt, ne = F.size("words"), F.size("entry_words")
+    jaccard_ok = 3 * o >= nt + ne
+    acr_ok = F.col("acr").isNotNull() & (F.col("acr") == F.col("entry_acr"))
     phrase_ok = F.concat(F.lit(" "), F.col("title_norm"), F.lit(" ")).contains(
         F.concat(F.lit(" "), F.col("phrase_norm"), F.lit(" ")))
-    cand = (cand.withColumn("overlap", overlap)
-            .filter((F.col("overlap") >= F.col("k")) & (~F.col("is_phrase") | phrase_ok)))
+    ok = F.when(F.col("is_phrase"), phrase_ok).otherwise((jaccard_ok & (nt > 0)) | acr_ok)
+    cand = (cand.withColumn("overlap", o)
+            .withColumn("jaccard", F.when(nt + ne - o > 0, o / (nt + ne - o)).otherwise(F.lit(0.0)))
+            .filter(ok).select(*skey, "project_id", "overlap", "jaccard", "title_len"))
 
-    order = Window.partitionBy("query_no", "strategy_no").orderBy(
-        F.col("overlap").desc(), F.length("title"), "project_id")
+    order = Window.partitionBy(*skey).orderBy(F.col("jaccard").desc(), "title_len", "project_id")
     top = cand.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= page_size)
     pos = F.col("rn") - 1
-    return top.select(
-        "query_no", "query", "strategy_no", "strategy", pos.alias("pos"),
-        F.greatest(F.round((F.lit(10) - pos) / F.lit(10.0), 1), F.lit(0.1)).alias("relevance_score"),
+    top = top.select(*skey, "project_id", "overlap", pos.alias("pos"))
+    out = (top.join(terms.select(*skey, "query", "strategy"), skey)
+           .join(index.select("project_id", "title", "description", "title_norm"), "project_id"))
+    return out.select(
+        "query_no", "query", "strategy_no", "strategy", "pos",
+        F.greatest(F.round((F.lit(10) - F.col("pos")) / F.lit(10.0), 1), F.lit(0.1)).alias("relevance_score"),
         "project_id", "title", "description", "title_norm", "overlap",
     )

@@ -16,18 +16,17 @@ def _acr_token(expr: str) -> str:
     return f"(CASE WHEN regexp_matches({up}, {Q.lit(TX.ACRONYM_RE)}) THEN chr(1) || {up} END)"
 
 
-def _tokens(norm: str, acr: str) -> str:
-    return (f"list_distinct(list_concat(list_filter(string_split({norm}, ' '), lambda w: w <> ''), "
-            f"CASE WHEN {acr} IS NOT NULL THEN [{acr}] ELSE []::VARCHAR[] END))")
+_PHRASE = "(length(strategy) >= 2 AND starts_with(strategy, '\"') AND ends_with(strategy, '\"'))"
 
+def _words(norm: str) -> str:
+    return f"list_distinct(list_filter(string_split({norm}, ' '), lambda w: w <> ''))"
 
-_PHRASE = "(length(strategy) >= 2 AND starts_with(strategy, '\"') AND ends_with(strategy, '\"'))"
 
 SEARCH = f"""
 WITH q AS ({Q.QUERIES}),
 c AS ({Q.CATALOG}),
 cat AS (
-  SELECT project_id, title, description, tn, {_tokens('tn', _acr_token('a'))} AS tokens
+  SELECT project_id, title, description, tn, {_words('tn')} AS words, {_acr_token('a')} AS acr
   FROM (SELECT project_id, title, description, {Q.normalize('title')} AS tn,
                {Q.extract_acronym('title')} AS a FROM c)),
 s0 AS (SELECT query_no, query, [query, '"' || query || '"', {Q.extract_acronym('query')}] AS arr FROM q),
@@ -41,25 +40,34 @@ terms0 AS (
          {Q.normalize(f"CASE WHEN {_PHRASE} THEN substring(strategy, 2, length(strategy) - 2) ELSE strategy END")}
            AS pn
   FROM strat),
-terms AS (
-  SELECT *, CASE WHEN is_phrase THEN len(tokens) ELSE greatest(1, CAST(ceil(len(tokens) / 2) AS INTEGER)) END AS k
-  FROM (SELECT *, {_tokens('pn', f"CASE WHEN NOT is_phrase THEN {_acr_token('strategy')} END")} AS tokens
-        FROM terms0)),
-qt AS (SELECT query_no, strategy_no, unnest(tokens) AS token FROM terms),
-ct AS (SELECT project_id, unnest(tokens) AS token FROM cat),
-ov AS (SELECT query_no, strategy_no, project_id, count(*) AS overlap
+terms AS (SELECT *, {_words('pn')} AS words,
+                 CASE WHEN NOT is_phrase THEN {_acr_token('strategy')} END AS acr FROM terms0),
+qt AS (SELECT query_no, strategy_no, unnest(words) AS token FROM terms WHERE NOT is_phrase),
+ct AS (SELECT project_id, unnest(words) AS token FROM cat),
+ov AS (SELECT query_no, strategy_no, project_id, count(*) AS o
        FROM qt JOIN ct USING (token) GROUP BY query_no, strategy_no, project_id),
+jac AS (SELECT ov.query_no, ov.strategy_no, ov.project_id FROM ov
+        JOIN terms t ON t.query_no = ov.query_no AND t.strategy_no = ov.strategy_no
+        JOIN cat c ON c.project_id = ov.project_id
+        WHERE 3 * ov.o >= len(t.words) + len(c.words) AND len(t.words) > 0),
+acr_m AS (SELECT t.query_no, t.strategy_no, c.project_id FROM terms t JOIN cat c ON c.acr = t.acr
+          WHERE NOT t.is_phrase),
+phr AS (SELECT t.query_no, t.strategy_no, c.project_id FROM terms t JOIN ct ON ct.token = t.words[1]
+        JOIN cat c ON c.project_id = ct.project_id
+        WHERE t.is_phrase AND len(t.words) > 0 AND contains(' ' || c.tn || ' ', ' ' || t.pn || ' ')),
+pairs AS (SELECT * FROM jac UNION SELECT * FROM acr_m UNION SELECT * FROM phr),
 cand AS (
   SELECT t.query_no, t.query, t.strategy_no, t.strategy, c.project_id, c.title, c.description,
-         c.tn AS title_norm, ov.overlap::INTEGER AS overlap
-  FROM ov JOIN terms t ON t.query_no = ov.query_no AND t.strategy_no = ov.strategy_no
-          JOIN cat c ON c.project_id = ov.project_id
-  WHERE ov.overlap >= t.k AND (NOT t.is_phrase OR contains(' ' || c.tn || ' ', ' ' || t.pn || ' '))),
+         c.tn AS title_norm, len(list_intersect(t.words, c.words))::INTEGER AS overlap,
+         len(t.words) AS nt, len(c.words) AS ne
+  FROM pairs p JOIN terms t ON t.query_no = p.query_no AND t.strategy_no = p.strategy_no
+               JOIN cat c ON c.project_id = p.project_id),
 ranked AS (
   SELECT *, (row_number() OVER (PARTITION BY query_no, strategy_no
-                                ORDER BY overlap DESC, length(title), project_id) - 1)::INTEGER AS pos
+                                ORDER BY CASE WHEN nt + ne - overlap > 0 THEN overlap / (nt + ne - overlap)
+                                              ELSE 0.0 END DESC, length(title), project_id) - 1)::INTEGER AS pos
   FROM cand)
-SELECT *, greatest(round((10 - pos)::DOUBLE / 10.0::DOUBLE, 1), 0.1) AS relevance_score
+SELECT * EXCLUDE (nt, ne), greatest(round((10 - pos)::DOUBLE / 10.0::DOUBLE, 1), 0.1) AS relevance_score
 FROM ranked WHERE pos < 10
 """
 
