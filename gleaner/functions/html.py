@@ -29,6 +29,7 @@ COMMENT_RE = "(?s)<!--.*?-->"
 SCRIPT_RE = "(?is)<script\\b[^>]*>.*?</script\\s*>"
 STYLE_RE = "(?is)<style\\b[^>]*>.*?</style\\s*>"
 TEMPLATE_RE = "(?is)<template\\b[^>]*>.*?</template\\s*>"
+RUBY_RE = "(?is)<(?:rt|rp)\\b[^>]*>.*?</(?:rt|rp)\\s*>"
 DECL_RE = "(?s)<[!?][^>]*>"
 TAG_RE = "</?[A-Za-z][^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>"
 
@@ -51,7 +52,7 @@ _COMMON_ENTITY_RE = "&(?:lt|gt|quot|#39|apos|nbsp|copy|middot|amp);"
 def drop_markup(html: Column) -> Column:
     """Replace every non-text construct by one space (the text separator)."""
     c = html
-    for pattern in (COMMENT_RE, SCRIPT_RE, STYLE_RE, TEMPLATE_RE, DECL_RE, TAG_RE):
+    for pattern in (COMMENT_RE, SCRIPT_RE, STYLE_RE, TEMPLATE_RE, RUBY_RE, DECL_RE, TAG_RE):
         c = F.regexp_replace(c, pattern, " ")
     return c
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-_SKIP = {"script", "style", "template"}
+_SKIP = {"script", "style", "template", "rt", "rp"}
 
 
 class _TextCollector(HTMLParser):
@@ -28,7 +28,8 @@ class _TextCollector(HTMLParser):
                 pass
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1] in _SKIP:
+        # Strings take the type of the innermost open string-container tag.
+        if any(t in _SKIP for t in self.stack):
             return
         s = data.strip()
         if s:
