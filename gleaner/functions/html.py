@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The whitespace set Python's str.split()/str.strip() use
-# (Unicode White_Space plus the four ASCII separators \x1c-\x1f).
+# (Unicode White_Space plus the four ASCII separators \x1c-\x1f).  Java
+# spells it (?U)[\s\x1c-\x1f] -- with UNICODE_CHARACTER_CLASS, \s is
+# White_Space -- which runs far faster than the explicit list; the explicit
+# list is for RE2 (the SQL oracles).
+JAVA_WS = "[\\s\\x1c-\\x1f]"
 WS_CLASS = (
     "[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
     "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
@@ -76,7 +80,7 @@ def decode_entities(text: Column) -> Column:
 
 def collapse_ws(text: Column) -> Column:
     """Python's ' '.join(s.split()): runs of whitespace to one space, ends cut."""
-    return F.trim(F.regexp_replace(text, WS_CLASS + "+", " "))
+    return F.trim(F.regexp_replace(text, "(?U)" + JAVA_WS + "+", " "))
 
 
 def html_to_text(html: Column) -> Column:

@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleaner.functions.html import WS_CLASS, collapse_ws
+from gleaner.functions.html import JAVA_WS, WS_CLASS, collapse_ws
 
 _WS_INNER = WS_CLASS[1:-1]
-# Python's [^\w\s] for str patterns.
-NON_WORD_RE = "[^\\p{L}\\p{N}_" + _WS_INNER + "]"
+_JAVA_WS_INNER = JAVA_WS[1:-1]
+# Python's [^\w\s] for str patterns (Java form, and the RE2 form for SQL).
+NON_WORD_RE = "(?U)[^\\p{L}\\p{N}_" + _JAVA_WS_INNER + "]"
+SQL_NON_WORD_RE = "[^\\p{L}\\p{N}_" + _WS_INNER + "]"
 # Python's \b[A-Za-z]{3,}: a word start (no word char before) then 3+ ASCII letters.
 TITLE_WORD_RE = "(?:^|[^\\p{L}\\p{N}_])([A-Za-z]{3,})"
 ACRONYM_RE = "^[A-Z]{2,10}$"
@@ -23,12 +25,12 @@ TITLE_RE = "^[^\\n.!?]*[.!?]?"
 
 def py_strip(s: Column) -> Column:
     """Python str.strip(): cut whitespace at both ends."""
-    return F.regexp_replace(s, "^" + WS_CLASS + "+|" + WS_CLASS + "+$", "")
+    return F.regexp_replace(s, "(?U)^" + JAVA_WS + "+|" + JAVA_WS + "+$", "")
 
 
 def py_split(s: Column) -> Column:
     """Python str.split(): whitespace-separated words, no empty strings."""
-    return F.filter(F.split(s, WS_CLASS + "+"), lambda w: w != "")
+    return F.filter(F.split(s, "(?U)" + JAVA_WS + "+"), lambda w: w != "")
 
 
 def normalize(text: Column) -> Column:
@@ -85,13 +87,19 @@ def levenshtein_sim(a: Column, b: Column) -> Column:
 
 
 def keyword_hits(text: Column, keywords: list[str]) -> Column:
-    """How many keywords occur (as substrings) in the lower-cased text."""
+    """How many keywords occur (as substrings) in the lower-cased text.
+    Unrolled, so lower(text) is one common subexpression."""
     low = F.lower(text)
-    return F.size(F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: low.contains(k)))
+    hits = [F.when(low.contains(F.lit(k)), 1).otherwise(0) for k in keywords]
+    total = hits[0]
+    for h in hits[1:]:
+        total = total + h
+    return total if keywords else F.lit(0)
 
 
 def word_count(text: Column) -> Column:
-    return F.size(py_split(text))
+    """len(text.split()): runs of non-whitespace, counted without an array."""
+    return F.regexp_count(text, F.lit("(?U)[^" + _JAVA_WS_INNER + "]+"))
 
 
 def catalog_title(text: Column) -> Column:

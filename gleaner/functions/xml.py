@@ -23,14 +23,13 @@ METADATA_FIELDS = ["id", "acronym", "title", "objective", "startDate", "endDate"
                    "totalCost", "ecMaxContribution", "keywords"]
 ESSENTIAL_FIELDS = ["title", "startDate", "totalCost"]
 
-FACTS_TYPE = T.StructType([
+_FLAT_TYPE = T.StructType([
     T.StructField("wellformed", T.BooleanType()),
     T.StructField("root", T.StringType()),          # local name
     T.StructField("namespace", T.StringType()),     # null when none
     T.StructField("has_id", T.BooleanType()),       # some element named id
     T.StructField("id_text", T.StringType()),       # first id's .text, stripped; null if no text
-    T.StructField("fields", T.StructType(
-        [T.StructField(f, T.StringType()) for f in METADATA_FIELDS])),
+    *[T.StructField("f_" + f, T.StringType()) for f in METADATA_FIELDS],
 ])
 
 _WANTED = set(METADATA_FIELDS)
@@ -68,9 +67,36 @@ def document_facts(doc: str | None) -> dict | None:
             "id_text": id_text, "fields": {f: found.get(f) for f in METADATA_FIELDS}}
 
 
-@F.pandas_udf(FACTS_TYPE)
-def xml_facts(docs: pd.Series) -> pd.DataFrame:
-    rows = [document_facts(d) or {"wellformed": None, "root": None, "namespace": None,
-                                   "has_id": None, "id_text": None, "fields": None}
-            for d in docs]
-    return pd.DataFrame(rows, columns=[f.name for f in FACTS_TYPE.fields])
+_FLAT_NAMES = [f.name for f in _FLAT_TYPE.fields]
+
+
+@F.pandas_udf(_FLAT_TYPE)
+def _xml_facts_flat(docs: pd.Series) -> pd.DataFrame:
+    cols: dict[str, list] = {n: [] for n in _FLAT_NAMES}
+    for d in docs:
+        f = document_facts(d)
+        if f is None:
+            for n in _FLAT_NAMES:
+                cols[n].append(None)
+            continue
+        for n in ("wellformed", "root", "namespace", "has_id", "id_text"):
+            cols[n].append(f[n])
+        fields = f["fields"] or {}
+        for m in METADATA_FIELDS:
+            cols["f_" + m].append(fields.get(m))
+    return pd.DataFrame(cols, columns=_FLAT_NAMES)
+
+
+def xml_facts_flat(doc: Column) -> Column:
+    """The flat facts of one parse (project it into a column of its own)."""
+    return _xml_facts_flat(doc)
+
+
+def facts_struct(flat: Column) -> Column:
+    """struct<wellformed, root, namespace, has_id, id_text, fields struct<...>>
+    over a projected flat-facts column; the struct is built in the JVM."""
+    return F.struct(
+        flat["wellformed"].alias("wellformed"), flat["root"].alias("root"),
+        flat["namespace"].alias("namespace"), flat["has_id"].alias("has_id"),
+        flat["id_text"].alias("id_text"),
+        F.struct(*[flat["f_" + m].alias(m) for m in METADATA_FIELDS]).alias("fields"))

@@ -21,26 +21,42 @@ def _checkpoint(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Rows of a URL set that may be broadcast: ~100 bytes a URL, so about
+# 200 MB per copy.  Checked on the materialized (checkpointed) set.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_MAX_ROWS else df
+
+
 def bfs_frontier(spark: SparkSession, seeds: DataFrame, edges: DataFrame, max_depth: int = 1) -> DataFrame:
     """G1: every URL reachable from the seeds within ``max_depth`` links, at
     its shortest depth (breadth-first; the visited set is global across
     seeds, as the original crawler's is).
 
-    seeds: (url); edges: (src, dst).  Returns (url, depth).  Per level: the
+    seeds: (url); edges: (src, dst).  Returns (url, depth).  Per level the
     frontier joins the edge list on src, new targets are de-duplicated
     (partial aggregation before the shuffle) and anti-joined with the
-    visited set (J3).  Edges are hash-partitioned by src once and reused.
+    visited set (J3).  The frontier and visited sets are checkpointed, so
+    their row counts are known: a set under ``BROADCAST_MAX_ROWS`` is
+    broadcast (the edge scan then needs no shuffle), a larger one takes the
+    shuffle join.
     """
-    edges = _checkpoint(spark, edges.select("src", "dst").repartition("src"))
+    edges = edges.select("src", "dst")
     visited = _checkpoint(spark, seeds.select("url").distinct().withColumn("depth", F.lit(0)))
-    frontier = visited.select("url")
+    frontier, n_frontier, n_visited = visited.select("url"), visited.count(), None
+    n_visited = n_frontier
     for depth in range(1, max_depth + 1):
-        reached = (frontier.join(edges, frontier.url == edges.src)
-                   .select(F.col("dst").alias("url")).distinct())
-        new = reached.join(visited.select("url"), "url", "left_anti")
+        if n_frontier == 0:
+            break
+        f = _maybe_broadcast(frontier, n_frontier)
+        reached = (edges.join(f, edges.src == f.url).select(F.col("dst").alias("url")).distinct())
+        new = reached.join(_maybe_broadcast(visited.select("url"), n_visited), "url", "left_anti")
         new = _checkpoint(spark, new.withColumn("depth", F.lit(depth)))
         visited = _checkpoint(spark, visited.unionByName(new))
-        frontier = new.select("url")
+        frontier, n_frontier = new.select("url"), new.count()
+        n_visited += n_frontier
     return visited
 
 

@@ -82,8 +82,11 @@ def record_pairs(html: Column) -> Column:
     """R1+R2: array<struct<key,value>> in write order: title, details pairs,
     description text, description-block pairs.  ``html`` must already be
     decoded with ``decode_entities_keep_markup`` (see ``parse_records``)."""
-    details = F.regexp_extract(html, DETAILS_BLOCK_RE, 1)
-    desc_block = F.regexp_extract(html, DESCRIPTION_BLOCK_RE, 1)
+    return _record_pairs_of(html, F.regexp_extract(html, DETAILS_BLOCK_RE, 1),
+                            F.regexp_extract(html, DESCRIPTION_BLOCK_RE, 1))
+
+
+def _record_pairs_of(html: Column, details: Column, desc_block: Column) -> Column:
     title = _single(details, TITLE_RE, TITLE_FIELD, "")
     text = _single(html, PROJECT_TEXT_RE, TEXT_FIELD, " ")
     return F.concat(title, _pairs(details), text, _pairs(desc_block))
@@ -113,9 +116,16 @@ def combine_fields(fields: Column) -> Column:
 
 def parse_records(pages: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
     """(id, fields map<string,string>) with R1-R4 applied."""
-    pairs = decoded(pages, id_col, html_col).select(id_col, record_pairs(F.col("html")).alias("pairs"))
-    return pairs.select(
-        id_col, combine_fields(F.map_from_entries(last_wins(F.col("pairs")))).alias("fields"))
+    # One projection per stage: each stage's result is referenced several
+    # times by the next, so Catalyst keeps them apart instead of inlining.
+    d = decoded(pages, id_col, html_col)
+    blocks = d.select(id_col, "html",
+                      F.regexp_extract("html", DETAILS_BLOCK_RE, 1).alias("details"),
+                      F.regexp_extract("html", DESCRIPTION_BLOCK_RE, 1).alias("desc_block"))
+    pairs = blocks.select(id_col, _record_pairs_of(F.col("html"), F.col("details"), F.col("desc_block"))
+                          .alias("pairs"))
+    fields = pairs.select(id_col, F.map_from_entries(last_wins(F.col("pairs"))).alias("m"))
+    return fields.select(id_col, combine_fields(F.col("m")).alias("fields"))
 
 
 def decoded(pages: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions.xml import ESSENTIAL_FIELDS, METADATA_FIELDS, xml_facts
+from gleaner.functions.xml import ESSENTIAL_FIELDS, METADATA_FIELDS, facts_struct, xml_facts_flat
 from gleaner.sources.project_xml import CORDIS_NS
 
 # Size bounds of a plausible record file.
@@ -18,8 +18,9 @@ MAX_BYTES = 10 * 1024 * 1024
 
 
 def with_facts(df: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """Adds ``facts`` in its own projection, so the parse runs once per row."""
-    return df.withColumn("facts", xml_facts(F.col(xml_col)))
+    """Adds ``facts``; the parse is its own projection, so it runs once per row."""
+    flat = df.withColumn("_flat", xml_facts_flat(F.col(xml_col)))
+    return flat.withColumn("facts", facts_struct(F.col("_flat"))).drop("_flat")
 
 
 def first_error(facts: Column, size: Column, expected_id: Column) -> Column:

@@ -109,7 +109,7 @@ def upper_py(expr: str) -> str:
 
 
 def normalize(expr: str) -> str:
-    return collapse_ws(rr(f"lower({expr})", TX.NON_WORD_RE, " "))
+    return collapse_ws(rr(f"lower({expr})", TX.SQL_NON_WORD_RE, " "))
 
 
 def extract_acronym(x: str) -> str:

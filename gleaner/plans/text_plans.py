@@ -8,7 +8,7 @@ from gleaner.functions import text as TX
 from gleaner.plans import sqlbits as Q
 from gleaner.plans.registry import plan
 from gleaner.sources import fixtures
-from gleaner.sources.tables import read_table
+from gleaner.sources.tables import read_table, spread
 
 # Fixed parameters of the relevance filter (the documented knobs:
 # keyword list, minimum keyword hits, minimum words).
@@ -30,7 +30,7 @@ WHERE n_keywords >= {RELEVANCE_THRESHOLD} AND n_words >= {RELEVANCE_MIN_WORDS}
 def relevance_filter(spark, sf_dir, keywords=RELEVANCE_KEYWORDS,
                      threshold=RELEVANCE_THRESHOLD, min_words=RELEVANCE_MIN_WORDS):
     """Documents with >= threshold keyword hits and >= min_words words."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     scored = d.select(
         "doc_id", "lang",
         TX.keyword_hits(F.col("text"), keywords).cast("bigint").alias("n_keywords"),

@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as TX
-from gleaner.sources.tables import read_table
+from gleaner.sources.tables import read_table, spread
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Project catalog from ``documents``: id, title (first sentence of the
     first line), description (the rest of the text), language."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     raw_title = TX.catalog_title(F.col("text"))
     return d.select(
         F.col("doc_id").cast("string").alias("project_id"),

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.sources.tables import read_table
+from gleaner.sources.tables import read_table, spread
 
 # The expected project namespace and the other one used.
 CORDIS_NS = "http://cordis.europa.eu"
@@ -135,7 +135,7 @@ def _sql(parts) -> str:
 
 def xml_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(project_id, xml, file_size, status, content_type) per order."""
-    o = read_table(spark, sf_dir, "orders")
+    o = spread(read_table(spark, sf_dir, "orders"))
     xml = _spark(LAYOUT)
     return o.select(
         F.col("o_orderkey").cast("string").alias("project_id"),

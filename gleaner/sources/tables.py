@@ -23,3 +23,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row-local work at least one task per core.
+
+    A table stored as one file with one row group scans as a single task;
+    when the scan has fewer partitions than the default parallelism it is
+    round-robin repartitioned to that many (filters and column pruning still
+    reach the scan below the repartition).  Large inputs already have more
+    splits than cores and are left alone.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
