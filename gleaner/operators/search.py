@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as TX
+from gleaner.session import materialize
 
 ACRONYM_TOKEN_PREFIX = "\u0001"
 PAGE_SIZE = 10  # fixed page size of a search request
@@ -92,10 +93,12 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
     project_id, title, description, title_norm, overlap.
     """
     skey = ["query_no", "strategy_no"]
-    terms = strategy_terms(strategies(queries))
-    index = catalog_index(catalog)
+    # Shared by every branch below: computed once, into the checkpoint folder.
+    terms = materialize(strategy_terms(strategies(queries)))
+    index = materialize(catalog_index(catalog).withColumn("title_len", F.length("title"))
+                        .drop("title", "description"))
     postings = index.select("project_id", F.explode("words").alias("token"))
-    dfreq = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    dfreq = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
 
     # Word-set Jaccard >= 1/2: both prefixes, then the size filter.
     plain = terms.filter(~F.col("is_phrase"))
@@ -121,10 +124,9 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
     pairs = jac.unionByName(acr).unionByName(phr).distinct()
 
     # Verify and rank on slim columns; wide text joins only the top 10.
-    slim_terms = terms.select(*skey, "is_phrase", "phrase_norm", "words", "acr")
+    slim_terms = terms.select(*skey, "query", "strategy", "is_phrase", "phrase_norm", "words", "acr")
     slim_index = index.select("project_id", F.col("words").alias("entry_words"),
-                              F.col("acr").alias("entry_acr"), "title_norm",
-                              F.length("title").alias("title_len"))
+                              F.col("acr").alias("entry_acr"), "title_norm", "title_len")
     cand = pairs.join(slim_terms, skey).join(slim_index, "project_id")
     o = F.size(F.array_intersect("words", "entry_words"))
     nt, ne = F.size("words"), F.size("entry_words")
@@ -135,14 +137,14 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
     ok = F.when(F.col("is_phrase"), phrase_ok).otherwise((jaccard_ok & (nt > 0)) | acr_ok)
     cand = (cand.withColumn("overlap", o)
             .withColumn("jaccard", F.when(nt + ne - o > 0, o / (nt + ne - o)).otherwise(F.lit(0.0)))
-            .filter(ok).select(*skey, "project_id", "overlap", "jaccard", "title_len"))
+            .filter(ok).select(*skey, "query", "strategy", "project_id", "title_norm", "overlap", "jaccard",
+                               "title_len"))
 
     order = Window.partitionBy(*skey).orderBy(F.col("jaccard").desc(), "title_len", "project_id")
     top = cand.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= page_size)
     pos = F.col("rn") - 1
-    top = top.select(*skey, "project_id", "overlap", pos.alias("pos"))
-    out = (top.join(terms.select(*skey, "query", "strategy"), skey)
-           .join(index.select("project_id", "title", "description", "title_norm"), "project_id"))
+    top = top.select(*skey, "query", "strategy", "project_id", "title_norm", "overlap", pos.alias("pos"))
+    out = top.join(catalog.select("project_id", "title", "description"), "project_id")
     return out.select(
         "query_no", "query", "strategy_no", "strategy", "pos",
         F.greatest(F.round((F.lit(10) - F.col("pos")) / F.lit(10.0), 1), F.lit(0.1)).alias("relevance_score"),

@@ -36,6 +36,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("GLEANER_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
@@ -63,3 +64,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and read it from
+    there: lineage is cut, reuse by several branches costs one write, and a
+    lost executor costs a re-read, not a recomputation."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
