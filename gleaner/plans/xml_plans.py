@@ -172,3 +172,29 @@ def capture_contains_project(spark, sf_dir):
     return c.select("project_id",
                     X.content_probe(F.col("status"), F.col("xml"), F.col("project_id")).alias("exists_ok"),
                     (~F.lower("content_type").contains("xml")).alias("content_type_warning"))
+
+
+_SCAN_SCHEMA = "id string, title string, startDate string, totalCost string"
+
+
+@plan("xml_scan_rows", oracle="""
+SELECT CAST(o_orderkey AS VARCHAR) AS project_id,
+       'Order ' || o_orderkey || ' & <' || o_orderpriority || '>' AS title,
+       strftime(o_orderdate, '%Y-%m-%d') AS startDate,
+       CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS totalCost
+FROM orders""")
+def xml_scan_rows(spark, sf_dir):
+    """Records written with Spark's XML writer (``to_xml``, rowTag
+    project) and read back with ``from_xml`` and a typed schema -- the
+    native path for well-formed, top-level-only records."""
+    from gleaner.sources.tables import read_table, spread
+    o = spread(read_table(spark, sf_dir, "orders"))
+    rec = F.struct(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(" & <"),
+                 F.col("o_orderpriority"), F.lit(">")).alias("title"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("startDate"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string").alias("totalCost"))
+    docs = o.select(F.to_xml(rec, {"rowTag": "project"}).alias("xml"))
+    parsed = docs.select(F.from_xml("xml", _SCAN_SCHEMA, {"rowTag": "project"}).alias("p"))
+    return parsed.select(F.col("p.id").alias("project_id"), "p.title", "p.startDate", "p.totalCost")
