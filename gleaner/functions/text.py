@@ -82,8 +82,8 @@ def description_bonus_milli(query_norm: Column, desc_norm: Column) -> Column:
 def levenshtein_sim(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length (1.0 for two empty strings)."""
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest == 0, F.lit(1.0)).otherwise(
-        F.lit(1.0) - F.levenshtein(a, b) / longest)
+    d = F.when(a == b, F.lit(0)).otherwise(F.levenshtein(a, b))  # equal: no DP needed
+    return F.when(longest == 0, F.lit(1.0)).otherwise(F.lit(1.0) - d / longest)
 
 
 def keyword_hits(text: Column, keywords: list[str]) -> Column:

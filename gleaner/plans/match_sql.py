@@ -85,12 +85,13 @@ SELECT *, {Q.normalize('query')} AS qn, {Q.normalize('description')} AS dn FROM
 
 _M = "greatest(length(qn), length(title_norm))"
 SCORED = f"""
+WITH norm AS MATERIALIZED ({_NORM})
 SELECT s.*, least(9 * (CASE WHEN {_M} = 0 THEN 100
                             ELSE (200 * ({_M} - {Q.char_levenshtein('qn', 'title_norm')}) + {_M}) // (2 * {_M}) END)
                   + {Q.description_bonus('qn', 'dn')}
                   + CASE WHEN {Q.is_acronym_match('query', 'title')} THEN 200 ELSE 0 END
                   + CASE WHEN qn = title_norm THEN 300 ELSE 0 END, 1000)::INTEGER AS milli
-FROM ({_NORM}) s, {Q.char_map(_NORM, 'qn', 'title_norm')} m
+FROM norm s, {Q.char_map('SELECT * FROM norm', 'qn', 'title_norm')} m
 """
 
 KEPT = f"""
