@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.html import decode_entities_keep_markup, restore_markup_chars
 from gleaner.functions.text import py_strip
+from gleaner.session import materialize
 
 # Regexes for blocks whose children are flat <div>s (no <div> inside a child).
 _FLAT = "(?:[^<]|<(?!/?div\\b))*"
@@ -154,8 +155,11 @@ def discover_keys(records: DataFrame, max_keys: int = 10_000) -> list[str]:
 
 def widen(records: DataFrame, id_col: str = "doc_id", keys: list[str] | None = None) -> DataFrame:
     """One column per key (sorted), '' where a record lacks it.  A map
-    lookup per key: no pivot, no shuffle."""
-    keys = discover_keys(records) if keys is None else keys
+    lookup per key: no pivot, no shuffle.  When the keys must be discovered
+    first, the parsed records are materialized once and read twice."""
+    if keys is None:
+        records = materialize(records)
+        keys = discover_keys(records)
     return records.select(id_col, *[F.coalesce(F.col("fields")[k], F.lit("")).alias(k) for k in keys])
 
 
