@@ -36,6 +36,10 @@ def relevance_filter(spark, sf_dir, keywords=RELEVANCE_KEYWORDS,
         TX.keyword_hits(F.col("text"), keywords).cast("bigint").alias("n_keywords"),
         TX.word_count(F.col("text")).cast("bigint").alias("n_words"),
     )
+    # The observed count of scored documents doubles as a fence: Catalyst
+    # does not push the filter below it, so the two measures are computed
+    # once, after the scan is spread over the cores.
+    scored = scored.observe("relevance_scored", F.count(F.lit(1)).alias("documents"))
     return scored.filter((F.col("n_keywords") >= threshold) & (F.col("n_words") >= min_words))
 
 
