@@ -45,16 +45,21 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     plans = registry.plans()
     times = {}
+    failed = []
     for name in names:
-        plans[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
-        t0 = time.perf_counter()
-        plans[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
-        print(f"{name}: {times[name]}s", file=sys.stderr)
+        try:
+            plans[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+            t0 = time.perf_counter()
+            plans[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+            print(f"{name}: {times[name]}s", file=sys.stderr)
+        except Exception as e:  # noqa: BLE001 -- report, keep measuring the rest
+            failed.append(name)
+            print(f"{name}: FAILED {str(e)[:300]}", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir,
-                      "warmup": warm_dir}))
+                      "warmup": warm_dir, "failed": failed}))
     spark.stop()
 
 
