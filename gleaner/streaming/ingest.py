@@ -28,7 +28,9 @@ def page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest(pages: DataFrame, capture_log: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Streaming page text with the capture time from the (static) log;
     duplicates of a URL within ``delay`` are dropped."""
-    log = capture_log.select(F.col("event_id").alias("page_id"), F.col("ts").cast("timestamp").alias("ts"))
+    from gleaner.streaming.stats import utc_instant
+
+    log = capture_log.select(F.col("event_id").alias("page_id"), utc_instant(F.col("ts")).alias("ts"))
     p = pages.join(log, "page_id")  # stream-static equi-join
     t = p.select("page_id", "ts", url_md5(F.col("url")).alias("url_md5"),
                  html_to_text(F.col("html")).alias("text"))
