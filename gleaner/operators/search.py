@@ -17,8 +17,9 @@ are returned, relevance = max(1 - 0.1 * position, 0.1).
 Candidates come from exact prefix filtering (Bayardo et al. 2007, All-Pairs;
 Xiao et al. 2008, PPJoin): with words in one global order (document
 frequency, then the word itself), two sets with Jaccard >= 1/2 share a word
-within the first |x| - ceil(|x|/2) + 1 words of *each* set, and their sizes
-are within a factor 2.  Both sides index only those prefixes, so common
+within the first |x| - ceil(|x|/2) + 1 words of *each* set, their sizes are
+within a factor 2, and (positional filter) the words after their first
+shared one can still add up to the needed overlap.  Both sides index only those prefixes, so common
 words rarely join at all; there is no cap on posting lists, and the
 candidate set is exactly the matching set.  Skewed join keys are split by
 AQE's skew join; the top-10 per strategy is a row_number filter that Spark
@@ -86,7 +87,7 @@ def _prefix(sets: DataFrame, keys: list[str], dfreq: DataFrame) -> DataFrame:
     w = w.join(dfreq, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     r = F.row_number().over(Window.partitionBy(*keys).orderBy("df", "token"))
     keep = F.col("n") - F.ceil(F.col("n") / 2) + 1
-    return w.withColumn("r", r).filter(F.col("r") <= keep).select(*keys, "n", "token")
+    return w.withColumn("r", r).filter(F.col("r") <= keep).select(*keys, "n", "token", "r")
 
 
 def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -107,10 +108,15 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
 
     # Word-set Jaccard >= 1/2: both prefixes, then the size filter.
     plain = terms.filter(~F.col("is_phrase"))
-    sp = _prefix(plain, skey, dfreq).withColumnRenamed("n", "ns")
-    ep = _prefix(index, ["project_id"], dfreq).withColumnRenamed("n", "ne")
-    jac = (sp.join(ep, "token")
-           .filter((2 * F.col("ne") >= F.col("ns")) & (F.col("ne") <= 2 * F.col("ns")))
+    sp = _prefix(plain, skey, dfreq).withColumnRenamed("n", "ns").withColumnRenamed("r", "rs")
+    ep = _prefix(index, ["project_id"], dfreq).withColumnRenamed("n", "ne").withColumnRenamed("r", "re")
+    ns, ne = F.col("ns"), F.col("ne")
+    size_ok = (2 * ne >= ns) & (ne <= 2 * ns)
+    # Positional filter: sharing a word at ranks (rs, re) leaves at most
+    # 1 + min(ns - rs, ne - re) shared words; a match needs ceil((ns+ne)/3).
+    # A matching pair keeps the row of its first shared word, so it is exact.
+    pos_ok = 3 * (1 + F.least(ns - F.col("rs"), ne - F.col("re"))) >= ns + ne
+    jac = (sp.join(ep, "token").filter(size_ok & pos_ok)
            .select(*skey, "project_id").distinct())
 
     # Acronym strategies: equal acronym tokens.
