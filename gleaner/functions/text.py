@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleaner.fixed_values import DESCRIPTION_BONUS, DESCRIPTION_WORD_BONUS
 from gleaner.functions.html import JAVA_WS, WS_CLASS, collapse_ws
 
 _WS_INNER = WS_CLASS[1:-1]
@@ -76,7 +77,8 @@ def description_bonus_milli(query_norm: Column, desc_norm: Column) -> Column:
     normalized description, else 50 when one of its words longer than 3 does."""
     words = F.filter(F.split(query_norm, " "), lambda w: F.length(w) > 3)
     any_word = F.exists(words, lambda w: desc_norm.contains(w))
-    return F.when(desc_norm.contains(query_norm), 100).when(any_word, 50).otherwise(0)
+    return (F.when(desc_norm.contains(query_norm), DESCRIPTION_BONUS)
+            .when(any_word, DESCRIPTION_WORD_BONUS).otherwise(0))
 
 
 def levenshtein_sim(a: Column, b: Column) -> Column:

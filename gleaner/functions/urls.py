@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The sites' base addresses and the search URL layout
-# (10 results per page, relevance order).
-LISTING_BASE_URL = "https://gepris.dfg.de"
-PROJECT_BASE_URL = "https://cordis.europa.eu/project/id/"
-SEARCH_URL_PREFIX = "https://cordis.europa.eu/search?q="
-SEARCH_URL_SUFFIX = "&p=1&num=10&srt=Relevance:decreasing"
-XML_URL_SUFFIX = "?format=xml"
+from gleaner.fixed_values import (  # noqa: F401 (re-exported)
+    LISTING_BASE_URL,
+    PROJECT_BASE_URL,
+    SEARCH_URL_PREFIX,
+    SEARCH_URL_SUFFIX,
+    SUBPAGE_MARKERS,
+    XML_URL_SUFFIX,
+)
 
 SCHEME_RE = "^([A-Za-z][A-Za-z0-9+.-]*):"
 AUTHORITY_RE = "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
@@ -96,7 +97,10 @@ def project_id(href: Column) -> Column:
 
 def is_subpage(href: Column) -> Column:
     """H9: report and factsheet pages are not project main pages."""
-    return href.contains("/reporting") | href.contains("/factsheet")
+    hit = href.contains(SUBPAGE_MARKERS[0])
+    for marker in SUBPAGE_MARKERS[1:]:
+        hit = hit | href.contains(marker)
+    return hit
 
 
 def normalize_project_url(href: Column) -> Column:

@@ -17,11 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Metadata fields, in extraction order, and the fields a
-# valid record should carry.
-METADATA_FIELDS = ["id", "acronym", "title", "objective", "startDate", "endDate",
-                   "totalCost", "ecMaxContribution", "keywords"]
-ESSENTIAL_FIELDS = ["title", "startDate", "totalCost"]
+from gleaner.fixed_values import ESSENTIAL_FIELDS, METADATA_FIELDS  # noqa: E402
 
 _FLAT_TYPE = T.StructType([
     T.StructField("wellformed", T.BooleanType()),

@@ -40,13 +40,14 @@ VALUE_SPAN_RE = "(?s)<span\\b[^>]*" + _class_attr("value") + "[^>]*>(.*?)</span>
 _TAG = "<[^>]*>"
 _SEP = "\u0001"
 
-# Synonym labels merged into one output field.
-APPLICANT_FIELD = "Antragsteller/in"
-APPLICANT_SOURCES = ["Antragsteller", "Antragstellerin", "Antragsteller/in"]
-INSTITUTION_FIELD = "Institution(en)"
-INSTITUTION_SOURCES = ["Antragstellende Institution", "Beteiligte Institution"]
-TITLE_FIELD = "Projekt"
-TEXT_FIELD = "Projektbeschreibung"
+from gleaner.fixed_values import (  # noqa: E402
+    APPLICANT_FIELD,
+    APPLICANT_SOURCES,
+    INSTITUTION_FIELD,
+    INSTITUTION_SOURCES,
+    TEXT_FIELD,
+    TITLE_FIELD,
+)
 
 
 def _text_nodes(fragment: Column) -> Column:

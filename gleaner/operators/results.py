@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.fixed_values import FALLBACK_RELEVANCE, FALLBACK_TITLE, PAGE_SIZE, RESULT_SELECTOR_NAMES
 from gleaner.functions import urls as U
 from gleaner.functions.html import collapse_ws, decode_entities, drop_markup
 
@@ -23,18 +24,19 @@ def _same_tag(attr: str) -> str:
     return "(?s)<([A-Za-z][A-Za-z0-9]*)\\b[^>]*" + attr + "[^>]*>(.*?)</\\1\\s*>"
 
 
-# The result-container selectors, in cascade order.
-RESULT_SELECTORS = [
-    (".result", _same_tag(_cls("result")), 2),
-    ("[data-testid='result-item']", _same_tag("\\bdata-testid\\s*=\\s*\"result-item\""), 2),
-    (".search-result", _same_tag(_cls("search-result")), 2),
-    ("div[class*='result']", "(?s)<div\\b[^>]*\\bclass\\s*=\\s*\"[^\"]*result[^\"]*\"[^>]*>(.*?)</div\\s*>", 1),
-    ("article", "(?s)<article\\b[^>]*>(.*?)</article\\s*>", 1),
-    (".project-item", _same_tag(_cls("project-item")), 2),
-]
+# The result-container selectors (names fixed in gleaner.fixed_values), in
+# cascade order, each with the regex that finds its elements.
+RESULT_SELECTORS = list(zip(RESULT_SELECTOR_NAMES, [
+    _same_tag(_cls("result")),
+    _same_tag("\\bdata-testid\\s*=\\s*\"result-item\""),
+    _same_tag(_cls("search-result")),
+    "(?s)<div\\b[^>]*\\bclass\\s*=\\s*\"[^\"]*result[^\"]*\"[^>]*>(.*?)</div\\s*>",
+    "(?s)<article\\b[^>]*>(.*?)</article\\s*>",
+    _same_tag(_cls("project-item")),
+], [2, 2, 2, 1, 1, 2]))
 PROJECT_ANCHOR_RE = "(?s)<a\\b[^>]*\\bhref\\s*=\\s*\"([^\"]*/project/id/[^\"]*)\"[^>]*>(.*?)</a\\s*>"
 DESCRIPTION_RE = "(?s)<([A-Za-z][A-Za-z0-9]*)\\b[^>]*" + _cls("(?:description|summary|teaser)") + "[^>]*>(.*?)</\\1\\s*>"
-MAX_RESULTS = 10
+MAX_RESULTS = PAGE_SIZE
 
 
 def element_text(fragment: Column) -> Column:
@@ -78,12 +80,12 @@ def fallback_results(pages: DataFrame) -> DataFrame:
     href = U.resolve_href(F.regexp_extract("a", PROJECT_ANCHOR_RE, 1), F.col("url"))
     title = element_text(F.regexp_extract("a", PROJECT_ANCHOR_RE, 2))
     r = e.select("page_id", "pos", href.alias("url"), U.project_id(href).alias("id"),
-                 F.when(title == "", F.lit("Unknown Title")).otherwise(title).alias("title"))
+                 F.when(title == "", F.lit(FALLBACK_TITLE)).otherwise(title).alias("title"))
     r = r.filter(F.col("id").isNotNull())
     w = F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))
     return (r.withColumn("rn", w).filter(F.col("rn") <= MAX_RESULTS)
             .select("page_id", (F.col("rn") - 1).alias("pos"), "id", "url", "title",
-                    F.lit(0.5).alias("relevance_score")))
+                    F.lit(FALLBACK_RELEVANCE).alias("relevance_score")))
 
 
 ANCHOR_RE = "(?s)<a\\b([^>]*)>(.*?)</a\\s*>"

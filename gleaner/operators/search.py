@@ -35,7 +35,7 @@ from gleaner.functions import text as TX
 from gleaner.session import materialize
 
 ACRONYM_TOKEN_PREFIX = "\u0001"
-PAGE_SIZE = 10  # fixed page size of a search request
+from gleaner.fixed_values import PAGE_SIZE  # noqa: E402 (results per search request)
 # Word-frequency rows that may be broadcast (word + count, ~50 bytes a row,
 # so about 250 MB per copy); checked on the materialized table.
 BROADCAST_MAX_WORDS = 5_000_000

@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.xml import ESSENTIAL_FIELDS, METADATA_FIELDS, facts_struct, xml_facts_flat
 from gleaner.sources.project_xml import CORDIS_NS
 
-# Size bounds of a plausible record file.
-MIN_BYTES = 1000
-MAX_BYTES = 10 * 1024 * 1024
+from gleaner.fixed_values import MAX_BYTES, MIN_BYTES, XML_FILE_PREFIX, XML_FILE_SUFFIX  # noqa: E402
 
 
 def with_facts(df: DataFrame, xml_col: str = "xml") -> DataFrame:
@@ -64,7 +62,7 @@ def metadata_columns(facts: Column) -> list[Column]:
 
 def xml_file_name(pid: Column) -> Column:
     """K5: the stored name of a project's record."""
-    return F.concat(F.lit("cordis_project_"), pid, F.lit(".xml"))
+    return F.concat(F.lit(XML_FILE_PREFIX), pid, F.lit(XML_FILE_SUFFIX))
 
 
 def content_probe(status: Column, body: Column, pid: Column) -> Column:

@@ -64,7 +64,7 @@ SELECT page_no, pos, href, md5(href) AS url_md5,
 FROM (SELECT (floor(p_partkey / {fixtures.LISTING_PAGE_SIZE}) + 1)::INTEGER AS page_no,
              (row_number() OVER (PARTITION BY floor(p_partkey / {fixtures.LISTING_PAGE_SIZE})
                                  ORDER BY p_partkey) - 1)::INTEGER AS pos,
-             'https://gepris.dfg.de/gepris/projekt/' || p_partkey AS href
+             '{U.LISTING_BASE_URL}/gepris/projekt/' || p_partkey AS href
       FROM part)""")
 def listing_links(spark, sf_dir):
     """Project links of each listing page, made absolute."""
@@ -82,11 +82,11 @@ walk(page_no) AS (
   SELECT 1 FROM pg WHERE page_no = 1
   UNION ALL
   SELECT w.page_no + 1 FROM walk w JOIN pg ON pg.page_no = w.page_no + 1)
-SELECT page_no, 'https://gepris.dfg.de{fixtures.LISTING_PATH}' || page_no AS url FROM walk""")
+SELECT page_no, '{U.LISTING_BASE_URL}{fixtures.LISTING_PATH}' || page_no AS url FROM walk""")
 def pagination_chain(spark, sf_dir):
     """Follow 'next' links from the first listing page."""
     lp = fixtures.listing_pages(spark, sf_dir)
     nxt = F.nullif(F.regexp_extract("html", _NEXT_RE, 1), F.lit(""))
     nodes = lp.select("url", F.when(nxt.isNotNull(), U.prefix_base(nxt)).alias("next_url"))
-    start = "https://gepris.dfg.de" + fixtures.LISTING_PATH + "1"
+    start = U.LISTING_BASE_URL + fixtures.LISTING_PATH + "1"
     return FR.list_rank(spark, nodes, start)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleaner import fixed_values as FV
 from gleaner.functions import text as TX
 from gleaner.functions.fuzzy import fuzzy_scores
 from gleaner.operators import resolve as RS
@@ -104,9 +105,9 @@ def match_verdict(spark, sf_dir):
 
 
 @plan("disambiguation_topk", oracle=f"""
-SELECT query_no, rank, project_id, substring(title, 1, 60) AS title,
-       substring(description, 1, 80) AS description, milli / 1000.0::DOUBLE AS match_score
-FROM ({MS.RANKED}) WHERE verdict = 'ambiguous' AND rank <= 5""")
+SELECT query_no, rank, project_id, substring(title, 1, {FV.TITLE_CUT}) AS title,
+       substring(description, 1, {FV.DESCRIPTION_CUT}) AS description, milli / 1000.0::DOUBLE AS match_score
+FROM ({MS.RANKED}) WHERE verdict = 'ambiguous' AND rank <= {FV.DISAMBIGUATION_TOP}""")
 def disambiguation_topk(spark, sf_dir):
     """A5: the top-5 list shown for ambiguous queries."""
     return RS.disambiguation(_ranked(spark, sf_dir))

@@ -7,6 +7,7 @@ prefix-filtered Spark join loses no candidate.
 
 from __future__ import annotations
 
+from gleaner import fixed_values as FV
 from gleaner.functions import text as TX
 from gleaner.plans import sqlbits as Q
 
@@ -84,19 +85,21 @@ SELECT *, {Q.normalize('query')} AS qn, {Q.normalize('description')} AS dn FROM
 """
 
 _M = "greatest(length(qn), length(title_norm))"
+_W = FV.RATIO_WEIGHT + FV.PARTIAL_WEIGHT + FV.TOKEN_SET_WEIGHT
 SCORED = f"""
 WITH norm AS MATERIALIZED ({_NORM})
-SELECT s.*, least(9 * (CASE WHEN {_M} = 0 THEN 100
+SELECT s.*, least({_W} * (CASE WHEN {_M} = 0 THEN 100
                             ELSE (200 * ({_M} - {Q.char_levenshtein('qn', 'title_norm')}) + {_M}) // (2 * {_M}) END)
                   + {Q.description_bonus('qn', 'dn')}
-                  + CASE WHEN {Q.is_acronym_match('query', 'title')} THEN 200 ELSE 0 END
-                  + CASE WHEN qn = title_norm THEN 300 ELSE 0 END, 1000)::INTEGER AS milli
+                  + CASE WHEN {Q.is_acronym_match('query', 'title')} THEN {FV.ACRONYM_BONUS} ELSE 0 END
+                  + CASE WHEN qn = title_norm THEN {FV.EXACT_BONUS} ELSE 0 END, 1000)::INTEGER AS milli
 FROM norm s, {Q.char_map('SELECT * FROM norm', 'qn', 'title_norm')} m
 """
 
 KEPT = f"""
 SELECT * FROM (
-  SELECT *, min(CASE WHEN milli > 900 THEN strategy_no END) OVER (PARTITION BY query_no) AS stop_strategy_no
+  SELECT *, min(CASE WHEN milli > {FV.HIGH_CONFIDENCE_MILLI} THEN strategy_no END) OVER (PARTITION BY query_no)
+    AS stop_strategy_no
   FROM ({SCORED}))
 WHERE stop_strategy_no IS NULL OR strategy_no <= stop_strategy_no
 """
@@ -110,7 +113,8 @@ WHERE rn = 1
 """
 
 RANKED = f"""
-SELECT *, CASE WHEN n_candidates = 1 OR top_milli > 900 THEN 'high_confidence' ELSE 'ambiguous' END AS verdict
+SELECT *, CASE WHEN n_candidates = 1 OR top_milli > {FV.HIGH_CONFIDENCE_MILLI} THEN 'high_confidence'
+               ELSE 'ambiguous' END AS verdict
 FROM (
   SELECT *, row_number() OVER (PARTITION BY query_no ORDER BY milli DESC, first_seen)::INTEGER AS rank,
          count(*) OVER (PARTITION BY query_no) AS n_candidates,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleaner import fixed_values as FV
 from gleaner.functions import html as H
 from gleaner.functions import urls as U
 from gleaner.operators import results as RR
@@ -15,7 +16,7 @@ from gleaner.plans import sqlbits as Q
 from gleaner.plans.registry import plan
 from gleaner.sources import fixtures
 
-_CORDIS = "https://cordis.europa.eu"
+_CORDIS = FV.PROJECT_BASE_URL[: -len("/project/id/")]  # the site root
 _O = """
 SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_orderkey AS VARCHAR) AS k,
        floor(o_orderkey / 10)::BIGINT AS page_id, (floor(o_orderkey / 10)::BIGINT % 4) AS variant,
@@ -77,7 +78,8 @@ def search_result_rows(spark, sf_dir):
 @plan("search_fallback_rows", oracle=f"""
 SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1)::INTEGER AS pos,
        regexp_extract(href, '/project/id/(\\d+)', 1) AS id, href AS url,
-       CASE WHEN text = '' THEN 'Unknown Title' ELSE text END AS title, 0.5::DOUBLE AS relevance_score
+       CASE WHEN text = '' THEN '{FV.FALLBACK_TITLE}' ELSE text END AS title,
+       {FV.FALLBACK_RELEVANCE}::DOUBLE AS relevance_score
 FROM ({_ANCHORS})
 WHERE page_id % 4 = 3 AND regexp_matches(href, '/project/id/\\d+')
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) <= 10""")

@@ -7,6 +7,7 @@ oracle and its plan can only differ by what they compute, not by spelling.
 
 from __future__ import annotations
 
+from gleaner import fixed_values as FV
 from gleaner.functions import html as H
 from gleaner.functions import urls as U
 
@@ -128,9 +129,9 @@ def is_acronym_match(q: str, title: str) -> str:
 
 
 def description_bonus(qn: str, dn: str) -> str:
-    return (f"(CASE WHEN contains({dn}, {qn}) THEN 100 "
+    return (f"(CASE WHEN contains({dn}, {qn}) THEN {FV.DESCRIPTION_BONUS} "
             f"WHEN len(list_filter(list_filter(string_split({qn}, ' '), lambda w: length(w) > 3), "
-            f"lambda w: contains({dn}, w))) > 0 THEN 50 ELSE 0 END)")
+            f"lambda w: contains({dn}, w))) > 0 THEN {FV.DESCRIPTION_WORD_BONUS} ELSE 0 END)")
 
 
 def levenshtein_sim(a: str, b: str) -> str:

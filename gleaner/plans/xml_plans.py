@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleaner import fixed_values as FV
 from gleaner.functions.xml import METADATA_FIELDS
 from gleaner.operators import xmlrecords as X
 from gleaner.plans.registry import plan
@@ -150,7 +151,7 @@ def xml_metadata(spark, sf_dir):
 
 @plan("batch_valid_ids", oracle=f"""
 SELECT CAST(o.o_orderkey AS VARCHAR) AS project_id,
-       'cordis_project_' || CAST(o.o_orderkey AS VARCHAR) || '.xml' AS file_name
+       '{FV.XML_FILE_PREFIX}' || CAST(o.o_orderkey AS VARCHAR) || '{FV.XML_FILE_SUFFIX}' AS file_name
 FROM orders o JOIN (SELECT project_id, status, {_ERROR} AS error FROM ({_FACTS})) v
   ON v.project_id = CAST(o.o_orderkey AS VARCHAR)
 WHERE v.status < 400 AND v.error IS NULL""")

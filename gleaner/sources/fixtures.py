@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.fixed_values import LISTING_BASE_URL, SEARCH_URL_PREFIX
 from gleaner.functions import text as TX
 from gleaner.sources.tables import read_table, spread
 
@@ -132,7 +133,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     but the last links to the next one.  (page_no, url, html)."""
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     page_no = (F.floor(F.col("p_partkey") / LISTING_PAGE_SIZE) + 1).cast("int")
-    href = F.concat(F.when(F.col("p_size") > 40, F.lit("https://gepris.dfg.de")).otherwise(F.lit("")),
+    href = F.concat(F.when(F.col("p_size") > 40, F.lit(LISTING_BASE_URL)).otherwise(F.lit("")),
                     F.lit("/gepris/projekt/"), F.col("p_partkey").cast("string"))
     cls = F.when(F.pmod(F.col("p_partkey"), F.lit(2)) == 0, F.lit("eintrag")).otherwise(F.lit("eintrag_alternate"))
     entry = F.concat(F.lit('<div class="'), cls, F.lit('"><h2><a href="'), href, F.lit('">'),
@@ -144,7 +145,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              lambda s: s["entry"]), "").alias("body")))
     nxt = entries.select((F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("has_next"))
     pages = entries.join(nxt, "page_no", "left")
-    url = F.concat(F.lit("https://gepris.dfg.de" + LISTING_PATH), F.col("page_no").cast("string"))
+    url = F.concat(F.lit(LISTING_BASE_URL + LISTING_PATH), F.col("page_no").cast("string"))
     next_link = F.when(F.col("has_next"), F.concat(
         F.lit('<div class="listennaviright"><a class="nextactive" href="' + LISTING_PATH),
         (F.col("page_no") + 1).cast("string"), F.lit('">weiter</a></div>'))).otherwise(F.lit(""))
@@ -202,7 +203,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('?format=xml">XML</a> <a href="/project/id/'), pid,
         F.lit('?format=pdf">Download the PDF summary of the results for page '), pid,
         F.lit(" of the order list</a></div>"))
-    url = F.concat(F.lit("https://cordis.europa.eu/search?q=orders+"), pid, F.lit("&p=1&num=10"))
+    url = F.concat(F.lit(SEARCH_URL_PREFIX + "orders+"), pid, F.lit("&p=1&num=10"))
     html = F.concat(F.lit('<html><body><div id="search"><ul class="results-list">'), F.col("body"),
                     F.lit("</ul></div>"), download, F.lit("</body></html>"))
     return items.select("page_id", url.alias("url"), html.alias("html"))

@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from gleaner.sources.tables import read_table, spread
 
-# The expected project namespace and the other one used.
-CORDIS_NS = "http://cordis.europa.eu"
-OTHER_NS = "http://example.org/other"
+from gleaner.fixed_values import PROJECT_NAMESPACE as CORDIS_NS  # noqa: E402
+
+OTHER_NS = "http://example.org/other"  # an unexpected namespace for the warning case
 
 # Derived fields, in both dialects.
 _FIELDS = {

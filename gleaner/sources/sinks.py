@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.fixed_values import XML_FILE_PREFIX, XML_FILE_SUFFIX
 from gleaner.functions.urls import text_file_name
 
 
@@ -33,5 +34,5 @@ def write_text_store(texts: DataFrame, path: str) -> None:
 
 def write_xml_store(captures: DataFrame, path: str) -> None:
     """K5: (project_id, file_name, xml) with the record's stored name."""
-    captures.select("project_id", F.concat(F.lit("cordis_project_"), "project_id", F.lit(".xml"))
+    captures.select("project_id", F.concat(F.lit(XML_FILE_PREFIX), "project_id", F.lit(XML_FILE_SUFFIX))
                     .alias("file_name"), "xml").write.mode("overwrite").parquet(path)
