@@ -9,6 +9,7 @@ normalize(x), a catalog entry matches a strategy s when
   3 * |shared| >= |words(s)| + |words(title)|;
 * s looks like an acronym (2-10 letters A-Z after upper-casing): also when
   the title's acronym (M2) equals it;
+* s is a bare number: also the entry whose project id it is;
 * s is quoted ("..."): the normalized title contains the phrase.
 
 Results are ordered by Jaccard desc, title length, project id; the first 10
@@ -69,8 +70,10 @@ def strategy_terms(strats: DataFrame) -> DataFrame:
     phrase = is_phrase(s)
     inner = F.when(phrase, F.expr("substring(strategy, 2, length(strategy) - 2)")).otherwise(s)
     norm = TX.normalize(inner)
+    bare = TX.py_strip(s)
     return strats.select("*", phrase.alias("is_phrase"), norm.alias("phrase_norm"),
-                         _words(norm).alias("words"), F.when(~phrase, _acronym_token(s)).alias("acr"))
+                         _words(norm).alias("words"), F.when(~phrase, _acronym_token(s)).alias("acr"),
+                         F.when(~phrase & bare.rlike("^[0-9]+$"), bare).alias("id_query"))
 
 
 def catalog_index(catalog: DataFrame) -> DataFrame:
@@ -124,6 +127,10 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
            .join(index.filter(F.col("acr").isNotNull()).select("project_id", "acr"), "acr")
            .select(*skey, "project_id"))
 
+    # Bare ids: the entry with that id (equi-join on the key).
+    ids = (plain.filter(F.col("id_query").isNotNull()).select(*skey, F.col("id_query").alias("project_id"))
+           .join(index.select("project_id"), "project_id").select(*skey, "project_id"))
+
     # Phrases: the phrase's rarest word, then containment.
     ph = terms.filter(F.col("is_phrase") & (F.size("words") > 0))
     ph_tok = (ph.select(*skey, F.explode("words").alias("token")).join(dfreq, "token", "left")
@@ -132,10 +139,10 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
               .filter(F.col("r") == 1).select(*skey, "token"))
     phr = ph_tok.join(postings, "token").select(*skey, "project_id")
 
-    pairs = jac.unionByName(acr).unionByName(phr).distinct()
+    pairs = jac.unionByName(acr).unionByName(ids).unionByName(phr).distinct()
 
     # Verify and rank on slim columns; wide text joins only the top 10.
-    slim_terms = terms.select(*skey, "query", "strategy", "is_phrase", "phrase_norm", "words", "acr")
+    slim_terms = terms.select(*skey, "query", "strategy", "is_phrase", "phrase_norm", "words", "acr", "id_query")
     slim_index = index.select("project_id", F.col("words").alias("entry_words"),
                               F.col("acr").alias("entry_acr"), "title_norm", "title_len")
     cand = pairs.join(slim_terms, skey).join(slim_index, "project_id")
@@ -145,7 +152,8 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
     acr_ok = F.col("acr").isNotNull() & (F.col("acr") == F.col("entry_acr"))
     phrase_ok = F.concat(F.lit(" "), F.col("title_norm"), F.lit(" ")).contains(
         F.concat(F.lit(" "), F.col("phrase_norm"), F.lit(" ")))
-    ok = F.when(F.col("is_phrase"), phrase_ok).otherwise((jaccard_ok & (nt > 0)) | acr_ok)
+    id_ok = F.col("id_query").isNotNull() & (F.col("id_query") == F.col("project_id"))
+    ok = F.when(F.col("is_phrase"), phrase_ok).otherwise((jaccard_ok & (nt > 0)) | acr_ok | id_ok)
     cand = (cand.withColumn("overlap", o)
             .withColumn("jaccard", F.when(nt + ne - o > 0, o / (nt + ne - o)).otherwise(F.lit(0.0)))
             .filter(ok).select(*skey, "query", "strategy", "project_id", "title_norm", "overlap", "jaccard",

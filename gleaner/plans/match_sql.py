@@ -42,7 +42,9 @@ terms0 AS (
            AS pn
   FROM strat),
 terms AS (SELECT *, {_words('pn')} AS words,
-                 CASE WHEN NOT is_phrase THEN {_acr_token('strategy')} END AS acr FROM terms0),
+                 CASE WHEN NOT is_phrase THEN {_acr_token('strategy')} END AS acr,
+                 CASE WHEN NOT is_phrase AND regexp_matches({Q.py_strip('strategy')}, '^[0-9]+$')
+                      THEN {Q.py_strip('strategy')} END AS id_query FROM terms0),
 qt AS (SELECT query_no, strategy_no, unnest(words) AS token FROM terms WHERE NOT is_phrase),
 ct AS (SELECT project_id, unnest(words) AS token FROM cat),
 ov AS (SELECT query_no, strategy_no, project_id, count(*) AS o
@@ -56,7 +58,8 @@ acr_m AS (SELECT t.query_no, t.strategy_no, c.project_id FROM terms t JOIN cat c
 phr AS (SELECT t.query_no, t.strategy_no, c.project_id FROM terms t JOIN ct ON ct.token = t.words[1]
         JOIN cat c ON c.project_id = ct.project_id
         WHERE t.is_phrase AND len(t.words) > 0 AND contains(' ' || c.tn || ' ', ' ' || t.pn || ' ')),
-pairs AS (SELECT * FROM jac UNION SELECT * FROM acr_m UNION SELECT * FROM phr),
+id_m AS (SELECT t.query_no, t.strategy_no, c.project_id FROM terms t JOIN cat c ON c.project_id = t.id_query),
+pairs AS (SELECT * FROM jac UNION SELECT * FROM acr_m UNION SELECT * FROM id_m UNION SELECT * FROM phr),
 cand AS (
   SELECT t.query_no, t.query, t.strategy_no, t.strategy, c.project_id, c.title, c.description,
          c.tn AS title_norm, len(list_intersect(t.words, c.words))::INTEGER AS overlap,

@@ -36,8 +36,9 @@ def brute_search(queries, catalog):
                 else:
                     a = acr_token(s)
                     ta = py_acronym(title)
-                    ok = (bool(tw) and 3 * o >= len(tw) + len(ew)) or (a is not None and ta is not None
-                                                                       and acr_token(ta) == a)
+                    ok = ((bool(tw) and 3 * o >= len(tw) + len(ew))
+                          or (a is not None and ta is not None and acr_token(ta) == a)
+                          or (s.strip().isdigit() and s.strip().isascii() and s.strip() == pid))
                 if ok:
                     j = o / (len(tw) + len(ew) - o) if len(tw) + len(ew) - o else 0.0
                     hits.append((-j, len(title), pid))
@@ -57,7 +58,8 @@ def test_hot_words_third_of_catalog(spark):
             title = f"Rare Title {i} alpha{i} beta{i % 11}"
         catalog.append((str(i), title))
     queries = [(0, "the common project of the common data"), (1, "the common"), (2, "common study number 4"),
-               (3, "RTAB"), (4, "Rare Title 5 alpha5"), (5, "the"), (6, ""), (7, "beta3 beta3 gamma")]
+               (3, "RTAB"), (4, "Rare Title 5 alpha5"), (5, "the"), (6, ""), (7, "beta3 beta3 gamma"),
+               (8, "101"), (9, " 299 "), (10, "999999")]
     qdf = spark.createDataFrame(queries, "query_no long, query string")
     cdf = spark.createDataFrame([(p, t, "") for p, t in catalog], "project_id string, title string, description string")
     got = {(r.query_no, r.strategy_no, r.pos): r.project_id for r in S.search(qdf, cdf).collect()}
