@@ -24,6 +24,7 @@ FALLBACK_RELEVANCE = 0.5
 RESULT_SELECTOR_NAMES = [".result", "[data-testid='result-item']", ".search-result",
                          "div[class*='result']", "article", ".project-item"]
 SUBPAGE_MARKERS = ["/reporting", "/factsheet"]
+DOWNLOAD_ELEMENTS_SHOWN, DOWNLOAD_TEXT_CUT = 5, 50
 
 # --- Fixed values: matching (weights in milli-points) ------------------------
 RATIO_WEIGHT, PARTIAL_WEIGHT, TOKEN_SET_WEIGHT = 4, 3, 2     # 0.4, 0.3, 0.2 per point

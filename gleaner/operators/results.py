@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.fixed_values import FALLBACK_RELEVANCE, FALLBACK_TITLE, PAGE_SIZE, RESULT_SELECTOR_NAMES
+from gleaner.fixed_values import (
+    DOWNLOAD_ELEMENTS_SHOWN,
+    DOWNLOAD_TEXT_CUT,
+    FALLBACK_RELEVANCE,
+    FALLBACK_TITLE,
+    PAGE_SIZE,
+    RESULT_SELECTOR_NAMES,
+)
 from gleaner.functions import urls as U
 from gleaner.functions.html import collapse_ws, decode_entities, drop_markup
 
@@ -111,8 +118,9 @@ def download_probes(pages: DataFrame) -> DataFrame:
     els = pages.select("page_id", F.posexplode(
         F.regexp_extract_all("html", F.lit(DOWNLOAD_ELEMENT_RE), 0)).alias("pos", "e"))
     etext = F.trim(F.regexp_extract("e", DOWNLOAD_ELEMENT_RE, 2))
-    cut = F.when(F.length(etext) > 50, F.concat(F.substring(etext, 1, 50), F.lit("..."))).otherwise(etext)
-    elements = els.filter(F.col("pos") < 5).select(
+    cut = F.when(F.length(etext) > DOWNLOAD_TEXT_CUT,
+                 F.concat(F.substring(etext, 1, DOWNLOAD_TEXT_CUT), F.lit("..."))).otherwise(etext)
+    elements = els.filter(F.col("pos") < DOWNLOAD_ELEMENTS_SHOWN).select(
         "page_id", F.lit("download_element").alias("kind"), "pos",
         F.lower(F.regexp_extract("e", DOWNLOAD_ELEMENT_RE, 1)).alias("tag"), cut.alias("text"),
         F.lit(None).cast("string").alias("href"))
