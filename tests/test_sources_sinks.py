@@ -51,3 +51,16 @@ def test_page_and_text_stores(spark, sf_small, tmpdir_path):
     sinks.write_text_store(t, os.path.join(tmpdir_path, "text"))
     names = [r.text_file for r in spark.read.parquet(os.path.join(tmpdir_path, "text")).collect()]
     assert names and all(n.endswith(".md") and n.startswith("0_") for n in names)
+
+
+def test_listing_store_partitions_by_page(spark, sf_small, tmpdir_path):
+    from gleaner.plans.crawl_plans import listing_links
+    from gleaner.sources import fixtures
+
+    links = listing_links(spark, sf_small)
+    pages = fixtures.listing_pages(spark, sf_small).select("page_no", "html")
+    sinks.write_listing_store(links.join(pages, "page_no"), os.path.join(tmpdir_path, "listing"))
+    back = spark.read.parquet(os.path.join(tmpdir_path, "listing"))
+    assert back.count() == links.count()
+    one = back.filter("page_no = 1").orderBy("pos").first()
+    assert one.pos == 0 and one.file_name.startswith("page1_proj0_") and one.file_name.endswith(".html")
