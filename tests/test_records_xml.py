@@ -98,3 +98,30 @@ def test_size_bounds(spark):
         df = spark.createDataFrame([("7", body)], "project_id string, xml string").withColumn(
             "file_size", F.octet_length("xml").cast("bigint"))
         assert (X.validate(df).first().error == "too_small") == small
+
+
+def test_metadata_round_trip_property(spark):
+    import random
+    import xml.etree.ElementTree as ET
+
+    from gleaner.functions.xml import METADATA_FIELDS
+
+    rnd = random.Random(11)
+    alphabet = "ab <>&\"' \t\nçé€"
+    rows, expected = [], {}
+    for i in range(150):
+        root = ET.Element("project")
+        fields = {}
+        for f in METADATA_FIELDS:
+            if rnd.random() < 0.2:
+                continue  # field absent
+            text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))
+            ET.SubElement(root, f).text = text
+            if text.strip():
+                fields[f] = text.strip()
+        ET.SubElement(root, "pad").text = "x" * 1000
+        rows.append((str(i), ET.tostring(root, encoding="unicode")))
+        expected[str(i)] = {f: fields.get(f) for f in METADATA_FIELDS}
+    df = spark.createDataFrame(rows, "project_id string, xml string")
+    got = {r.project_id: r.facts.fields.asDict() for r in X.with_facts(df).collect()}
+    assert got == expected
