@@ -22,15 +22,11 @@ def rr(expr: str, pattern: str, repl: str = " ") -> str:
 
 
 def drop_markup(expr: str) -> str:
-    for p in (H.COMMENT_RE, H.SCRIPT_RE, H.STYLE_RE, H.TEMPLATE_RE, H.RUBY_RE, H.DECL_RE, H.TAG_RE):
-        expr = rr(expr, p)
-    return expr
+    return rr(expr, H.MARKUP_RE)
 
 
 def inert_free(expr: str) -> str:
-    for p in (H.COMMENT_RE, H.SCRIPT_RE, H.STYLE_RE, H.TEMPLATE_RE):
-        expr = rr(expr, p)
-    return expr
+    return rr(expr, H.INERT_RE)
 
 
 def decode_entities(expr: str) -> str:

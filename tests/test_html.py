@@ -18,6 +18,8 @@ EDGE_PAGES = [
     "<template><p>no</p></template><p>yes</p>",
     "<ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby> end",
     "a < b and c > d",
+    "<script> a <!-- b </script> c --> d",
+    "<!-- a <script> b --> c </script> d",
 ]
 
 
