@@ -51,6 +51,8 @@ COMMON_ENTITIES = [
     ("&amp;", "&"),
 ]
 _COMMON_ENTITY_RE = "&(?:lt|gt|quot|#39|apos|nbsp|copy|middot|amp);"
+# A character reference that is not one of the common ones (one scan).
+_RARE_REF_RE = "&(?!(?:lt|gt|quot|#39|apos|nbsp|copy|middot|amp);)[#A-Za-z]"
 
 
 def _one_pass(*patterns: str) -> str:
@@ -83,7 +85,7 @@ def decode_entities(text: Column) -> Column:
     fast = text
     for ent, ch in COMMON_ENTITIES:
         fast = F.replace(fast, F.lit(ent), F.lit(ch))
-    rare = F.regexp_replace(text, _COMMON_ENTITY_RE, "").rlike("&[#A-Za-z]")
+    rare = text.rlike(_RARE_REF_RE)
     return F.coalesce(_unescape_rare(F.when(rare, text)), fast)
 
 
@@ -172,7 +174,7 @@ def decode_entities_keep_markup(html: Column) -> Column:
     fast = html
     for ent, ch in _PARKED_ENTITIES:
         fast = F.replace(fast, F.lit(ent), F.lit(ch))
-    rare = F.regexp_replace(html, _COMMON_ENTITY_RE, "").rlike("&[#A-Za-z]")
+    rare = html.rlike(_RARE_REF_RE)
     return F.coalesce(_unescape_parked(F.when(rare, html)), fast)
 
 
