@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, licenses, pii, url_rules
+from . import langid, licenses, near_dedup, pii, url_rules
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -12,6 +12,10 @@ from .oracles import ORACLES  # noqa: F401
 PII_KEY = "gleaner-demo-key"
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"), shingle=3, per_cent=85)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -29,4 +33,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents, langid.fit(documents))
 
 
-QUERIES = {f.__name__: f for f in (op5_license_scan, op6_pii_pseudonyms, op9_url_rules, op10_language)}
+QUERIES = {f.__name__: f for f in (op4_near_dedup, op5_license_scan, op6_pii_pseudonyms, op9_url_rules, op10_language)}
