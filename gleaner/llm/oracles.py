@@ -35,4 +35,18 @@ SELECT page_id, host, path, {_first([(_site(r), f"'{r}'") for _, r in _SITES], "
 FROM both_
 """
 
-ORACLES = {"op9_url_rules": OP9}
+#: Base32 of a 40-digit hex SHA-1: each 5 hex digits are 20 bits, that is 4 characters.
+_BASE32 = """list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  ((CAST('0x' || substr(h, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31)::INT + 1, 1) for k in range(32)], 'string_agg', '')"""
+
+OP1 = f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_page FROM p)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM f
+"""
+
+ORACLES = {"op1_arc_to_warc": OP1, "op9_url_rules": OP9}

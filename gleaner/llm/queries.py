@@ -4,13 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, licenses, near_dedup, pii, url_rules
+from . import decontaminate, langid, licenses, near_dedup, pii, token_store, url_rules, warc
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
 #: Key of the pseudonyms in the registered query; a deployment passes its own.
 PII_KEY = "gleaner-demo-key"
 
+#: Vocabulary of the registered token query, by its name in the installed package.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(VOCABULARY))
+
+
+def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), shingle=3, per_cent=85)
@@ -24,6 +42,10 @@ def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages")).drop("own_rule")
 
@@ -33,4 +55,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents, langid.fit(documents))
 
 
-QUERIES = {f.__name__: f for f in (op4_near_dedup, op5_license_scan, op6_pii_pseudonyms, op9_url_rules, op10_language)}
+QUERIES = {f.__name__: f for f in (
+    op1_arc_to_warc, op3_token_store, op4_near_dedup, op5_license_scan, op6_pii_pseudonyms, op8_decontamination, op9_url_rules, op10_language)}
