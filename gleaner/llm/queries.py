@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, licenses, near_dedup, pii, token_store, url_rules, warc
+from . import decontaminate, langid, licenses, mixing, near_dedup, pii, quality, token_store, url_rules, warc
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -26,6 +26,10 @@ def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -42,6 +46,13 @@ def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    weights = quality.fit(documents, table(spark, sf_dir, "labels"))
+    return quality.judge(documents, weights).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,4 +67,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_arc_to_warc, op3_token_store, op4_near_dedup, op5_license_scan, op6_pii_pseudonyms, op8_decontamination, op9_url_rules, op10_language)}
+    op1_arc_to_warc, op2_mixing, op3_token_store, op4_near_dedup, op5_license_scan, op6_pii_pseudonyms, op7_quality,
+    op8_decontamination, op9_url_rules, op10_language)}
