@@ -16,8 +16,11 @@ from other buckets in a fixed order, so that banding also works for short texts.
    pruned by the collision-corrected estimate of the registers and confirmed
    on the full sets.
 4. *Rest*: buckets whose members still lie in different components are compared
-   in bounded blocks, in which only links between components that are not yet
-   joined are looked for; so no link that the bands offer is lost.
+   by registers, in bounded blocks; members that may still link across
+   components form clusters, which are compared on the full sets, in blocks
+   again, looking only for links between components not yet joined.  So no link
+   that the bands offer is lost, and no pair is written out that is not one of a
+   spanning forest.
 5. Components over all links; the smallest doc_id names each.
 
 Defined cases: a text that is null, empty or without words has an empty set and
@@ -36,14 +39,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, byte_values, chunks, components, hash_spans, mix64, seeds, stored, utf8, word_spans
+from .common import WHITE, byte_values, chunks, components, hash_spans, mix64, seeds, stored, tasks_for, utf8, word_spans
 
 BUCKETS, MANTISSA = 256, 10
 #: Standard deviations by which an estimate may fall short before a pair is dropped unread.
-SLACK = 6.0
+SLACK = 5.0
+#: Document ids that are broadcast at the most (16 bytes each); beyond, texts are joined by a shuffle.
+MOST_BROADCAST = 2_000_000
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 256
 _EMPTY = np.uint16(0xFFFF)
@@ -174,18 +179,23 @@ def sketches(documents: DataFrame, k: int, per_cent: int) -> DataFrame:
                  pa.array([r.tobytes() for r in plain], pa.binary()), pa.array(list(bands), pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "set_key", "registers", "bands"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, _SKETCH)
+    return documents.select("doc_id", "text").mapInArrow(run, _SKETCH).withColumn("row", F.monotonically_increasing_id())
+
+
+def _few(ids: DataFrame) -> DataFrame:
+    """Stored ``ids``, marked for broadcast if they are few."""
+    return F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
 
 
 def _set_rows(documents: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, members) with the full sets of the documents in ``nodes``."""
+    """(node, members) with the full sets of the documents in the stored ``nodes``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array([s.tobytes() for s in sets_of(batch.column("text"), k)], pa.binary())],
                 names=["node", "members"])
 
-    return (documents.select(F.col("doc_id").alias("node"), "text").join(nodes, "node", "left_semi")
+    return (documents.select(F.col("doc_id").alias("node"), "text").join(_few(nodes), "node", "left_semi")
             .mapInArrow(run, "node long, members binary"))
 
 
@@ -216,13 +226,12 @@ def _exact(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     return pairs.join(side("b"), "b").join(side("a"), "a").filter(holds("sa", "sb")).select("a", "b")
 
 
-def _blocks(rows: DataFrame, band: Column) -> DataFrame:
-    """Deal each bucket into blocks of about BLOCK members; a row goes to every pair of blocks that has its own."""
-    count = F.col("size")
-    parts = F.greatest(F.lit(1), F.ceil(count / F.lit(BLOCK))).cast("int")
+def _blocks(rows: DataFrame, group: str) -> DataFrame:
+    """Deal each group into blocks of about BLOCK of its ``size`` members; a row goes to every pair of blocks that has its own."""
+    parts = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(BLOCK))).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
     return (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other"))
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other").repartition(tasks_for(rows), group, "lo", "hi"))
 
 
 def _cross_links(frame: pd.DataFrame, per_cent: int) -> pd.DataFrame:
@@ -261,12 +270,10 @@ def groups(documents: DataFrame, shingle: int = 3, per_cent: int = 85) -> DataFr
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     sketch = stored(sketches(documents, shingle, per_cent), "neardup-sketch")
     real = sketch.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = real.groupBy("set_key").agg(F.min("doc_id").alias("node"))
+    classes = real.groupBy("set_key").agg(F.min(F.struct("doc_id", "row")).alias("head")).select("set_key", F.col("head.doc_id").alias("node"), "head.row")
     members = stored(real.select("doc_id", "set_key").join(classes, "set_key").select("doc_id", "node").distinct(), "neardup-members")
-    # a doc_id may head its class with several rows of the same set; those are alike
-    heads = stored(real.join(classes.select(F.col("node").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi")
-                   .select(F.col("doc_id").alias("node"), "n_shingles", "registers", "bands").dropDuplicates(["node", "n_shingles", "registers"]),
-                   "neardup-heads")
+    heads = stored(real.join(classes.select("row"), "row", "left_semi")
+                   .select(F.col("doc_id").alias("node"), "n_shingles", "registers", "bands"), "neardup-heads")
 
     bands = heads.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
@@ -277,7 +284,7 @@ def groups(documents: DataFrame, shingle: int = 3, per_cent: int = 85) -> DataFr
     pairs = (inside.join(hubs, "band").filter("node <> hub")
              .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
     near = stored(_rough(pairs, heads, per_cent), "neardup-near")
-    ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    ends = stored(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "neardup-ends")
     sets = stored(_set_rows(documents, ends, shingle), "neardup-sets")
     links = stored(_exact(near, sets, per_cent), "neardup-links")
     joined = components(links, "neardup-first")
@@ -286,12 +293,15 @@ def groups(documents: DataFrame, shingle: int = 3, per_cent: int = 85) -> DataFr
     mixed = (state.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low <> high").select("band"))
     open_ = state.join(mixed, "band", "left_semi").join(heads.drop("bands"), "node")
-    candidates = stored(_blocks(open_, F.col("band")).groupBy("band", "lo", "hi").applyInPandas(
-        lambda frame: _suspects(frame, per_cent), "band long, node long, size long, component long"), "neardup-open").distinct()
-    fresh = candidates.select("node").distinct().join(sets.select("node").distinct(), "node", "left_anti")
+    rough = stored(_blocks(open_, "band").groupBy("band", "lo", "hi").applyInPandas(
+        lambda frame: _rough_links(frame, per_cent), "a long, b long").distinct(), "neardup-rough")
+    clusters = components(rough, "neardup-clusters").withColumnRenamed("component", "cluster")
+    sized = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster")
+    fresh = stored(clusters.select("node").join(sets.select("node"), "node", "left_anti").distinct(), "neardup-fresh")
     all_sets = sets.unionByName(_set_rows(documents, fresh, shingle))
-    rest = candidates.join(heads.drop("bands"), "node").join(all_sets, "node")
-    more = stored(_blocks(rest, F.col("band")).groupBy("band", "lo", "hi").applyInPandas(
+    rest = (sized.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            .join(heads.drop("bands"), "node").join(all_sets, "node"))
+    more = stored(_blocks(rest, "cluster").groupBy("cluster", "lo", "hi").applyInPandas(
         lambda frame: _cross_links(frame, per_cent), "a long, b long").distinct(), "neardup-more")
 
     everything = (links.unionByName(more)
@@ -302,25 +312,34 @@ def groups(documents: DataFrame, shingle: int = 3, per_cent: int = 85) -> DataFr
                     F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept")))
 
 
-def _suspects(frame: pd.DataFrame, per_cent: int) -> pd.DataFrame:
-    """The members that registers allow to link into another component of their block pair."""
+def _rough_links(frame: pd.DataFrame, per_cent: int) -> pd.DataFrame:
+    """A spanning forest of the pairs, from different components, that sizes and registers allow."""
     registers = np.stack(_array(frame["registers"], "u2"))
     sizes, comp, mine = frame["n_shingles"].to_numpy(), frame["component"].to_numpy(), frame["own"].to_numpy()
-    lo, hi = int(frame["lo"].iloc[0]), int(frame["hi"].iloc[0])
-    keep = np.zeros(len(frame), dtype=bool)
+    nodes, across = frame["node"].to_numpy(), frame["lo"].iloc[0] != frame["hi"].iloc[0]
+    root = np.arange(len(frame))
+    out = []
     for i in range(len(frame)):
-        rest = comp != comp[i]
-        if lo != hi:
-            rest &= mine != mine[i]
-        rest = np.flatnonzero(rest)
-        ok = rest[may_link(registers[rest], registers[i][None], sizes[rest], sizes[i], per_cent)] if len(rest) else rest
-        if len(ok):
-            keep[ok] = keep[i] = True
-    return frame.loc[keep, ["band", "node", "size", "component"]].astype("int64")
+        open_ = (comp != comp[i]) & (root != root[i])
+        open_[:i] = False
+        if across:
+            open_ &= mine != mine[i]
+        rest = np.flatnonzero(open_)
+        if not len(rest):
+            continue
+        for j in rest[may_link(registers[rest], registers[i][None], sizes[rest], sizes[i], per_cent)]:
+            if root[j] != root[i]:
+                out.append((int(nodes[i]), int(nodes[j])))
+                root[root == root[j]] = root[i]
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
 def keep_one(documents: DataFrame, shingle: int = 5, per_cent: int = 80) -> DataFrame:
-    """The documents without the near copies: of each group the row with the smallest doc_id stays, one of its repeats."""
-    verdict = groups(documents, shingle, per_cent).filter("doc_id is not null and not kept").select("doc_id").distinct()
-    left = documents.join(verdict, "doc_id", "left_anti")
-    return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
+    """The documents without the near copies: of each group the smallest doc_id stays, and of rows that share it one."""
+    verdict = groups(documents, shingle, per_cent).select("doc_id", "kept")
+    gone = stored(verdict.filter("doc_id is not null and not kept").select("doc_id").distinct(), "neardup-gone")
+    left = documents.join(_few(gone), "doc_id", "left_anti")
+    again = stored(verdict.filter("doc_id is not null and kept").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "neardup-again")
+    if not again.take(1):
+        return left
+    return left.join(_few(again), "doc_id", "left_anti").unionByName(left.join(_few(again), "doc_id", "left_semi").dropDuplicates(["doc_id"]))

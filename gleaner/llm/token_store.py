@@ -46,7 +46,7 @@ from .common import chunks, mix64, stored, tasks_for
 from .files import make_folder, opened, written
 
 END_ID = 2
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 LONGEST_CACHED = 64
 BUCKET_KEYS = 50_000
 LEVEL_SLOTS = 2.0
@@ -55,8 +55,14 @@ NULL_KEY = -(1 << 63)
 _MAGIC = b"GLMPH001"
 #: ASCII information separators: white space to Python, not to the tokenizers library.
 _UNSURE = re.compile("[\x1c-\x1f]")
-#: How a vocabulary with word ends splits one lower-cased printable ASCII word.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+#: Words of printable ASCII and Latin-1 letters, which no normalization changes but lower-casing.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: How a vocabulary with word ends splits such a word, lower-cased.
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: Byte-level vocabularies write a byte as the Latin-1 character of its number if that is printable, and the
+#: others, in order, from U+0100 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTES = {b: 0x100 + k for k, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE)}
 
 
 class Encoder:
@@ -91,7 +97,7 @@ class Encoder:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        if not (word.isascii() and word.isprintable()) or "<|" in word:
+        if not _PLAIN.fullmatch(word) or "<|" in word:
             return self._whole(word)
         out, model = [], self.tokenizer.model
         for piece in _PIECES.findall(word.lower()):
@@ -99,7 +105,7 @@ class Encoder:
             if got is None:
                 if len(self.pieces) >= CACHE_WORDS:
                     self.pieces.clear()
-                got = self.pieces[piece] = self._pack([t.id for t in model.tokenize(piece)])
+                got = self.pieces[piece] = self._pack([t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(_BYTES))])
             out.append(got)
         return b"".join(out)
 
