@@ -9,9 +9,10 @@ are confirmed on the exact weighted shingle similarity.
 
 A shingle weighs 1 / (number of items that have it), 1 if no item has it;
 similarity is the sum of the smaller over the sum of the larger weighted counts.
-A window whose known shingles weigh less than the asked share of all its
-shingles cannot reach the similarity with any item; such windows are passed over
-before hashing, which leaves next to nothing of clean text.
+A window in which the shingles of items of its own size weigh less than the asked
+share of all its shingles cannot reach the similarity with any of them; such
+windows are passed over before hashing, which leaves next to nothing of clean
+text.
 
 The benchmark is handled in passes of bounded size (``PASS_BYTES`` of item text), so what
 is sent to the tasks is bounded whatever its size.
@@ -77,10 +78,14 @@ class Benchmark:
         sets = [hashes[begin[k]:begin[k + 1]] for k in keep]
         keys, held = np.unique(np.concatenate([np.unique(s) for s in sets]) if sets else np.zeros(0, np.uint64), return_counts=True)
         self.index, self.weight = HashIndex(keys), 1.0 / np.maximum(held, 1)
+        self.sizes = np.unique(self.size)
+        self.bit = {int(n): 1 << (k % 64) for k, n in enumerate(self.sizes)}
+        self.mask = np.zeros(len(keys) + 1, dtype=np.uint64)  # sizes (modulo 64) of the items that have a shingle; last: none
+        for k, own in zip(self.size, sets):
+            self.mask[self.index.find(own)] |= np.uint64(self.bit[int(k)])
         self.counts = [Counter(s.tolist()) for s in sets]
         self.prints = np.concatenate([fingerprint((signs(s) * self.weights(s)[0][:, None]).sum(axis=0, keepdims=True)) for s in sets]) \
             if sets else np.zeros(0, np.uint64)
-        self.sizes = np.unique(self.size)
         near = [sum(1 << b for b in c) for r in range(BLOCK_RADIUS + 1) for c in combinations(range(8), r)]
         self.blocks: list[dict[int, list[int]]] = [{} for _ in range(BLOCKS)]
         for k, own in enumerate(self.prints.view(np.uint8).reshape(-1, BLOCKS)):
@@ -89,9 +94,9 @@ class Benchmark:
                     self.blocks[b].setdefault(int(own[b]) ^ flip, []).append(k)
 
     def weights(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Weight of each shingle, and whether any item has it."""
+        """Weight of each shingle, and the sizes of the items that have it (0: none has)."""
         at = self.index.find(hashes)
-        return np.where(at >= 0, self.weight[at] if len(self.weight) else 1.0, 1.0), at >= 0
+        return np.where(at >= 0, self.weight[at] if len(self.weight) else 1.0, 1.0), self.mask[at]
 
     def near(self, prints: np.ndarray) -> Iterator[tuple[int, int]]:
         """(window, item) within RADIUS bits."""
@@ -113,13 +118,17 @@ class Benchmark:
         b = np.array([other.get(int(x), 0) for x in keys])
         return float((weight * np.minimum(a, b)).sum() / (weight * np.maximum(a, b)).sum())
 
-    def search(self, hashes: np.ndarray, weight: np.ndarray, known: np.ndarray, words: int, per_cent: int) -> list[tuple]:
+    def search(self, hashes: np.ndarray, weight: np.ndarray, mask: np.ndarray, words: int, per_cent: int) -> list[tuple]:
         """(item, first word, words, similarity) of the best window per item of one document."""
         total = np.concatenate([[0.0], np.cumsum(weight)])
-        share = np.concatenate([[0.0], np.cumsum(weight * known)])
         best: dict[int, tuple] = {}
         for size in sorted({min(int(s), words) for s in self.sizes}):
             span = min(len(hashes), max(1, size - SHINGLE + 1))
+            fits = np.bitwise_or.reduce([np.uint64(b) for n, b in self.bit.items() if min(n, words) == size])
+            known = (mask & fits) != 0
+            if not known.any():
+                continue
+            share = np.concatenate([[0.0], np.cumsum(weight * known)])
             lo = np.arange(len(hashes) - span + 1)
             lo = lo[100 * (share[lo + span] - share[lo]) >= per_cent * (total[lo + span] - total[lo]) - 1e-6]
             if not len(lo):
@@ -152,10 +161,10 @@ def passes(benchmark: DataFrame) -> Iterator[Benchmark]:
 def _hits(batch: pa.RecordBatch, items: Benchmark, per_cent: int) -> Iterator[tuple[int, list[tuple]]]:
     """(row, matches) of the rows that have any."""
     hashes, begin, words = _shingles(batch.column("text"))
-    weight, known = items.weights(hashes)
-    for d in np.unique(np.searchsorted(begin, np.flatnonzero(known), "right") - 1):
+    weight, mask = items.weights(hashes)
+    for d in np.unique(np.searchsorted(begin, np.flatnonzero(mask), "right") - 1):
         a, z = begin[d], begin[d + 1]
-        found = items.search(hashes[a:z], weight[a:z], known[a:z], int(words[d]), per_cent)
+        found = items.search(hashes[a:z], weight[a:z], mask[a:z], int(words[d]), per_cent)
         if found:
             yield int(d), found
 
