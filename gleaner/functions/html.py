@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.functions import dom
+
 # The whitespace set Python's str.split()/str.strip() use
 # (Unicode White_Space plus the four ASCII separators \x1c-\x1f).  Java
 # spells it (?U)[\s\x1c-\x1f] -- with UNICODE_CHARACTER_CLASS, \s is
@@ -130,53 +132,20 @@ def anchor_tags(html: Column) -> Column:
     return F.regexp_extract_all(_without_inert_blocks(html), F.lit(A_TAG_RE), 0)
 
 
-def link_hrefs(html: Column) -> Column:
-    """H2: array of truthy href values of <a> tags, DOM order, duplicates kept."""
-    hrefs = F.transform(anchor_tags(html), href_of_tag)
-    return F.filter(hrefs, lambda h: h != "")
-
-
-# Decoding a whole page before parsing it: characters that would read as
-# markup ('<' '>' '"' "'") are parked on private-use code points and put back
-# per text node with ``restore_markup_chars``.
-_PARKED = {"<": "\ue001", ">": "\ue002", '"': "\ue003", "'": "\ue004"}
-_PARKED_ENTITIES = [
-    ("&lt;", _PARKED["<"]),
-    ("&gt;", _PARKED[">"]),
-    ("&quot;", _PARKED['"']),
-    ("&#39;", _PARKED["'"]),
-    ("&apos;", _PARKED["'"]),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
-_CHARREF = None
-
-
-def _unescape_parked_py(s: str) -> str:
-    global _CHARREF
-    import re
+# An href with a character reference other than &amp;: read by the tokenizer.
+_RARE_HREF_RE = "(?i)href\\s*=\\s*[\"']?[^\"'>]*&(?!amp;)[#A-Za-z]"
 
-    if _CHARREF is None:
-        _CHARREF = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
-    table = str.maketrans(_PARKED)
-    return _CHARREF.sub(lambda m: _html.unescape(m.group(0)).translate(table), s)
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _hrefs_by_tree(html: pd.Series) -> pd.Series:
+    return html.map(lambda v: None if v is None else [
+        a.attrs["href"] for a in dom.parse(v).every(lambda e: e.tag == "a" and bool(e.attrs.get("href")))])
 
-@F.pandas_udf(T.StringType())
-def _unescape_parked(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else _unescape_parked_py(v))
-
-
-def decode_entities_keep_markup(html: Column) -> Column:
-    """Entities decoded once over a whole page, markup characters parked."""
-    fast = html
-    for ent, ch in _PARKED_ENTITIES:
-        fast = F.replace(fast, F.lit(ent), F.lit(ch))
-    rare = html.rlike(_RARE_REF_RE)
-    return F.coalesce(_unescape_parked(F.when(rare, html)), fast)
 
+def link_hrefs(html: Column) -> Column:
+    """H2: array of truthy href values of <a> tags, DOM order, duplicates kept.
 
-def restore_markup_chars(text: Column) -> Column:
-    return F.translate(text, "".join(_PARKED.values()), "".join(_PARKED.keys()))
+    Pages whose hrefs hold no reference but ``&amp;`` never leave the JVM.
+    """
+    hrefs = F.filter(F.transform(anchor_tags(html), href_of_tag), lambda h: h != "")
+    return F.coalesce(_hrefs_by_tree(F.when(html.rlike(_RARE_HREF_RE), html)), hrefs)

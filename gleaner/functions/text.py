@@ -75,6 +75,7 @@ def is_acronym_match(query: Column, title: Column) -> Column:
 def description_bonus_milli(query_norm: Column, desc_norm: Column) -> Column:
     """M7 in milli-points: 100 when the normalized query occurs in the
     normalized description, else 50 when one of its words longer than 3 does."""
+    desc_norm = F.coalesce(desc_norm, F.lit(""))  # a missing description is an empty one
     words = F.filter(F.split(query_norm, " "), lambda w: F.length(w) > 3)
     any_word = F.exists(words, lambda w: desc_norm.contains(w))
     return (F.when(desc_norm.contains(query_norm), DESCRIPTION_BONUS)

@@ -6,8 +6,12 @@ All built-in expressions; URL parts come from regexes rather than
 
 from __future__ import annotations
 
+from urllib.parse import urljoin
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.fixed_values import (  # noqa: F401 (re-exported)
     LISTING_BASE_URL,
@@ -50,27 +54,44 @@ def prefix_base(href: Column, base: str = LISTING_BASE_URL) -> Column:
     return F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(base), href))
 
 
+@F.pandas_udf(T.StringType())
+def _joined(href: pd.Series, page_url: pd.Series) -> pd.Series:
+    def one(h: str | None, u: str | None) -> str | None:
+        if h is None or u is None:
+            return None
+        try:
+            return urljoin(u, h)
+        except ValueError:  # not a URL
+            return h
+    return pd.Series([one(h, u) for h, u in zip(href, page_url)], dtype=object)
+
+
 def resolve_href(href: Column, page_url: Column) -> Column:
     """H3(b): absolute form of an href as a browser's href property gives it.
 
     Scheme-qualified hrefs (http:, mailto:, javascript:) stay as they are;
     '//h/p' takes the page scheme; '/p' the page scheme and authority; '#f'
     and '?q' replace the page's fragment / query; other relative paths
-    resolve against the page directory.  Dot segments are not folded.
+    resolve against the page directory.  White space around the href is cut.  Dot
+    segments, and pages without a path, are rare; those rows are resolved
+    by the standard library (RFC 3986), all others in the JVM.
     """
+    href = F.trim(href)
     scheme = F.regexp_extract(page_url, SCHEME_RE, 1)
     authority = F.regexp_extract(page_url, AUTHORITY_RE, 1)
     no_frag = F.regexp_replace(page_url, "#.*$", "")
     no_query = F.regexp_replace(no_frag, "\\?.*$", "")
     directory = F.regexp_replace(no_query, "/[^/]*$", "/")
-    return (
+    rare = ~href.rlike(SCHEME_RE) & (href != "") & (
+        F.concat(F.lit("/"), href).rlike("/\\.{1,2}(?:[/?#]|$)") | ~page_url.rlike("^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/"))
+    return F.coalesce(_joined(F.when(rare, href), F.when(rare, page_url)), (
         F.when(href.rlike(SCHEME_RE), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
         .when(href.startswith("/"), F.concat(scheme, F.lit("://"), authority, href))
         .when(href.startswith("#"), F.concat(no_frag, href))
         .when(href.startswith("?"), F.concat(no_query, href))
         .otherwise(F.concat(directory, href))
-    )
+    ))
 
 
 def query_string(url: Column) -> Column:

@@ -4,30 +4,18 @@ pagination chains (G2).
 Both are iterative joins driven from the driver with a bound that does not
 grow with the data: ``max_depth`` levels for the frontier, and about
 log2(chain length) rounds of pointer jumping for the chain.  Each level is
-checkpointed to the shared checkpoint folder (``spark.checkpoint.dir``) so
-lineage stays short and a lost executor recomputes one level, not the walk.
+written to the shared checkpoint folder (``spark.checkpoint.dir``) so lineage
+stays short and a lost executor re-reads one level, not the walk.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.session import checkpoint_root
-
-
-def _checkpoint(spark: SparkSession, df: DataFrame) -> DataFrame:
-    checkpoint_root(spark)
-    return df.checkpoint(eager=True)
-
-
-# Rows of a URL set that may be broadcast: ~100 bytes a URL, so about
-# 200 MB per copy.  Checked on the materialized (checkpointed) set.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_MAX_ROWS else df
+from gleaner.session import materialize
 
 
 def bfs_frontier(spark: SparkSession, seeds: DataFrame, edges: DataFrame, max_depth: int = 1) -> DataFrame:
@@ -38,65 +26,46 @@ def bfs_frontier(spark: SparkSession, seeds: DataFrame, edges: DataFrame, max_de
     seeds: (url); edges: (src, dst).  Returns (url, depth).  Per level the
     frontier joins the edge list on src, new targets are de-duplicated
     (partial aggregation before the shuffle) and anti-joined with the
-    visited set (J3).  The frontier and visited sets are checkpointed, so
-    their row counts are known: a set under ``BROADCAST_MAX_ROWS`` is
-    broadcast (the edge scan then needs no shuffle), a larger one takes the
-    shuffle join.
+    levels so far (J3).  Only the new level is written, into the shared
+    folder; the visited set is the union of the levels.
     """
     edges = edges.select("src", "dst")
-    visited = _checkpoint(spark, seeds.select("url").distinct().withColumn("depth", F.lit(0)))
-    frontier, n_frontier, n_visited = visited.select("url"), visited.count(), None
-    n_visited = n_frontier
+    levels = [materialize(seeds.select("url").distinct().withColumn("depth", F.lit(0)))]
     for depth in range(1, max_depth + 1):
-        if n_frontier == 0:
+        visited = reduce(DataFrame.unionByName, levels)
+        reached = edges.join(levels[-1], edges.src == levels[-1].url).select(F.col("dst").alias("url")).distinct()
+        new = materialize(reached.join(visited, "url", "left_anti").withColumn("depth", F.lit(depth)))
+        if not new.take(1):
             break
-        f = _maybe_broadcast(frontier, n_frontier)
-        reached = (edges.join(f, edges.src == f.url).select(F.col("dst").alias("url")).distinct())
-        new = reached.join(_maybe_broadcast(visited.select("url"), n_visited), "url", "left_anti")
-        new = _checkpoint(spark, new.withColumn("depth", F.lit(depth)))
-        visited = _checkpoint(spark, visited.unionByName(new))
-        frontier, n_frontier = new.select("url"), new.count()
-        n_visited += n_frontier
-    return visited
+        levels.append(new)
+    return reduce(DataFrame.unionByName, levels)
 
 
 def list_rank(spark: SparkSession, nodes: DataFrame, start_url: str, max_rounds: int = 64) -> DataFrame:
     """Walk next-links from ``start_url`` without a per-page loop.
 
-    nodes: (url, next_url) with next_url null at the end.  Pointer jumping
-    over the reversed links: every node doubles the reach of its 'prev'
-    pointer each round, so after about log2(n) rounds each node knows its
-    distance to the head of its chain.  Nodes whose chain head is
-    ``start_url`` get page_no = distance + 1; nodes on a cycle never reach a
-    head and are dropped (the original loop would not terminate).
+    nodes: (url, next_url) with next_url null at the end; next pages that were
+    not captured end the chain.  Forward pointer jumping: after round k the
+    first 2**k pages are known, and every page knows the page 2**k steps ahead;
+    the next round jumps from all known pages at once.  So a chain of n pages
+    takes about log2(n) rounds, from any start, whatever else links to its
+    pages; a cycle ends at the first page that comes again (its first
+    number stays).  Should a page name several next ones, the smallest counts.
     """
-    # A listing page is the next page of at most one page; should two claim
-    # it, the smaller URL is taken so the state stays one row per page.
-    prev = (nodes.filter(F.col("next_url").isNotNull())
-            .groupBy(F.col("next_url").alias("url")).agg(F.min("url").alias("prev")))
-    state = (nodes.select("url").distinct().join(prev, "url", "left")
-             .select("url", "prev", F.when(F.col("prev").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("dist"),
-                     F.when(F.col("prev").isNull(), F.col("url")).alias("head")))
-    state = _checkpoint(spark, state)
-    unresolved = state.filter(F.col("head").isNull()).count()
-    # Each round doubles every pointer's reach, so 64 rounds cover chains of
+    jump = (nodes.groupBy("url").agg(F.min("next_url").alias("ahead")).filter(F.col("ahead").isNotNull())
+            .join(nodes.select(F.col("url").alias("ahead")).distinct(), "ahead", "left_semi").select("url", "ahead"))
+    jump = materialize(jump)
+    known = materialize(nodes.filter(F.col("url") == start_url).select("url").distinct()
+                        .withColumn("page_no", F.lit(1).cast("long")))
+    size = known.count()
+    # Every round doubles the pages known, so 64 rounds cover chains of
     # up to 2**64 pages: the bound never cuts a real chain short.
-    for _ in range(max_rounds):
-        if unresolved == 0:
-            break
-        p = state.select(F.col("url").alias("p_url"), F.col("prev").alias("p_prev"),
-                         F.col("dist").alias("p_dist"), F.col("head").alias("p_head"))
-        j = state.join(p, state.prev == p.p_url, "left")
-        done = F.col("head").isNotNull()
-        state = _checkpoint(spark, j.select(
-            "url",
-            F.when(done, F.col("prev")).otherwise(F.col("p_prev")).alias("prev"),
-            F.when(done, F.col("dist")).otherwise(F.col("dist") + F.coalesce("p_dist", F.lit(0))).alias("dist"),
-            F.when(done, F.col("head")).otherwise(F.col("p_head")).alias("head"),
-        ))
-        left = state.filter(F.col("head").isNull()).count()
-        if left == unresolved:  # only pages on a cycle are left
+    for k in range(max_rounds):
+        further = known.join(jump, "url").select(F.col("ahead").alias("url"), (F.col("page_no") + F.lit(2 ** k)).alias("page_no"))
+        known = materialize(known.unionByName(further).groupBy("url").agg(F.min("page_no").alias("page_no")))
+        before, size = size, known.count()
+        if size == before:
             break
-        unresolved = left
-    return state.filter(F.col("head") == start_url).select(
-        (F.col("dist") + 1).cast("int").alias("page_no"), "url")
+        jump = materialize(jump.alias("a").join(jump.alias("b"), F.col("a.ahead") == F.col("b.url"))
+                           .select("a.url", F.col("b.ahead").alias("ahead")))
+    return known.select(F.col("page_no").cast("int").alias("page_no"), "url")

@@ -2,7 +2,8 @@
 
 Per page: the label/value pairs of the child <div>s of ``div.details`` and
 of ``div#projektbeschreibung`` plus two singleton fields, resolved last-wins,
-synonym fields combined.  All of it is row-local (no shuffle).  The only
+synonym fields combined.  All of it is row-local (no shuffle); the page is parsed
+once per row, into a tree, so nesting, quoting and length do not matter.  The only
 cross-row step is key discovery for the wide schema: a distinct over keys
 (partially aggregated per task), whose size is checked before it reaches
 the driver.
@@ -10,37 +11,12 @@ the driver.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gleaner.functions.html import decode_entities_keep_markup, restore_markup_chars
-from gleaner.functions.text import py_strip
-from gleaner.session import materialize
-
-# Regexes for blocks whose children are flat <div>s (no <div> inside a child).
-_FLAT = "(?:[^<]|<(?!/?div\\b))*"
-_CHILD = "<div\\b[^>]*>" + _FLAT + "</div>"
-
-
-def _class_attr(name: str) -> str:
-    return f"\\bclass\\s*=\\s*\"(?:[^\"]*\\s)?{name}(?:\\s[^\"]*)?\""
-
-
-def _div_block(selector_attr: str) -> str:
-    return ("(?s)<div\\b[^>]*" + selector_attr + "[^>]*>((?:" + "[^<]|<(?!/?div\\b)|" + _CHILD + ")*)</div>")
-
-
-DETAILS_BLOCK_RE = _div_block(_class_attr("details"))
-DESCRIPTION_BLOCK_RE = _div_block("\\bid\\s*=\\s*\"projektbeschreibung\"")
-PROJECT_TEXT_RE = "(?s)<div\\b[^>]*\\bid\\s*=\\s*\"projekttext\"[^>]*>(" + _FLAT + ")</div>"
-CHILD_RE = "(?s)<div\\b[^>]*>(" + _FLAT + ")</div>"
-TITLE_RE = "(?s)<h1\\b[^>]*" + _class_attr("facelift") + "[^>]*>(.*?)</h1>"
-NAME_SPAN_RE = "(?s)<span\\b[^>]*" + _class_attr("name") + "[^>]*>(.*?)</span>"
-VALUE_SPAN_RE = "(?s)<span\\b[^>]*" + _class_attr("value") + "[^>]*>(.*?)</span>"
-_TAG = "<[^>]*>"
-_SEP = "\u0001"
-
-from gleaner.fixed_values import (  # noqa: E402
+from gleaner.fixed_values import (
     APPLICANT_FIELD,
     APPLICANT_SOURCES,
     INSTITUTION_FIELD,
@@ -48,50 +24,37 @@ from gleaner.fixed_values import (  # noqa: E402
     TEXT_FIELD,
     TITLE_FIELD,
 )
+from gleaner.functions import dom
+from gleaner.session import materialize
 
-
-def _text_nodes(fragment: Column) -> Column:
-    """Stripped, non-empty text nodes of an HTML fragment, in order."""
-    parts = F.split(F.regexp_replace(fragment, _TAG, _SEP), _SEP)
-    parts = F.transform(parts, lambda p: py_strip(restore_markup_chars(p)))
-    return F.filter(parts, lambda p: p != "")
-
-
-def text_joined(fragment: Column, sep: str) -> Column:
-    """get_text(sep, strip=True) of a fragment."""
-    return F.array_join(_text_nodes(fragment), sep)
+_DETAILS, _TITLE = dom.has_class("details", tag="div"), dom.has_class("facelift", tag="h1")
+_NAME, _VALUE = dom.has_class("name", tag="span"), dom.has_class("value", tag="span")
 
 
-def _pairs(block: Column) -> Column:
-    children = F.regexp_extract_all(block, F.lit(CHILD_RE), 1)
-    with_both = F.filter(children, lambda c: c.rlike(NAME_SPAN_RE) & c.rlike(VALUE_SPAN_RE))
-    return F.transform(with_both, lambda c: F.struct(
-        F.replace(text_joined(F.regexp_extract(c, NAME_SPAN_RE, 1), ""), F.lit(":"), F.lit(""))
-        .alias("key"),
-        text_joined(F.regexp_extract(c, VALUE_SPAN_RE, 1), " ").alias("value"),
-    ))
+def _labelled(children: list[dom.Element]) -> list[dict[str, str]]:
+    found = ((child.first(_NAME), child.first(_VALUE)) for child in children)
+    return [{"key": name.text("").replace(":", ""), "value": value.text(" ")} for name, value in found if name and value]
 
 
-def _single(html: Column, pattern: str, key: str, sep: str) -> Column:
-    """A one-element pair array when the element exists, else empty."""
-    found = html.rlike(pattern)
-    pair = F.struct(F.lit(key).alias("key"),
-                    text_joined(F.regexp_extract(html, pattern, 1), sep).alias("value"))
-    return F.when(found, F.array(pair)).otherwise(F.array().cast("array<struct<key:string,value:string>>"))
+def pairs_of(html: str | None) -> list[dict[str, str]] | None:
+    """The pairs of one page in write order; null for a null page."""
+    if html is None:
+        return None
+    page = dom.parse(html)
+    title = page.first(lambda e: _TITLE(e) and e.inside(_DETAILS))
+    text = page.first(lambda e: e.tag == "div" and e.attrs.get("id") == "projekttext")
+    details = page.every(lambda e: e.tag == "div" and e.parent is not None and _DETAILS(e.parent))
+    described = page.every(lambda e: e.tag == "div" and e.parent is not None and e.parent.tag == "div"
+                           and e.parent.attrs.get("id") == "projektbeschreibung")
+    return ([{"key": TITLE_FIELD, "value": title.text("")}] if title else []) + _labelled(details) \
+        + ([{"key": TEXT_FIELD, "value": text.text(" ")}] if text else []) + _labelled(described)
 
 
-def record_pairs(html: Column) -> Column:
+@F.pandas_udf(T.ArrayType(T.StructType().add("key", T.StringType()).add("value", T.StringType())))
+def record_pairs(html: pd.Series) -> pd.Series:
     """R1+R2: array<struct<key,value>> in write order: title, details pairs,
-    description text, description-block pairs.  ``html`` must already be
-    decoded with ``decode_entities_keep_markup`` (see ``parse_records``)."""
-    return _record_pairs_of(html, F.regexp_extract(html, DETAILS_BLOCK_RE, 1),
-                            F.regexp_extract(html, DESCRIPTION_BLOCK_RE, 1))
-
-
-def _record_pairs_of(html: Column, details: Column, desc_block: Column) -> Column:
-    title = _single(details, TITLE_RE, TITLE_FIELD, "")
-    text = _single(html, PROJECT_TEXT_RE, TEXT_FIELD, " ")
-    return F.concat(title, _pairs(details), text, _pairs(desc_block))
+    description text, description-block pairs."""
+    return html.map(pairs_of)
 
 
 def last_wins(pairs: Column) -> Column:
@@ -118,39 +81,31 @@ def combine_fields(fields: Column) -> Column:
 
 def parse_records(pages: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
     """(id, fields map<string,string>) with R1-R4 applied."""
-    # One projection per stage: each stage's result is referenced several
-    # times by the next, so Catalyst keeps them apart instead of inlining.
-    d = decoded(pages, id_col, html_col)
-    blocks = d.select(id_col, "html",
-                      F.regexp_extract("html", DETAILS_BLOCK_RE, 1).alias("details"),
-                      F.regexp_extract("html", DESCRIPTION_BLOCK_RE, 1).alias("desc_block"))
-    pairs = blocks.select(id_col, _record_pairs_of(F.col("html"), F.col("details"), F.col("desc_block"))
-                          .alias("pairs"))
+    pairs = pages.select(id_col, record_pairs(html_col).alias("pairs"))
     fields = pairs.select(id_col, F.map_from_entries(last_wins(F.col("pairs"))).alias("m"))
     return fields.select(id_col, combine_fields(F.col("m")).alias("fields"))
 
 
-def decoded(pages: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
-    """Pages with character references decoded once (markup chars parked).
-    A separate projection, so later lambdas only see a column."""
-    return pages.select(id_col, decode_entities_keep_markup(F.col(html_col)).alias("html"))
-
-
 def key_universe(records: DataFrame) -> DataFrame:
     """Each key with the number of records holding it."""
     return (records.select(F.explode(F.map_keys("fields")).alias("key"))
             .groupBy("key").agg(F.count(F.lit(1)).alias("n_records")))
 
 
+def long_form(records: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, key, value): the same table without a column per key, for key sets of any size."""
+    return records.select(id_col, F.explode("fields").alias("key", "value"))
+
+
 def discover_keys(records: DataFrame, max_keys: int = 10_000) -> list[str]:
     """The sorted key set, needed as the wide table's schema.
 
-    Bounded by ``max_keys`` (Spark's own pivot limit); more keys than that
-    means the input is not a record set and we refuse rather than widen.
+    A table cannot have columns without bound: beyond ``max_keys`` (Spark's
+    own pivot limit) this refuses, and ``long_form`` is the answer.
     """
     keys = key_universe(records).select("key").orderBy("key").limit(max_keys + 1).collect()
     if len(keys) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct record keys")
+        raise ValueError(f"more than {max_keys} distinct record keys: use long_form")
     return [r.key for r in keys]
 
 

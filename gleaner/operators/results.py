@@ -1,15 +1,17 @@
 """Search result pages -> result records.
 
-The selector cascade is a coalesce over per-selector element arrays: the
-first selector that finds any element wins (H12); pages where none does go
-down the fallback branch of bare project links (H13).  Element regexes
-assume elements of one kind do not nest in each other.
+Each page is parsed once into a tree, in one Arrow UDF that returns the winning
+selector of the cascade, its elements' link, title and description (H12), and
+the bare project links for the pages where no selector finds anything (H13).
+Everything after that is column expressions.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.fixed_values import (
     DOWNLOAD_ELEMENTS_SHOWN,
@@ -19,80 +21,96 @@ from gleaner.fixed_values import (
     PAGE_SIZE,
     RESULT_SELECTOR_NAMES,
 )
+from gleaner.functions import dom
 from gleaner.functions import urls as U
 from gleaner.functions.html import collapse_ws, decode_entities, drop_markup
 
+# The result-container selectors (names fixed in gleaner.fixed_values), in
+# cascade order, each with its test of an element.
+RESULT_SELECTORS = list(zip(RESULT_SELECTOR_NAMES, [
+    dom.has_class("result"),
+    lambda e: e.attrs.get("data-testid") == "result-item",
+    dom.has_class("search-result"),
+    lambda e: e.tag == "div" and "result" in e.attrs.get("class", ""),
+    lambda e: e.tag == "article",
+    dom.has_class("project-item"),
+]))
 
-def _cls(name: str) -> str:
-    return "\\bclass\\s*=\\s*\"(?:[^\"]*\\s)?" + name + "(?:\\s[^\"]*)?\""
 
+def _anchor(e: dom.Element) -> bool:
+    return e.tag == "a"
 
-def _same_tag(attr: str) -> str:
-    return "(?s)<([A-Za-z][A-Za-z0-9]*)\\b[^>]*" + attr + "[^>]*>(.*?)</\\1\\s*>"
 
+def _project_anchor(e: dom.Element) -> bool:
+    return e.tag == "a" and "/project/id/" in e.attrs.get("href", "")
 
-# The result-container selectors (names fixed in gleaner.fixed_values), in
-# cascade order, each with the regex that finds its elements.
-RESULT_SELECTORS = list(zip(RESULT_SELECTOR_NAMES, [
-    _same_tag(_cls("result")),
-    _same_tag("\\bdata-testid\\s*=\\s*\"result-item\""),
-    _same_tag(_cls("search-result")),
-    "(?s)<div\\b[^>]*\\bclass\\s*=\\s*\"[^\"]*result[^\"]*\"[^>]*>(.*?)</div\\s*>",
-    "(?s)<article\\b[^>]*>(.*?)</article\\s*>",
-    _same_tag(_cls("project-item")),
-], [2, 2, 2, 1, 1, 2]))
-PROJECT_ANCHOR_RE = "(?s)<a\\b[^>]*\\bhref\\s*=\\s*\"([^\"]*/project/id/[^\"]*)\"[^>]*>(.*?)</a\\s*>"
-DESCRIPTION_RE = "(?s)<([A-Za-z][A-Za-z0-9]*)\\b[^>]*" + _cls("(?:description|summary|teaser)") + "[^>]*>(.*?)</\\1\\s*>"
+
+# Where a result's link is looked for, in this order.
+LINK_TESTS = [
+    _project_anchor,
+    lambda e: _anchor(e) and e.inside(dom.has_class("title")),
+    lambda e: _anchor(e) and e.inside(dom.has_class("result-title")),
+    lambda e: _anchor(e) and e.inside(lambda up: up.tag == "h3"),
+    lambda e: _anchor(e) and e.inside(lambda up: up.tag == "h2"),
+]
+_DESCRIPTION = dom.has_class("description", "summary", "teaser")
 MAX_RESULTS = PAGE_SIZE
 
 
+def _result(element: dom.Element) -> dict[str, str | None]:
+    link = next((a for test in LINK_TESTS if (a := element.first(test)) is not None), None)
+    described = element.first(_DESCRIPTION)
+    return {"href": None if link is None else link.attrs.get("href", ""), "title": "" if link is None else link.shown(),
+            "description": "" if described is None else described.shown()}
+
+
+_ELEMENT = T.StructType().add("href", T.StringType()).add("title", T.StringType()).add("description", T.StringType())
+_LINK = T.StructType().add("href", T.StringType()).add("text", T.StringType())
+
+
+@F.pandas_udf(T.StructType().add("selector", T.StringType()).add("elements", T.ArrayType(_ELEMENT)).add("links", T.ArrayType(_LINK)))
+def page_results(html: pd.Series) -> pd.DataFrame:
+    """The winning selector (null: none), what its elements hold, and the page's bare project links."""
+    rows = []
+    for text in html:
+        page = dom.parse(text)
+        name, found = next(((n, f) for n, test in RESULT_SELECTORS if (f := page.every(test))), (None, []))
+        links = [] if found else page.every(_project_anchor)
+        rows.append((name, [_result(e) for e in found], [{"href": a.attrs["href"], "text": a.shown()} for a in links]))
+    return pd.DataFrame(rows, columns=["selector", "elements", "links"])
+
+
 def element_text(fragment: Column) -> Column:
     return collapse_ws(decode_entities(drop_markup(fragment)))
 
 
-def cascade(html: Column) -> tuple[Column, Column]:
-    """(winning selector or null, its elements' inner HTML)."""
-    arrays = [F.regexp_extract_all(html, F.lit(rx), g) for _, rx, g in RESULT_SELECTORS]
-    sel = F.coalesce(*[F.when(F.size(a) > 0, F.lit(name)) for (name, _, _), a in zip(RESULT_SELECTORS, arrays)])
-    elems = F.coalesce(*[F.when(F.size(a) > 0, a) for a in arrays], F.array().cast("array<string>"))
-    return sel, elems
-
-
-def parse_results(pages: DataFrame) -> DataFrame:
-    """H12 + A6/A7 + H8-H10: one row per kept result of the main branch."""
-    sel, elems = cascade(F.col("html"))
-    e = pages.select("page_id", "url", sel.alias("selector"),
-                     F.posexplode(F.slice(elems, 1, MAX_RESULTS)).alias("pos", "elem"))
-    href = F.regexp_extract("elem", PROJECT_ANCHOR_RE, 1)
-    abs_href = U.resolve_href(href, F.col("url"))
-    pid = U.project_id(abs_href)
-    r = e.select("page_id", "selector", "pos", abs_href.alias("href"), pid.alias("id"),
-                 element_text(F.regexp_extract("elem", PROJECT_ANCHOR_RE, 2)).alias("title"),
-                 element_text(F.regexp_extract("elem", DESCRIPTION_RE, 2)).alias("description"))
-    kept = r.filter((F.col("href") != "") & F.col("id").isNotNull() & ~U.is_subpage(F.col("href")))
+def parse_results(pages: DataFrame, max_results: int = MAX_RESULTS) -> DataFrame:
+    """H12 + A6/A7 + H8-H10: one row per kept result among the first ``max_results`` of the main branch."""
+    p = pages.select("page_id", "url", page_results("html").alias("r"))
+    e = p.select("page_id", "url", F.col("r.selector").alias("selector"),
+                 F.posexplode(F.slice("r.elements", 1, max_results)).alias("pos", "e"))
+    href = U.resolve_href(F.col("e.href"), F.col("url"))
+    r = e.select("page_id", "selector", "pos", href.alias("href"), U.project_id(href).alias("id"),
+                 F.col("e.title").alias("title"), F.col("e.description").alias("description"))
+    kept = r.filter(F.col("id").isNotNull() & ~U.is_subpage(F.col("href")))
     return kept.select(
         "page_id", "selector", "pos", "id", U.normalize_project_url(F.col("href")).alias("url"), "title",
         "description",
         F.greatest(F.round((F.lit(10) - F.col("pos")) / F.lit(10.0), 1), F.lit(0.1)).alias("relevance_score"))
 
 
-def fallback_results(pages: DataFrame) -> DataFrame:
-    """Pages where no selector found a result: every project link
-    (page order, first 10), title or 'Unknown Title', relevance 0.5, URL not
-    normalized and sub-pages not dropped."""
-    sel, _ = cascade(F.col("html"))
-    p = pages.filter(sel.isNull())
-    links = F.regexp_extract_all(F.col("html"), F.lit(PROJECT_ANCHOR_RE), 0)
-    e = p.select("page_id", "url", F.posexplode(links).alias("pos", "a"))
-    href = U.resolve_href(F.regexp_extract("a", PROJECT_ANCHOR_RE, 1), F.col("url"))
-    title = element_text(F.regexp_extract("a", PROJECT_ANCHOR_RE, 2))
-    r = e.select("page_id", "pos", href.alias("url"), U.project_id(href).alias("id"),
-                 F.when(title == "", F.lit(FALLBACK_TITLE)).otherwise(title).alias("title"))
-    r = r.filter(F.col("id").isNotNull())
-    w = F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))
-    return (r.withColumn("rn", w).filter(F.col("rn") <= MAX_RESULTS)
-            .select("page_id", (F.col("rn") - 1).alias("pos"), "id", "url", "title",
-                    F.lit(FALLBACK_RELEVANCE).alias("relevance_score")))
+def fallback_results(pages: DataFrame, max_results: int = MAX_RESULTS) -> DataFrame:
+    """Pages where no selector found a result: of the first
+    ``max_results`` project links those with a numeric id, title or 'Unknown
+    Title', relevance 0.5, URL not normalized and sub-pages not dropped."""
+    p = pages.select("page_id", "url", page_results("html")["links"].alias("links"))
+    e = p.select("page_id", "url", F.posexplode(F.slice("links", 1, max_results)).alias("at", "a"))
+    href = U.resolve_href(F.col("a.href"), F.col("url"))
+    r = e.select("page_id", "at", href.alias("url"), U.project_id(href).alias("id"),
+                 F.when(F.col("a.text") == "", F.lit(FALLBACK_TITLE)).otherwise(F.col("a.text")).alias("title"))
+    w = F.row_number().over(Window.partitionBy("page_id").orderBy("at"))
+    return (r.filter(F.col("id").isNotNull())
+            .select("page_id", (w - 1).alias("pos"), "id", "url", "title", F.lit(FALLBACK_RELEVANCE).alias("relevance_score")))
 
 
 ANCHOR_RE = "(?s)<a\\b([^>]*)>(.*?)</a\\s*>"

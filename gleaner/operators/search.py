@@ -37,9 +37,6 @@ from gleaner.session import materialize
 
 ACRONYM_TOKEN_PREFIX = "\u0001"
 from gleaner.fixed_values import PAGE_SIZE  # noqa: E402 (results per search request)
-# Word-frequency rows that may be broadcast (word + count, ~50 bytes a row,
-# so about 250 MB per copy); checked on the materialized table.
-BROADCAST_MAX_WORDS = 5_000_000
 
 
 def strategies(queries: DataFrame) -> DataFrame:
@@ -106,8 +103,6 @@ def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -
                         .drop("title", "description"))
     postings = index.select("project_id", F.explode("words").alias("token"))
     dfreq = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
-    if dfreq.count() <= BROADCAST_MAX_WORDS:
-        dfreq = F.broadcast(dfreq)
 
     # Word-set Jaccard >= 1/2: both prefixes, then the size filter.
     plain = terms.filter(~F.col("is_phrase"))

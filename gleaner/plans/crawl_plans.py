@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import urls as U
 from gleaner.operators import frontier as FR
+from gleaner.operators.listings import listing
 from gleaner.plans import sqlbits as Q
 from gleaner.plans.pages_plans import resolved_links
 from gleaner.plans.registry import plan
@@ -53,23 +54,18 @@ def crawl_new_links(spark, sf_dir):
     return links.join(seen, "link_url", "left_anti")
 
 
-_ENTRY_RE = ("(?s)<div\\s+class=\"(?:eintrag|eintrag_alternate)\"[^>]*>\\s*<h2[^>]*>\\s*"
-             "<a\\b[^>]*\\bhref=\"([^\"]*)\"")
-_NEXT_RE = "(?s)<div\\s+class=\"listennaviright\"[^>]*>.*?<a\\b[^>]*class=\"nextactive\"[^>]*href=\"([^\"]*)\""
-
-
 @plan("listing_links", oracle=f"""
 SELECT page_no, pos, href, md5(href) AS url_md5,
        'page' || page_no || '_proj' || pos || '_' || md5(href) || '.html' AS file_name
 FROM (SELECT (floor(p_partkey / {fixtures.LISTING_PAGE_SIZE}) + 1)::INTEGER AS page_no,
              (row_number() OVER (PARTITION BY floor(p_partkey / {fixtures.LISTING_PAGE_SIZE})
                                  ORDER BY p_partkey) - 1)::INTEGER AS pos,
-             '{U.LISTING_BASE_URL}/gepris/projekt/' || p_partkey AS href
+             '{U.LISTING_BASE_URL}/gepris/projekt/' || p_partkey || CASE WHEN p_partkey % 3 = 0 THEN '?a=1&b=2' ELSE '' END AS href
       FROM part)""")
 def listing_links(spark, sf_dir):
     """Project links of each listing page, made absolute."""
     lp = fixtures.listing_pages(spark, sf_dir)
-    e = lp.select("page_no", F.posexplode(F.regexp_extract_all("html", F.lit(_ENTRY_RE), 1)).alias("pos", "href"))
+    e = lp.select("page_no", F.posexplode(listing("html")["hrefs"]).alias("pos", "href"))
     href = U.prefix_base(F.col("href"))
     return e.select("page_no", "pos", href.alias("href"), U.url_md5(href).alias("url_md5"),
                     U.listing_file_name(F.col("page_no"), F.col("pos"), href).alias("file_name"))
@@ -86,7 +82,6 @@ SELECT page_no, '{U.LISTING_BASE_URL}{fixtures.LISTING_PATH}' || page_no AS url
 def pagination_chain(spark, sf_dir):
     """Follow 'next' links from the first listing page."""
     lp = fixtures.listing_pages(spark, sf_dir)
-    nxt = F.nullif(F.regexp_extract("html", _NEXT_RE, 1), F.lit(""))
-    nodes = lp.select("url", F.when(nxt.isNotNull(), U.prefix_base(nxt)).alias("next_url"))
+    nodes = lp.select("url", U.prefix_base(listing("html")["next"]).alias("next_url"))
     start = U.LISTING_BASE_URL + fixtures.LISTING_PATH + "1"
     return FR.list_rank(spark, nodes, start)

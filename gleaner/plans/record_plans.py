@@ -32,7 +32,7 @@ SELECT doc_id, ord, key, value FROM (
   UNION ALL SELECT doc_id, 4, 'Antragstellende Institution', trim(region || ' & Co') FROM b
             WHERE s_nationkey % 2 = 0
   UNION ALL SELECT doc_id, 5, 'Projektnummer', k FROM b
-  UNION ALL SELECT doc_id, 6, 'Projektbeschreibung', 'Lieferant ' || k || ' ' || trim('aus ' || nation) FROM b
+  UNION ALL SELECT doc_id, 6, 'Projektbeschreibung', 'Lieferant ' || k || ' ' || trim('aus ' || nation || CASE WHEN doc_id % 5 = 0 THEN repeat(' und mehr', 2000) ELSE '' END) FROM b
   UNION ALL SELECT doc_id, 7, 'Fach', region FROM b
   UNION ALL SELECT doc_id, 8, 'Fach', nation FROM b
   UNION ALL SELECT doc_id, 9, 'Land', nation FROM b
@@ -68,7 +68,7 @@ FROM ({PAIRS})
 """)
 def record_pairs(spark, sf_dir):
     """Every (label, value) pair of each record page, in write order."""
-    p = R.decoded(fixtures.record_pages(spark, sf_dir))
+    p = fixtures.record_pages(spark, sf_dir)
     e = p.select("doc_id", F.posexplode(R.record_pairs(F.col("html"))).alias("pos", "kv"))
     return e.select("doc_id", "pos", F.col("kv.key").alias("key"), F.col("kv.value").alias("value"))
 
@@ -89,7 +89,7 @@ def record_title(spark, sf_dir):
 @plan("record_last_wins", oracle=LAST)
 def record_last_wins(spark, sf_dir):
     """One value per (record, label), the last one written."""
-    p = R.decoded(fixtures.record_pages(spark, sf_dir))
+    p = fixtures.record_pages(spark, sf_dir)
     p = p.select("doc_id", R.record_pairs(F.col("html")).alias("pairs"))
     m = p.select("doc_id", F.map_from_entries(R.last_wins(F.col("pairs"))).alias("m"))
     return m.select("doc_id", F.explode("m").alias("key", "value"))

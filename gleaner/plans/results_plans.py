@@ -55,9 +55,8 @@ SELECT page_id,
 FROM ({_O}) GROUP BY page_id""")
 def selector_cascade(spark, sf_dir):
     """Which result selector wins on each page, and how many elements."""
-    sel, elems = RR.cascade(F.col("html"))
-    return _pages(spark, sf_dir).select("page_id", sel.alias("selector"),
-                                        F.size(elems).cast("bigint").alias("n_elements"))
+    p = _pages(spark, sf_dir).select("page_id", RR.page_results("html").alias("r"))
+    return p.select("page_id", "r.selector", F.size("r.elements").cast("bigint").alias("n_elements"))
 
 
 @plan("search_result_rows", oracle=f"""
@@ -80,9 +79,9 @@ SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1)::INT
        regexp_extract(href, '/project/id/(\\d+)', 1) AS id, href AS url,
        CASE WHEN text = '' THEN '{FV.FALLBACK_TITLE}' ELSE text END AS title,
        {FV.FALLBACK_RELEVANCE}::DOUBLE AS relevance_score
-FROM ({_ANCHORS})
-WHERE page_id % 4 = 3 AND regexp_matches(href, '/project/id/\\d+')
-QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) <= 10""")
+FROM (SELECT * FROM ({_ANCHORS}) WHERE page_id % 4 = 3 AND contains(href, '/project/id/')
+      QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) <= 10)
+WHERE regexp_matches(href, '/project/id/\\d+')""")
 def search_fallback_rows(spark, sf_dir):
     """The fallback branch on pages without result containers."""
     return RR.fallback_results(_pages(spark, sf_dir))

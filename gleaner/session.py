@@ -8,6 +8,7 @@ unset -- local runs and tests -- do we pick a fresh folder ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,11 +48,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a local one only
-    when the session has none (tests and single-machine runs).
+    Reads ``spark.checkpoint.dir`` from the session.  A local folder is set
+    only where the whole session runs on this machine (tests); on a cluster
+    other hosts could not see it, so there a missing setting is an error.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gleaner-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     sc = spark.sparkContext
@@ -67,8 +71,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Compute ``df`` once into the shared checkpoint folder and read it from
-    there: lineage is cut, reuse by several branches costs one write, and a
-    lost executor costs a re-read, not a recomputation."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read it
+    from there: lineage is cut, reuse by several branches costs one write and
+    prunes columns, and a lost executor costs a re-read, not a recomputation."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

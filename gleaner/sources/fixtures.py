@@ -66,7 +66,8 @@ def record_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     non-negative balances; a second applicant above 5000; a second
     institution for even nation keys; a project-number override below 1000.
     Every page repeats the 'Fach' label (last wins), carries a label with
-    two colons, and a label without value."""
+    two colons, a label without value, a box of nested children, and (every
+fifth page) a description of some 18,000 characters."""
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     d = _dims(spark, sf_dir)
     j = s.join(F.broadcast(d), s.s_nationkey == d.n_nationkey, "left")
@@ -87,8 +88,10 @@ def record_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<div class="projektnummer"><span class="name">Projektnummer:</span><span class="value">'),
         key, F.lit("</span></div>"),
         F.lit('<div><span class="name">Kontostand:</span></div>'),
+        F.lit("<DIV class='box'><div><div><span>leer</span></div><!-- </div></div> --></div></DIV>"),
         F.lit("</div>"),
-        F.lit('<div id="projekttext">Lieferant <i>'), key, F.lit("</i> aus "), nation, F.lit("</div>"),
+        F.lit("<div id='projekttext'><div>Lieferant <i>"), key, F.lit("</i></div> aus "), nation,
+        F.when(F.pmod(F.col("s_suppkey"), F.lit(5)) == 0, F.repeat(F.lit(" und mehr"), 2000)).otherwise(F.lit("")), F.lit("</div>"),
         F.lit('<div id="projektbeschreibung">'),
         _div_pair("Fach:", region),
         _div_pair("Fach:", nation),
@@ -136,8 +139,9 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     href = F.concat(F.when(F.col("p_size") > 40, F.lit(LISTING_BASE_URL)).otherwise(F.lit("")),
                     F.lit("/gepris/projekt/"), F.col("p_partkey").cast("string"))
     cls = F.when(F.pmod(F.col("p_partkey"), F.lit(2)) == 0, F.lit("eintrag")).otherwise(F.lit("eintrag_alternate"))
-    entry = F.concat(F.lit('<div class="'), cls, F.lit('"><h2><a href="'), href, F.lit('">'),
-                     F.col("p_name"), F.lit("</a></h2><p>Size "), F.col("p_size").cast("string"),
+    entry = F.concat(F.lit('<div class="'), cls, F.lit('"><span>Projekt</span><h2><b><a title="" href="'), href,
+                     F.when(F.pmod(F.col("p_partkey"), F.lit(3)) == 0, F.lit("?a=1&amp;b=2")).otherwise(F.lit("")), F.lit('">'),
+                     F.col("p_name"), F.lit("</a></b></h2><p>Size "), F.col("p_size").cast("string"),
                      F.lit("</p></div>"))
     entries = (p.select(page_no.alias("page_no"), F.col("p_partkey"), entry.alias("entry"))
                .groupBy("page_no")
@@ -147,8 +151,11 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = entries.join(nxt, "page_no", "left")
     url = F.concat(F.lit(LISTING_BASE_URL + LISTING_PATH), F.col("page_no").cast("string"))
     next_link = F.when(F.col("has_next"), F.concat(
-        F.lit('<div class="listennaviright"><a class="nextactive" href="' + LISTING_PATH),
-        (F.col("page_no") + 1).cast("string"), F.lit('">weiter</a></div>'))).otherwise(F.lit(""))
+        F.when(F.pmod(F.col("page_no"), F.lit(2)) == 0, F.lit('<div class="listennaviright"><span><a class="nextactive" href="'))
+        .otherwise(F.lit('<div class="navi listennaviright"><a href="')), F.lit(LISTING_PATH.replace("&", "&amp;")),
+        (F.col("page_no") + 1).cast("string"),
+        F.when(F.pmod(F.col("page_no"), F.lit(2)) == 0, F.lit('">weiter</a></span></div>'))
+        .otherwise(F.lit('" title="x" class="button nextactive">weiter</a></div>')))).otherwise(F.lit(""))
     html = F.concat(F.lit('<html><body><div class="results">'), F.col("body"), F.lit("</div>"),
                     next_link, F.lit("</body></html>"))
     return pages.select("page_no", url.alias("url"), html.alias("html"))
@@ -180,15 +187,15 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.floor(F.col("o_orderkey") / RESULTS_PER_PAGE).cast("bigint")
     variant = F.pmod(page, F.lit(4))
     k = F.col("o_orderkey").cast("string")
-    text = F.when(F.col("o_orderstatus") == "O", F.lit("")).otherwise(F.concat(F.lit("Order "), k))
+    text = F.when(F.col("o_orderstatus") == "O", F.lit("")).otherwise(F.concat(F.lit("Order <b>"), k, F.lit("</b>")))
     anchor = F.concat(F.lit('<a href="'), _result_href(k), F.lit('">'), text, F.lit("</a>"))
     st = F.col("o_orderstatus")
     desc = (F.when(st == "F", F.concat(F.lit('<p class="description">Total '), k, F.lit("</p>")))
             .when(st == "O", F.concat(F.lit('<p class="summary">Summary '), k, F.lit("</p>")))
             .otherwise(F.lit("")))
-    item = (F.when(variant == 0, F.concat(F.lit('<li class="result"><h3>'), anchor, F.lit("</h3>"), desc,
+    item = (F.when(variant == 0, F.concat(F.lit('<li class="result"><ul><li>no link</li></ul><h3>'), anchor, F.lit("</h3>"), desc,
                                           F.lit("</li>")))
-            .when(variant == 1, F.concat(F.lit('<section data-testid="result-item"><div class="title">'),
+            .when(variant == 1, F.concat(F.lit("<SECTION data-testid='result-item'><section>x</section><!-- <a href='/project/id/0'> --><div class=title>"),
                                          anchor, F.lit("</div>"), desc, F.lit("</section>")))
             .when(variant == 2, F.concat(F.lit("<article><h2>"), anchor, F.lit("</h2>"), desc,
                                          F.lit("</article>")))

@@ -15,6 +15,10 @@ TABLES = (
 )
 
 
+#: Largest table (planner's size estimate) that ``spread`` deals out anew.
+SPREAD_BYTES = 64 << 20
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -28,13 +32,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy row-local work at least one task per core.
 
-    A table stored as one file with one row group scans as a single task;
-    when the scan has fewer partitions than the default parallelism it is
-    round-robin repartitioned to that many (filters and column pruning still
-    reach the scan below the repartition).  Large inputs already have more
-    splits than cores and are left alone.
+    A small table stored as one file with one row group scans as a single task;
+    it is round-robin repartitioned to the default parallelism (filters and
+    column pruning still reach the scan below the repartition).  Tables above
+    ``SPREAD_BYTES`` are left alone: they are never shuffled for this.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df

@@ -1,10 +1,11 @@
 """Incremental page ingest.
 
 New capture files arrive in a folder; each micro-batch is turned into page
-text (H1) keyed by URL hash (H4).  The crawler's visited set becomes
-``dropDuplicatesWithinWatermark(["url_md5"])`` on the capture time, so a
-URL captured again within the watermark delay is ingested once, and state
-for old URLs is dropped as the watermark passes.
+text (H1) keyed by URL hash (H4).  The crawler's visited set, which never
+forgets a URL, becomes ``dropDuplicates(["url_md5"])``: one 32-character key per
+URL is kept as state for good, so a page is ingested once however late or out of
+order it arrives.  A page without an entry in the capture log is ingested
+with a null capture time.
 """
 
 from __future__ import annotations
@@ -25,18 +26,17 @@ def page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             .option("maxFilesPerTrigger", 1).parquet(sf_dir))
 
 
-def ingest(pages: DataFrame, capture_log: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Streaming page text with the capture time from the (static) log;
-    duplicates of a URL within ``delay`` are dropped."""
+def ingest(pages: DataFrame, capture_log: DataFrame) -> DataFrame:
+    """Streaming page text with the capture time from the (static) log, one row per URL."""
     from gleaner.streaming.stats import utc_instant
 
     log = capture_log.select(F.col("event_id").alias("page_id"), utc_instant(F.col("ts")).alias("ts"))
-    p = pages.join(log, "page_id")  # stream-static equi-join
+    p = pages.join(log, "page_id", "left")  # stream-static equi-join
     t = p.select("page_id", "ts", url_md5(F.col("url")).alias("url_md5"),
                  html_to_text(F.col("html")).alias("text"))
     t = t.withColumn("n_words", F.when(F.col("text") == "", 0)
                      .otherwise(F.size(F.split("text", " "))).cast("bigint"))
-    return t.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["url_md5"])
+    return t.dropDuplicates(["url_md5"])
 
 
 def run_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
