@@ -2,11 +2,9 @@
 
 ratio      round-half-even(100 * 2*LCS / (|a|+|b|)); equal strings 100, an
            empty side 0 (the indel-distance ratio).
-partial    the best ratio of the shorter string against every equal-length
-           window of the longer one (an upper bound of the matching-block
-           heuristic some libraries use).  Windows whose character-count
-           overlap with the shorter string cannot beat the best LCS so far
-           are skipped (exact: the overlap bounds the LCS).
+partial    the best ratio of the shorter string against the windows of the
+           longer one that line up with a matching block of the two; a window
+           at the end is cut short where the longer string ends.
 token_set  on ASCII-folded (U+0080..U+00FF dropped), non-word -> space,
            lower-cased strings: token sets, then the best ratio among the
            sorted intersection and intersection + each side's remainder.
@@ -18,6 +16,7 @@ run only on candidate pairs that survived blocking and the top-10 cut.
 from __future__ import annotations
 
 import re
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -56,33 +55,14 @@ def partial_ratio(a: str, b: str) -> int:
     if not a or not b:
         return 0
     short, long_ = (a, b) if len(a) <= len(b) else (b, a)
-    m = len(short)
-    need: dict[str, int] = {}
-    for ch in short:
-        need[ch] = need.get(ch, 0) + 1
-    have: dict[str, int] = {}
-    shared = 0  # multiset overlap of the window with `short`: bounds the LCS
-    for ch in long_[:m]:
-        have[ch] = have.get(ch, 0) + 1
-        if have[ch] <= need.get(ch, 0):
-            shared += 1
-    best_lcs = -1
-    for i in range(len(long_) - m + 1):
-        if i:
-            out, inc = long_[i - 1], long_[i + m - 1]
-            if have[out] <= need.get(out, 0):
-                shared -= 1
-            have[out] -= 1
-            have[inc] = have.get(inc, 0) + 1
-            if have[inc] <= need.get(inc, 0):
-                shared += 1
-        if shared > best_lcs:  # otherwise this window cannot do better
-            lcs = lcs_len(short, long_[i:i + m])
-            if lcs > best_lcs:
-                best_lcs = lcs
-                if 2.0 * lcs / (2 * m) > 0.995:
-                    return 100
-    return round(100 * (2.0 * best_lcs / (2 * m)))
+    best = 0.0
+    for at_short, at_long, _ in SequenceMatcher(None, short, long_).get_matching_blocks():
+        window = long_[max(at_long - at_short, 0):][:len(short)]
+        if window:
+            best = max(best, _raw_ratio(short, window))
+        if best > 0.995:
+            return 100
+    return round(100 * best)
 
 
 _LATIN1 = {c: None for c in range(128, 256)}

@@ -75,6 +75,7 @@ def batch_valid(requested: DataFrame, captures: DataFrame, id_col: str = "projec
     """The requested ids whose capture downloaded (status < 400) and
     validated.  Equi-join on the id; the request list is a query table, so
     no broadcast is assumed (AQE picks one at run time when it is small)."""
-    ok = validate(captures.filter(F.col("status") < 400), id_col).filter("valid")
+    wanted = captures.filter(F.col("status") < 400).join(requested.select(id_col).distinct(), id_col, "left_semi")
+    ok = validate(wanted, id_col).filter("valid")
     return requested.join(ok.select(id_col), id_col).select(
         id_col, xml_file_name(F.col(id_col)).alias("file_name"))

@@ -41,6 +41,41 @@ def test_list_rank_chain_and_cycle(spark):
     assert got == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
 
 
+def test_list_rank_from_any_start(spark):
+    def chain(rows, start):
+        nodes = spark.createDataFrame(rows, "url string, next_url string")
+        return [r.url for r in FR.list_rank(spark, nodes, start).orderBy("page_no").collect()]
+
+    assert chain([("p", "s"), ("s", "n"), ("n", None)], "s") == ["s", "n"]          # not the head of its chain
+    assert chain([("a", "x"), ("s", "x"), ("x", None)], "s") == ["s", "x"]          # two pages claim x
+    assert chain([("s", "t"), ("t", "u"), ("u", "s")], "s") == ["s", "t", "u"]      # a cycle ends at its first repeat
+    assert chain([("s", "gone")], "s") == ["s"]                                     # next page not captured
+    assert chain([("a", None)], "s") == []
+
+
+def test_streams_keep_late_and_unordered_files(spark, sf_small, tmpdir_path):
+    from gleaner.streaming import ingest
+
+    events, pages = spark.read.parquet(f"{sf_small}/events.parquet"), spark.read.parquet(f"{sf_small}/pages.parquet")
+    day = events.selectExpr("percentile_approx(hash(ts), array(0.5)) AS q").first().q[0]
+    late = os.path.join(tmpdir_path, "late")
+    for name, df, key in (("events", events, F.hash("ts") > day), ("pages", pages, F.col("page_id") > 20)):
+        os.makedirs(os.path.join(late, name))
+        for i, part in enumerate((df.filter(key), df.filter(~key), df.filter(key))):  # the third repeats the first
+            if name == "pages" or i < 2:
+                part.coalesce(1).write.parquet(os.path.join(late, name, str(i)))
+    read = lambda name, schema: (spark.readStream.schema(schema).option("recursiveFileLookup", True)
+                                 .option("maxFilesPerTrigger", 1).parquet(os.path.join(late, name)))
+    out = {}
+    for name, frame in (("t1", ingest.ingest(read("pages", pages.schema), events.limit(10))), ("t2", stats.window_counts(read("events", events.schema)))):
+        q = (frame.writeStream.format("memory").queryName(name).outputMode("append" if name == "t1" else "complete")
+             .option("checkpointLocation", os.path.join(tmpdir_path, name)).trigger(availableNow=True).start())
+        q.awaitTermination()
+        out[name] = spark.table(name).collect()
+    assert len(out["t1"]) == pages.select("url").distinct().count()   # late, repeated, or without a log entry
+    assert sum(r.captures for r in out["t2"]) == events.count()
+
+
 def test_stream_equals_batch(spark, sf_small):
     streamed = stats.run_stats(spark, sf_small)
     batch = stats.window_counts(spark.read.parquet(f"{sf_small}/events.parquet"))

@@ -35,6 +35,22 @@ def test_record_fields(spark):
     assert wide.filter("doc_id = 2").first()["Fach"] == ""
 
 
+def test_records_on_awkward_pages(spark):
+    long = "Wort " * 200_000  # 1 MB of text
+    pages = [
+        (1, "<DIV CLASS='details x'><div><div><div><span class=name>A:</span></div><SPAN class='value'>1</span></div></div>"
+            "<!-- <div><span class='name'>No</span><span class='value'>No</span></div> --></DIV>"
+            "<div class=details><h1 class='big facelift'>T &lt;b&gt; \ue001</h1><div><span class=name>B</span><span class=value>2</span></div></div>"),
+        (2, f"<div id='projekttext'><div>{long}</div></div>"),
+        (3, None), (4, ""), (5, "<div class=details><div><span class=name>open"),
+    ]
+    df = spark.createDataFrame(pages, "doc_id long, html string")
+    got = {r.doc_id: r.p for r in df.select("doc_id", R.record_pairs("html").alias("p")).collect()}
+    assert [tuple(p) for p in got[1]] == [("Projekt", "T <b> \ue001"), ("A", "1"), ("B", "2")]
+    assert got[2][0].value == long.strip()
+    assert (got[3], got[4], got[5]) == (None, [], [])
+
+
 def test_wide_csv_sink(spark, tmpdir_path):
     df = spark.createDataFrame([(1, RECORD_HTML)], "doc_id long, html string")
     out = os.path.join(tmpdir_path, "wide")

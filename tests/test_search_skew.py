@@ -4,64 +4,44 @@ The brute force below states the search semantics directly over all pairs
 (fine for a few hundred rows) and must equal the prefix-filtered join.
 """
 
-import re
-
 from gleaner.operators import search as S
-from test_urls_text import py_acronym, py_normalize
-
-
-def words(s):
-    return set(w for w in py_normalize(s).split(" ") if w)
-
-
-def acr_token(s):
-    u = s.strip().upper()
-    return "\u0001" + u if re.fullmatch(r"[A-Z]{2,10}", u) else None
 
 
-def brute_search(queries, catalog):
-    out = {}
-    for qno, q in queries:
-        strategies = list(dict.fromkeys([s for s in [q, f'"{q}"', py_acronym(q)] if s]))
-        for sno, s in enumerate(strategies):
-            phrase = len(s) >= 2 and s.startswith('"') and s.endswith('"')
-            inner = s[1:-1] if phrase else s
-            tw, pn = words(inner), py_normalize(inner)
+# (id, title, its acronym): a third of all entries share the same common words
+CATALOG = [(str(i), *[("the common project of the common data", "TCPTCD"),
+                      (f"the common study number {i} on topic {i % 7}", "TCSNT"),
+                      (f"Rare Title {i} alpha{i} beta{i % 11}", "RT")][i % 3]) for i in range(300)]
+# (number, query, its acronym), worked out by hand
+QUERIES = [(0, "the common project of the common data", "TCPTCD"), (1, "the common", "TC"), (2, "common study number 4", "CSN"),
+           (3, "RTAB", "RTAB"), (4, "Rare Title 5 alpha5", "RT"), (5, "the", "THE"), (6, "", None), (7, "beta3 beta3 gamma", None),
+           (8, "101", None), (9, " 299 ", None), (10, "999999", None), (11, "tcsnt", "TCSNT")]
+
+
+def expected_pages():
+    """Every query strategy against every entry, best ten by word overlap, title length and id."""
+    pages = {}
+    for number, query, acronym in QUERIES:
+        texts = list(dict.fromkeys(t for t in (query, f'"{query}"', acronym) if t))
+        for strategy, text in enumerate(texts):
+            quoted = text.startswith('"')
+            asked = text.strip('"').lower().split()
             hits = []
-            for pid, title in catalog:
-                ew = words(title)
-                o = len(tw & ew)
-                if phrase:
-                    ok = bool(tw) and f" {pn} " in f" {py_normalize(title)} "
+            for key, title, title_acronym in CATALOG:
+                own = title.lower().split()
+                both, either = len({*asked} & {*own}), len({*asked} | {*own})
+                if quoted:
+                    fits = any(own[k:k + len(asked)] == asked for k in range(len(own))) if asked else False
                 else:
-                    a = acr_token(s)
-                    ta = py_acronym(title)
-                    ok = ((bool(tw) and 3 * o >= len(tw) + len(ew))
-                          or (a is not None and ta is not None and acr_token(ta) == a)
-                          or (s.strip().isdigit() and s.strip().isascii() and s.strip() == pid))
-                if ok:
-                    j = o / (len(tw) + len(ew) - o) if len(tw) + len(ew) - o else 0.0
-                    hits.append((-j, len(title), pid))
-            for pos, (_, _, pid) in enumerate(sorted(hits)[:10]):
-                out[(qno, sno, pos)] = pid
-    return out
+                    fits = (both > 0 and 2 * both >= either) or text.strip().upper() == title_acronym or text.strip() == key
+                if fits:
+                    hits.append((-both / either if either else 0.0, len(title), key))
+            pages.update({(number, strategy, place): key for place, (*_, key) in enumerate(sorted(hits)[:10])})
+    return pages
 
 
 def test_hot_words_third_of_catalog(spark):
-    catalog = []
-    for i in range(300):
-        if i % 3 == 0:  # a third of all entries: the same common words
-            title = "the common project of the common data"
-        elif i % 3 == 1:
-            title = f"the common study number {i} on topic {i % 7}"
-        else:
-            title = f"Rare Title {i} alpha{i} beta{i % 11}"
-        catalog.append((str(i), title))
-    queries = [(0, "the common project of the common data"), (1, "the common"), (2, "common study number 4"),
-               (3, "RTAB"), (4, "Rare Title 5 alpha5"), (5, "the"), (6, ""), (7, "beta3 beta3 gamma"),
-               (8, "101"), (9, " 299 "), (10, "999999")]
-    qdf = spark.createDataFrame(queries, "query_no long, query string")
-    cdf = spark.createDataFrame([(p, t, "") for p, t in catalog], "project_id string, title string, description string")
+    qdf = spark.createDataFrame([q[:2] for q in QUERIES], "query_no long, query string")
+    cdf = spark.createDataFrame([(p, t, "") for p, t, _ in CATALOG], "project_id string, title string, description string")
     got = {(r.query_no, r.strategy_no, r.pos): r.project_id for r in S.search(qdf, cdf).collect()}
-    assert got == brute_search(queries, catalog)
+    assert got == expected_pages()
     assert len(got) > 0
