@@ -14,6 +14,7 @@ stored document, read back through the index.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gleaner.llm import decontaminate, mixing, near_dedup, quality, token_store
 from gleaner.llm.common import stored, table
@@ -22,8 +23,8 @@ from gleaner.llm.queries import tokenizer_path
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     weights = quality.fit(docs, table(spark, sf_dir, "labels"))
-    rest = [c for c in docs.columns if c != "doc_id"]
-    return quality.judge(docs, weights, *rest).filter("kept").select(*docs.columns)
+    named = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    return quality.judge(named, weights, "row").filter("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

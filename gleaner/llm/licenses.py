@@ -178,10 +178,11 @@ class Scanner:
                 # phrases that end here: their last state is this one or one of its suffixes
                 walk, room = state, size
                 while walk > 0:
+                    shorter = self.automaton.size[self.automaton.link[walk]]
                     for name, end in self.automaton.ends[walk]:
-                        if self.names[name][1] and end == self.sizes[name] and self.automaton.size[self.automaton.link[walk]] < end <= room:
+                        if self.names[name][1] and end == self.sizes[name] and shorter < end <= room:
                             places.append((name, at + i + 1 - end))
-                    walk = self.automaton.link[walk]
+                    walk, room = self.automaton.link[walk], shorter
         return places, long
 
     def chain(self, long: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
