@@ -30,6 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .features import WHITE, bounded_sample, constant, words
 
 BUCKETS = 1 << 16
@@ -102,10 +103,15 @@ def measures(documents: DataFrame, *keep: str) -> DataFrame:
 
 
 def judge(documents: DataFrame, weights: np.ndarray, *keep: str, least_score: float = LEAST_SCORE) -> DataFrame:
-    """One row per document: doc_id, ``keep``, the base measures, base_failed, llr, kept."""
+    """One row per document: doc_id, ``keep``, the base measures, base_failed, llr, kept.
+
+    The result is written once: were it only a plan, a filter on it would be
+    pushed down with copies of the expressions that it filters on.
+    """
     scored = measures(documents, *keep).select("*", grams(F.col("w")).alias("g")).drop("w")
     table = constant(weights, "float")
     total = F.aggregate("g", F.lit(0.0), lambda a, b: a + F.get(table, b))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PER_CENT * F.col("n_words"))
-    return (scored.select("*", (total / (F.size("g") + SHRINK)).alias("llr")).drop("g")
-            .withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= least_score)))
+    return stored(scored.select("*", (total / (F.size("g") + SHRINK)).alias("llr")).drop("g")
+                  .withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= least_score)),
+                  "quality-verdicts")
