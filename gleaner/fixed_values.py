@@ -16,6 +16,8 @@ PROJECT_NAMESPACE = "http://cordis.europa.eu"
 XML_FILE_PREFIX = "cordis_project_"
 XML_FILE_SUFFIX = ".xml"
 VERSION_SUFFIX = "-cordis-auto"
+BATCH_PREFIX = "cordis_batch_"
+MANIFEST_SUFFIX = "_metadata"
 
 # --- Fixed values: search results --------------------------------------------
 PAGE_SIZE = 10

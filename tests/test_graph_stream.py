@@ -101,6 +101,32 @@ def test_manifest_and_graph_sinks(spark, sf_small, tmpdir_path):
     assert report["dangling_src"] == 0 and report["dangling_dst"] == 0
 
 
+def test_batch_and_build_contracts(spark, sf_small, tmpdir_path):
+    from datetime import datetime
+
+    import pytest
+
+    from gleaner.session import materialize
+
+    captures = xml_captures(spark, sf_small)
+    c = materialize(CO.collect(fixtures.project_queries(spark, sf_small), fixtures.catalog(spark, sf_small), captures, "native"))
+    when = datetime(2024, 3, 5, 6, 7, 8)
+    paths, manifest = CO.save_batch(c, tmpdir_path, when, seconds=9)
+    assert manifest == f"{tmpdir_path}/cordis_batch_20240305_060708_metadata"
+    stats_row = spark.read.json(f"{manifest}/header").first().statistics
+    assert len(stats_row) == 8 and stats_row.total_execution_time_seconds == 9 and stats_row.projects_downloaded == paths.count()
+    assert CO.save_batch(c.limit(0), tmpdir_path, when)[1] == ""
+    version = G.version_name(F.lit(when))
+    n, e = G.build(c, version, f"{tmpdir_path}/g", captures)
+    assert {r.version for r in n.select("version").distinct().collect()} == {"v2024-03-05-060708-cordis-auto"}
+    assert n.count() == G.nodes(c, version).count() and e.count() == G.edges(c, version).count()
+    done = c.filter("downloaded")
+    assert spark.read.json(f"{tmpdir_path}/g/manifest").count() == done.count()
+    assert spark.read.parquet(f"{tmpdir_path}/g/sources").count() == done.select("project_id").distinct().count()
+    with pytest.raises(ValueError):
+        G.build(c.limit(0), version, f"{tmpdir_path}/none")
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as E
 
