@@ -48,7 +48,7 @@ DOMAINS = ("good", "low", "toxic")
 #: Wanted shares of the mixture's tokens; the total keeps the expected tokens of ``good``.
 WEIGHTS = {"good": 0.985, "low": 0.01, "toxic": 0.005}
 LABELLED_ROWS = 20_000
-SLOTS = 1 << 16
+SLOTS = 1 << 14
 #: Confidence of a feature's odds (standard deviations), and the least log odds that count.
 SURE, LEAST_ODDS = 3.0, 2.0
 #: Evidence from which the levels 1, 2 and 3 begin.
