@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import stored
 from .features import WHITE, bounded_sample, constant, words
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
 TRUSTED_ROWS = 20_000
 SHRINK = 20
 LEAST_SCORE = -0.15
