@@ -4,7 +4,8 @@ ratio      round-half-even(100 * 2*LCS / (|a|+|b|)); equal strings 100, an
            empty side 0 (the indel-distance ratio).
 partial    the best ratio of the shorter string against the windows of the
            longer one that line up with a matching block of the two; a window
-           at the end is cut short where the longer string ends.
+           at the end is cut short where the longer string ends.  Every
+           character may seed a block, however long the text.
 token_set  on ASCII-folded (U+0080..U+00FF dropped), non-word -> space,
            lower-cased strings: token sets, then the best ratio among the
            sorted intersection and intersection + each side's remainder.
@@ -56,7 +57,7 @@ def partial_ratio(a: str, b: str) -> int:
         return 0
     short, long_ = (a, b) if len(a) <= len(b) else (b, a)
     best = 0.0
-    for at_short, at_long, _ in SequenceMatcher(None, short, long_).get_matching_blocks():
+    for at_short, at_long, _ in SequenceMatcher(None, short, long_, autojunk=False).get_matching_blocks():
         window = long_[max(at_long - at_short, 0):][:len(short)]
         if window:
             best = max(best, _raw_ratio(short, window))

@@ -40,6 +40,16 @@ def test_partial_ratio_worked_cases():
     assert FZ.partial_ratio("", "abc") == 0
 
 
+def test_partial_ratio_finds_pieces_of_long_texts():
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 8))) for _ in range(300)]
+    for size in (200, 400, 2_000, 20_000):
+        text = " ".join(rnd.choice(words) for _ in range(size))[:size]
+        for _ in range(10):
+            at = rnd.randrange(size - 30)
+            assert FZ.partial_ratio(text[at:at + 30], text) == FZ.partial_ratio(text, text[at:at + 30]) == 100
+
+
 def test_token_set_examples():
     assert FZ.token_set_ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 100
     assert FZ.token_set_ratio("", "x") == 0
