@@ -17,8 +17,11 @@ text.
 The benchmark is handled in passes of bounded size (``PASS_BYTES`` of item text), so what
 is sent to the tasks is bounded whatever its size.
 
-Defined cases: null or empty texts and items match nothing.  Items, or documents, shorter
-than a shingle have their whole sequence as the one shingle.  A document shorter
+Items shorter than a shingle have their whole sequence as the one shingle, and so has
+each window of their size: such an item is found where a run of as many words is
+equal to it, by a hash lookup of every run of that size.
+
+Defined cases: null or empty texts and items match nothing.  A document shorter
 than an item is one window.  Of equally similar windows the first counts.  Repeated
 rows are judged alike; repeated items (same id and text) count once; a null
 item_id is reported as null.  Extra columns are not read, and pass through
@@ -47,12 +50,11 @@ RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 PASS_BYTES = 32 << 20
 
 
-def _shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shingle hashes in order, where each text's begin, and the number of words of each text."""
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes in order, and the index of each text's first one (n + 1)."""
     offsets, data = utf8(column)
     starts, ends, first = word_spans(offsets, data, SEPARATOR)
-    hashes, begin = shingle_hashes(hash_spans(data, starts, ends, byte_values(fold_case=True)), first, SHINGLE)
-    return hashes, begin, np.diff(first)
+    return hash_spans(data, starts, ends, byte_values(fold_case=True)), first
 
 
 def signs(hashes: np.ndarray) -> np.ndarray:
@@ -71,9 +73,17 @@ class Benchmark:
 
     def __init__(self, items: list[tuple]):
         items = sorted(set(items), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        hashes, begin, words = _shingles(pa.array([t for _, t in items], pa.string()))
-        keep = [k for k in range(len(items)) if words[k]]
-        self.ids = [items[k][0] for k in keep]
+        hashed, first = _words(pa.array([t for _, t in items], pa.string()))
+        hashes, begin = shingle_hashes(hashed, first, SHINGLE)
+        words = np.diff(first)
+        keep = [k for k in range(len(items)) if words[k] >= SHINGLE]
+        small = [k for k in range(len(items)) if 0 < words[k] < SHINGLE]
+        self.ids = [items[k][0] for k in keep + small]  # those shorter than a shingle last
+        runs: dict[int, dict[int, list[int]]] = {}
+        for k, item in enumerate(small, len(keep)):
+            run = int(shingle_hashes(hashed[first[item]:first[item + 1]], np.array([0, words[item]]), int(words[item]))[0][0])
+            runs.setdefault(int(words[item]), {}).setdefault(run, []).append(k)
+        self.short = {n: (HashIndex(np.array(list(by), dtype=np.uint64)), list(by.values())) for n, by in sorted(runs.items())}
         self.size = np.array([words[k] for k in keep], dtype=np.int64)
         sets = [hashes[begin[k]:begin[k + 1]] for k in keep]
         keys, held = np.unique(np.concatenate([np.unique(s) for s in sets]) if sets else np.zeros(0, np.uint64), return_counts=True)
@@ -146,6 +156,20 @@ class Benchmark:
                         best[k] = (p, size, s)
         return [(k, *v) for k, v in sorted(best.items())]
 
+    def short_runs(self, words: np.ndarray, first: np.ndarray) -> dict[int, list[tuple]]:
+        """Per text, (item, first word, words, 1.0) of the first run equal to each item shorter than a shingle."""
+        out: dict[int, list[tuple]] = {}
+        for n, (index, held) in self.short.items():
+            hashes, begin = shingle_hashes(words, first, n)
+            known = index.find(hashes)
+            at = np.flatnonzero(known >= 0)
+            doc = np.searchsorted(begin, at, "right") - 1
+            _, once = np.unique(doc * len(held) + known[at], return_index=True)
+            for i in once:
+                d = int(doc[i])
+                out.setdefault(d, []).extend((k, int(at[i] - begin[d]), n, 1.0) for k in held[known[at[i]]])
+        return out
+
 
 def passes(benchmark: DataFrame) -> Iterator[Benchmark]:
     """The benchmark in parts of about PASS_BYTES of text."""
@@ -160,13 +184,15 @@ def passes(benchmark: DataFrame) -> Iterator[Benchmark]:
 
 def _hits(batch: pa.RecordBatch, items: Benchmark, per_cent: int) -> Iterator[tuple[int, list[tuple]]]:
     """(row, matches) of the rows that have any."""
-    hashes, begin, words = _shingles(batch.column("text"))
+    hashed, first = _words(batch.column("text"))
+    hashes, begin = shingle_hashes(hashed, first, SHINGLE)
+    words, short = np.diff(first), items.short_runs(hashed, first)
     weight, mask = items.weights(hashes)
-    for d in np.unique(np.searchsorted(begin, np.flatnonzero(mask), "right") - 1):
+    for d in sorted({*(np.searchsorted(begin, np.flatnonzero(mask), "right") - 1).tolist(), *short}):
         a, z = begin[d], begin[d + 1]
-        found = items.search(hashes[a:z], weight[a:z], mask[a:z], int(words[d]), per_cent)
+        found = items.search(hashes[a:z], weight[a:z], mask[a:z], int(words[d]), per_cent) + short.get(d, [])
         if found:
-            yield int(d), found
+            yield d, found
 
 
 def matches(documents: DataFrame, benchmark: DataFrame, per_cent: int = PER_CENT) -> DataFrame:

@@ -66,7 +66,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
     n = len(words)
     factor = seeds(k, 31)
     total = np.zeros(n, dtype=np.uint64)
-    for i in range(k):  # windows that cross into the next document are not taken below
+    for i in range(min(k, n)):  # windows that cross into the next document are not taken below
         total[:n - i] += words[i:] * factor[i]
     counts = np.diff(first)
     take = np.where(counts >= k, counts - k + 1, np.minimum(counts, 1))

@@ -139,6 +139,26 @@ def test_items_found_as_by_brute_force(spark):
     assert decontaminate.matches(docs.limit(0), bench).count() == 0 and decontaminate.matches(docs, bench.limit(0)).count() == 0
 
 
+def test_short_items_found_inside_longer_texts(spark):
+    rng = random.Random(5)
+    items = [(1, "Zeta"), (2, "ask me, now"), (3, "one two three four"), (4, "now"), (5, "v1 v2"), (6, "ASK ME NOW"), (None, "zeta")]
+    bodies = [" ".join(f"v{rng.randrange(6)}" for _ in range(60)) + " ask me now. " + "now zeta", "ask me now", "v0 zeta v1 v2", "zeta", "one two three",
+              "x one two three four", "one two three four", None, "", "me ask now v2 v1", "v1 v2 v1 v2 v1 v2", "now " * 9000]
+    words = lambda t: re.findall("[a-z0-9]+", (t or "").lower())
+    want = set()
+    for d, body in enumerate(bodies):
+        w = words(body)
+        for i, item in items:
+            n = len(words(item))
+            at = [k for k in range(len(w) - n + 1) if w[k:k + n] == words(item)]
+            want |= {(d, i, at[0], n, 1.0)} if at else set()
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.matches(docs, bench).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == set(range(len(bodies))) - {r[0] for r in want}
+
+
 def test_multi_index_finds_all_within_radius():
     rng = np.random.default_rng(7)
     words = [" ".join(f"t{x}" for x in rng.integers(0, 500, 20)) for _ in range(50)]
