@@ -15,7 +15,8 @@ windows are passed over before hashing, which leaves next to nothing of clean
 text.
 
 The benchmark is handled in passes of bounded size (``PASS_BYTES`` of item text), so what
-is sent to the tasks is bounded whatever its size.
+is sent to the tasks is bounded whatever its size.  The items that have a shingle are
+counted over the whole benchmark, so results do not depend on the passes.
 
 Items shorter than a shingle have their whole sequence as the one shingle, and so has
 each window of their size: such an item is found where a run of as many words is
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashIndex, byte_values, chunks, hash_spans, mix64, utf8, word_spans
+from .common import HashIndex, byte_values, chunks, hash_spans, mix64, stored, utf8, word_spans
 from .licenses import SEPARATOR
 from .near_dedup import shingle_hashes
 
@@ -71,7 +72,8 @@ def fingerprint(votes: np.ndarray) -> np.ndarray:
 class Benchmark:
     """The items of one pass: shingle weights, fingerprints and the multi-index."""
 
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], held_by: tuple[np.ndarray, np.ndarray] | None = None):
+        """held_by: shingles, and how many items of the whole benchmark have each (default: the items are all there are)."""
         items = sorted(set(items), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         hashed, first = _words(pa.array([t for _, t in items], pa.string()))
         hashes, begin = shingle_hashes(hashed, first, SHINGLE)
@@ -87,6 +89,9 @@ class Benchmark:
         self.size = np.array([words[k] for k in keep], dtype=np.int64)
         sets = [hashes[begin[k]:begin[k + 1]] for k in keep]
         keys, held = np.unique(np.concatenate([np.unique(s) for s in sets]) if sets else np.zeros(0, np.uint64), return_counts=True)
+        if held_by is not None:
+            at = HashIndex(keys).find(held_by[0])
+            held[at[at >= 0]] = held_by[1][at >= 0]
         self.index, self.weight = HashIndex(keys), 1.0 / np.maximum(held, 1)
         self.sizes = np.unique(self.size)
         self.bit = {int(n): 1 << (k % 64) for k, n in enumerate(self.sizes)}
@@ -176,10 +181,33 @@ def passes(benchmark: DataFrame) -> Iterator[Benchmark]:
     slim = benchmark.select("item_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) > 0)
     size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-int(size) // PASS_BYTES))
+    own = slim.withColumn("pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int"))
+    shared = _shared_shingles(own) if n > 1 else None
     for k in range(n):
-        part = slim.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
+        part = own.filter(F.col("pass") == k).drop("pass").collect()
         if part:
-            yield Benchmark([tuple(r) for r in part])
+            held_by = None
+            if shared is not None:
+                found = shared.filter(F.col("pass") == k).select("hash", "n").toArrow()
+                held_by = found.column("hash").to_numpy().view(np.uint64), found.column("n").to_numpy()
+            yield Benchmark([tuple(r) for r in part], held_by)
+
+
+def _shared_shingles(items: DataFrame) -> DataFrame:
+    """pass, hash, n: the shingles of each pass that more than one item of the whole benchmark has, and how many have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            hashes, begin = shingle_hashes(*_words(batch.column("text")), SHINGLE)
+            for k, (a, z) in enumerate(zip(begin[:-1], begin[1:])):
+                own = np.unique(hashes[a:z]).view(np.int64)
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.repeat(batch.column("pass")[k], len(own)), pa.array(own)], names=["pass", "hash"])
+
+    counts = stored(items.distinct().select("pass", "text").mapInArrow(run, "pass int, hash long")
+                    .groupBy("pass", "hash").agg(F.count("*").alias("n")), "benchmark-shingles")
+    whole = counts.groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1")
+    return stored(counts.select("pass", "hash").join(whole, "hash"), "benchmark-shared")
 
 
 def _hits(batch: pa.RecordBatch, items: Benchmark, per_cent: int) -> Iterator[tuple[int, list[tuple]]]:

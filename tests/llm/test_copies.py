@@ -159,6 +159,27 @@ def test_short_items_found_inside_longer_texts(spark):
     assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == set(range(len(bodies))) - {r[0] for r in want}
 
 
+def test_passes_do_not_change_results(spark, monkeypatch):
+    rng = random.Random(21)
+    text = lambda n: [f"u{rng.randrange(3000)}" for _ in range(n)]
+    common = text(14)
+    items = [(i, " ".join(text(16) + common)) for i in range(40)]
+    bodies = []
+    for _, t in items:
+        w = t.split()
+        w[rng.choice((3, 5, 20, 27))] = "edit"
+        bodies.append(" ".join(text(8) + w + text(8)))
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    bench = spark.createDataFrame(items + items[:3], "item_id long, text string")
+    rows = lambda: sorted((r.doc_id, r.item_id, r.first_word, r.n_words, round(r.similarity, 9)) for r in decontaminate.matches(docs, bench).collect())
+    whole = rows()
+    words = [t.split() for _, t in items]
+    assert whole and all(abs(s - similarity(words, bodies[d].split()[p:p + n], words[i])) < 1e-8 for d, i, p, n, s in whole)
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 1500)
+    assert len(list(decontaminate.passes(bench))) > 3
+    assert rows() == whole
+
+
 def test_multi_index_finds_all_within_radius():
     rng = np.random.default_rng(7)
     words = [" ".join(f"t{x}" for x in rng.integers(0, 500, 20)) for _ in range(50)]
