@@ -6,7 +6,8 @@ Words are ``[^\x20\x09-\x0D]+``.  Nothing here shuffles; every function maps a r
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -25,6 +26,16 @@ def constant(values: np.ndarray, kind: str) -> Column:
     return F.split(F.lit(text), ",").cast(f"array<{kind}>")
 
 
+def one_row(spark: SparkSession, values: pa.Array) -> Column:
+    """An array as a scalar subquery over a table of one row: it stands in no plan, and lookups do not copy it.
+
+    Select it as a column and refer to that column once, from the next select:
+    the planner then moves the subquery to where it is used.
+    """
+    row = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    return spark.createDataFrame(pa.table({"entries": row})).scalar()
+
+
 def bounded_sample(rows: DataFrame, most: int) -> DataFrame:
     """About ``most`` rows at the most, chosen by a hash of doc_id; all while there are fewer."""
     n = rows.count()

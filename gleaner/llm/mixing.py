@@ -8,9 +8,9 @@ fitted by projected gradient so that the expected token totals
 
 *Classifier*.  Features are the distinct lower-cased words, the last three
 characters of each word, and the tenth of words that repeat their neighbour.
-A feature speaks for a domain by a lower confidence bound of its log odds; one
-feature per hash slot is kept (with its full hash, so that slots never mix
-features).  The evidence for each domain is cut into levels, and the posterior of
+A feature speaks for a domain by a lower confidence bound of its log odds; every
+feature that speaks for one is kept (by its full hash), at least ten rows each, so their
+number is bounded by the labelled rows that are read.  The evidence for each domain is cut into levels, and the posterior of
 a document is the share of each domain among labelled documents of the same
 levels.  Features come from one half of the labelled rows and the shares from
 the other half.  Fitting uses about ``LABELLED_ROWS`` labelled rows at the most.
@@ -38,17 +38,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .features import bounded_sample, constant, words
+from .features import bounded_sample, one_row, words
 
 DOMAINS = ("good", "low", "toxic")
 #: Wanted shares of the mixture's tokens; the total keeps the expected tokens of ``good``.
 WEIGHTS = {"good": 0.985, "low": 0.01, "toxic": 0.005}
 LABELLED_ROWS = 20_000
-SLOTS = 1 << 14
 #: Confidence of a feature's odds (standard deviations), and the least log odds that count.
 SURE, LEAST_ODDS = 3.0, 2.0
 #: Evidence from which the levels 1, 2 and 3 begin.
@@ -64,31 +64,41 @@ def features(w: Column) -> Column:
     return F.array_distinct(F.concat(own, F.array(F.xxhash64(tenth, F.lit(2)))))
 
 
-def _slot(h: Column) -> Column:
-    return F.pmod(h, F.lit(SLOTS)).cast("int")
-
-
 @dataclass
 class Classifier:
-    """``keys``: the feature hash of each slot (0: none); ``odds``: per domain its weight; ``shares``: levels -> posterior."""
+    """``keys``: the hashes of the kept features; ``odds``: per domain their weights; ``shares``: levels -> posterior."""
 
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(SLOTS, dtype=np.int64))
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     odds: dict[str, np.ndarray] = field(default_factory=dict)
     shares: dict[int, list[float]] = field(default_factory=dict)
     other: tuple[float, ...] = (1.0, 0.0, 0.0)
 
-    def cell(self, f: Column) -> Column:
-        """The levels of a feature array column as one number, a digit per domain."""
+    def table(self) -> pa.Array:
+        """The features with their weights, listed by slot (the hash modulo the number of slots)."""
+        slots = 16
+        while slots < 2 * len(self.keys):
+            slots *= 2
+        slot = np.mod(self.keys, slots)
+        order = np.argsort(slot, kind="stable")
+        begin = np.concatenate([[0], np.cumsum(np.bincount(slot, minlength=slots))])
+        rows = pa.StructArray.from_arrays([pa.array(self.keys[order]), *(pa.array(self.odds[d][order]) for d in DOMAINS)], names=["h", *DOMAINS])
+        return pa.ListArray.from_arrays(pa.array(begin, pa.int32()), rows)
+
+    def cells(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``cell`` in place of the feature array ``f``: the levels as one number, a digit per domain."""
         if not self.odds:
-            return F.lit(0)
-        keys = constant(self.keys, "bigint")
-        known = F.transform(F.filter(f, lambda h: F.get(keys, _slot(h)) == h), _slot)
-        out = F.lit(0)
-        for domain in DOMAINS:
-            table = constant(self.odds[domain], "float")
-            total = F.aggregate(known, F.lit(0.0), lambda a, s: a + F.get(table, s))  # noqa: B023
-            out = out * (len(LEVELS) + 1) + sum((total >= x).cast("int") for x in LEVELS)
-        return out
+            return rows.withColumn("cell", F.lit(0)).drop("f")
+        table = self.table()
+        at = lambda h: F.get(F.col("_table"), F.pmod(h, F.lit(len(table))).cast("int"))
+        plus = lambda a, e: F.struct(*((a[d] + e[d]).alias(d) for d in DOMAINS))
+        none = F.struct(*(F.lit(0.0).alias(d) for d in DOMAINS))
+        total = F.aggregate("f", none, lambda a, h: F.aggregate(at(h), a, lambda b, e: F.when(e["h"] == h, plus(b, e)).otherwise(b)))
+        kept = [c for c in rows.columns if c != "f"]
+        cell = F.lit(0)
+        for d in DOMAINS:
+            cell = cell * (len(LEVELS) + 1) + sum((F.col("_total")[d] >= x).cast("int") for x in LEVELS)
+        return (rows.select("*", one_row(rows.sparkSession, table).alias("_table")).select(*kept, total.alias("_total"))
+                .select(*kept, cell.alias("cell")))
 
     def posterior(self, cell: Column) -> list[Column]:
         """Per domain, the share among labelled documents with the same levels."""
@@ -123,15 +133,10 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> C
         sure = F.when(low > 0, F.ln(low / max(1.0, n)) - F.ln(high / max(1.0, rest))) if n and rest else F.lit(None)
         odds.append(F.when(sure >= LEAST_ODDS, sure).otherwise(0.0).alias(f"o_{d}"))
     best = F.greatest(*(F.col(f"o_{d}") for d in DOMAINS))
-    kept = (counts.select("h", *odds).filter((best > 0) & (F.col("h") != 0)).groupBy(_slot(F.col("h")).alias("slot"))
-            .agg(F.max_by(F.struct("h", *(f"o_{d}" for d in DOMAINS)), F.struct(best, F.col("h"))).alias("x")).select("slot", "x.*"))
-    out = Classifier(odds={d: np.zeros(SLOTS) for d in DOMAINS})
-    for slot, h, *values in kept.collect():  # one row per slot at the most
-        out.keys[slot] = h
-        for d, v in zip(DOMAINS, values):
-            out.odds[d][slot] = v
+    kept = counts.select("h", *odds).filter(best > 0).orderBy("h").toArrow()  # at least ten rows have each
+    out = Classifier(kept.column("h").to_numpy(), {d: kept.column(f"o_{d}").to_numpy() for d in DOMAINS})
     cells: dict[int, np.ndarray] = {}
-    table = known.filter("not first_half").select("domain", out.cell(F.col("f")).alias("cell")).groupBy("cell", "domain").count().collect()
+    table = out.cells(known.filter("not first_half").select("domain", "f")).groupBy("cell", "domain").count().collect()
     for cell, d, n in table:
         cells.setdefault(cell, np.zeros(len(DOMAINS)))[DOMAINS.index(d)] += n
     whole = sum(cells.values()) if cells else np.array([float(sizes.get(d, 0)) for d in DOMAINS])
@@ -143,10 +148,9 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> C
 def memberships(documents: DataFrame, model: Classifier, *keep: str) -> DataFrame:
     """doc_id, ``keep``, n_tokens and p_<domain> of every row."""
     posterior = [p.alias(f"p_{d}") for d, p in zip(DOMAINS, model.posterior(F.col("cell")))]
-    return (documents.select("doc_id", *keep, words(F.col("text")).alias("w"))
-            .select("doc_id", *keep, F.size("w").cast("long").alias("n_tokens"), features(F.col("w")).alias("f"))
-            .select("doc_id", *keep, "n_tokens", model.cell(F.col("f")).alias("cell"))
-            .select("doc_id", *keep, "n_tokens", *posterior))
+    rows = (documents.select("doc_id", *keep, words(F.col("text")).alias("w"))
+            .select("doc_id", *keep, F.size("w").cast("long").alias("n_tokens"), features(F.col("w")).alias("f")))
+    return model.cells(rows).select("doc_id", *keep, "n_tokens", *posterior)
 
 
 def rate(steps: list[np.ndarray]) -> Column:

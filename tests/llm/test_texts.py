@@ -199,3 +199,22 @@ def test_mixing_on_labelled_table_and_awkward_rows(spark, awkward):
     assert mixing.rates(empty(spark), labels).count() == 0
     same = mixing.resample(awkward, labels.limit(0))
     assert same.columns == awkward.columns and same.count() == len(AWKWARD)
+
+
+def test_every_selected_feature_is_kept(spark):
+    # 18,000 words that only bad rows have: more than 16,384, the number of hash slots there once were
+    bad = [(i, " ".join(f"bad{k}" for k in range(18_000))) for i in range(60)]
+    good = [(i, f"fine day number x{i}") for i in range(10_000, 10_600)]
+    docs = spark.createDataFrame(bad + good, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, 0) for i, _ in bad] + [(i, 1, 0) for i, _ in good], "doc_id long, quality int, toxic int")
+    model = mixing.fit(docs, labels)
+    words = spark.createDataFrame([(f"bad{k}",) for k in range(18_000)], "w string").select(F.xxhash64("w").alias("h")).toPandas()["h"]
+    assert np.isin(words, model.keys).all()
+    rows = model.table().to_pylist()
+    assert sorted(e["h"] for slot in rows for e in slot) == sorted(model.keys) and all(e["h"] % len(rows) == k for k, slot in enumerate(rows) for e in slot)
+    # levels against a plain sum
+    odds = dict(zip(model.keys.tolist(), zip(*(model.odds[d] for d in mixing.DOMAINS))))
+    f = [[], [int(words[0])], [int(x) for x in words[:3]], [1, int(words[5]), 2]]
+    got = [r.cell for r in model.cells(spark.createDataFrame([(k, x) for k, x in enumerate(f)], "k int, f array<long>")).orderBy("k").collect()]
+    sums = [[sum(odds.get(h, (0, 0, 0))[d] for h in x) for d in range(3)] for x in f]
+    assert got == [sum(4 ** (2 - d) * sum(s[d] >= x for x in mixing.LEVELS) for d in range(3)) for s in sums]
