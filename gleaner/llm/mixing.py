@@ -12,7 +12,10 @@ A feature speaks for a domain by a lower confidence bound of its log odds; every
 feature that speaks for one is kept (by its full hash), at least ten rows each, so their
 number is bounded by the labelled rows that are read.  The evidence for each domain is cut into levels, and the posterior of
 a document is the share of each domain among labelled documents of the same
-levels.  Features come from one half of the labelled rows and the shares from
+levels.  Where there are none, each domain's level counts by itself, as if levels were
+independent within a domain: the domains' shares times the smoothed share of each level
+in them.  A level that no labelled document has counts as the nearest lower one (from 1)
+that some have; if there is none, its evidence is taken for the log odds that it is.  Features come from one half of the labelled rows and the shares from
 the other half.  Fitting uses about ``LABELLED_ROWS`` labelled rows at the most.
 
 *Rates*.  Least squares ``|A r - target|^2`` in the metric of the domains' token
@@ -72,6 +75,7 @@ class Classifier:
     odds: dict[str, np.ndarray] = field(default_factory=dict)
     shares: dict[int, list[float]] = field(default_factory=dict)
     other: tuple[float, ...] = (1.0, 0.0, 0.0)
+    coarser: dict[int, list[float]] = field(default_factory=dict)
 
     def table(self) -> pa.Array:
         """The features with their weights, listed by slot (the hash modulo the number of slots)."""
@@ -101,14 +105,11 @@ class Classifier:
                 .select(*kept, cell.alias("cell")))
 
     def posterior(self, cell: Column) -> list[Column]:
-        """Per domain, the share among labelled documents with the same levels."""
-        out = []
-        for k in range(len(DOMAINS)):
-            at = F.lit(self.other[k])
-            for c, share in sorted(self.shares.items()):
-                at = F.when(cell == c, F.lit(float(share[k]))).otherwise(at)
-            out.append(at)
-        return out
+        """Per domain, the share among labelled documents with the same levels, or what ``coarser`` says."""
+        if not self.odds:
+            return [F.lit(float(x)) for x in self.other]
+        shares = [self.shares.get(c) or self.coarser.get(c, self.other) for c in range((len(LEVELS) + 1) ** len(DOMAINS))]
+        return [F.get(F.array(*(F.lit(float(s[k])) for s in shares)), cell) for k in range(len(DOMAINS))]
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Classifier:
@@ -142,6 +143,37 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> C
     whole = sum(cells.values()) if cells else np.array([float(sizes.get(d, 0)) for d in DOMAINS])
     out.other = tuple(whole / whole.sum())
     out.shares = {c: list(n / n.sum()) for c, n in cells.items()}
+    out.coarser = _coarser(cells, np.array([float(sizes.get(d, 0)) for d in DOMAINS]) if not cells else whole)
+    return out
+
+
+def _digits(cell: int) -> list[int]:
+    """The level of each domain."""
+    return [cell // (len(LEVELS) + 1) ** k % (len(LEVELS) + 1) for k in reversed(range(len(DOMAINS)))]
+
+
+def _coarser(cells: dict[int, np.ndarray], whole: np.ndarray) -> dict[int, list[float]]:
+    """The posterior of every cell from one domain's levels at a time; ``whole``: labelled rows per domain."""
+    levels = len(LEVELS) + 1
+    seen = np.zeros((len(DOMAINS), levels, len(DOMAINS)))  # evidence for, level, domain of the row
+    for cell, n in cells.items():
+        for k, x in enumerate(_digits(cell)):
+            seen[k, x] += n
+    factor = np.ones_like(seen)
+    for k in range(len(DOMAINS)):
+        for x in range(levels):
+            if seen[k, x].any() or not x:
+                factor[k, x] = (seen[k, x] + 0.5) / (whole + 0.5 * levels)
+            elif seen[k, 1:x].any():
+                factor[k, x] = factor[k, x - 1]
+            else:
+                factor[k, x, k] = np.exp(LEVELS[x - 1])
+    out = {}
+    for cell in range(levels ** len(DOMAINS)):
+        p = whole / max(1.0, whole.sum())
+        for k, x in enumerate(_digits(cell)):
+            p = p * factor[k, x]
+        out[cell] = list(p / p.sum()) if p.sum() else list(whole / max(1.0, whole.sum()))
     return out
 
 

@@ -218,3 +218,26 @@ def test_every_selected_feature_is_kept(spark):
     got = [r.cell for r in model.cells(spark.createDataFrame([(k, x) for k, x in enumerate(f)], "k int, f array<long>")).orderBy("k").collect()]
     sums = [[sum(odds.get(h, (0, 0, 0))[d] for h in x) for d in range(3)] for x in f]
     assert got == [sum(4 ** (2 - d) * sum(s[d] >= x for x in mixing.LEVELS) for d in range(3)) for s in sums]
+
+
+def test_unseen_levels_fall_back_to_coarser_ones(spark):
+    # labelled rows: plain, low and toxic ones; none is low and toxic at once
+    kinds = {"plain": (1, 0, "calm"), "low": (0, 0, "spamword cheapword junkword"), "toxic": (1, 1, "vileword cruelword grimword")}
+    rows, labels = [], []
+    for i in range(1300):
+        kind = "plain" if i < 900 else "low" if i < 1200 else "toxic"
+        rows.append((i, f"{kinds[kind][2]} row n{i}"))
+        labels.append((i, *kinds[kind][:2]))
+    rows += [(5000, "vileword cruelword grimword and spamword too n0"), (5001, "calm row new")]
+    model = mixing.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    docs = spark.createDataFrame(rows[-2:], "doc_id long, text string")
+    cells = {r.doc_id: r.cell for r in model.cells(docs.select("doc_id", mixing.features(mixing.words(F.col("text"))).alias("f"))).collect()}
+    assert cells[5000] not in model.shares and cells[5001] in model.shares
+    got = {r.doc_id: r for r in mixing.memberships(docs, model).collect()}
+    assert got[5000].p_toxic + got[5000].p_low > 0.9 and got[5000].p_toxic > 5 * model.other[2]
+    assert got[5001].p_good > 0.9
+    # toxic evidence of a level above all labelled ones
+    top = {c: n for c, n in model.coarser.items() if mixing._digits(c)[0] == 0 and mixing._digits(c)[1] == 0}
+    assert [round(sum(p), 9) for p in model.coarser.values()] == [1.0] * 64 and top[3][2] > 0.5
+    none = mixing._coarser({0: np.array([90.0, 9.0, 1.0])}, np.array([90.0, 9.0, 1.0]))
+    assert none[3][2] > none[2][2] > none[1][2] > 0.01 and none[3][2] > 0.8
