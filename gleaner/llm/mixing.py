@@ -225,18 +225,13 @@ def rates(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | N
     return members.withColumn("rate", rate(steps))
 
 
-#: Rates this near to a whole number of copies count as that number.
-NEAR = 0.1
-
-
 def resample(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``documents`` as often as their rate says: the whole part, and the rest by a hash of the row."""
     named = documents.select(F.struct("*").alias("row"), "doc_id", "text")
     members = stored(memberships(named, fit(documents, labels), "row"), "mixing-rows")
     steps, _, _ = fit_rates(members, weights)
     rated = members.withColumn("rate", rate(steps))
-    near = F.round("rate")
     chance = F.pmod(F.xxhash64("row.doc_id", "row.text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    copies = F.when((F.abs(F.col("rate") - near) <= NEAR) & (near >= 1), near).otherwise(F.floor(F.col("rate") + chance)).cast("int")
+    copies = F.floor(F.col("rate") + chance).cast("int")
     return (rated.select("row", copies.alias("copies")).filter("copies > 0")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*"))

@@ -241,3 +241,21 @@ def test_unseen_levels_fall_back_to_coarser_ones(spark):
     assert [round(sum(p), 9) for p in model.coarser.values()] == [1.0] * 64 and top[3][2] > 0.5
     none = mixing._coarser({0: np.array([90.0, 9.0, 1.0])}, np.array([90.0, 9.0, 1.0]))
     assert none[3][2] > none[2][2] > none[1][2] > 0.01 and none[3][2] > 0.8
+
+
+def test_resampled_totals_meet_the_targets(spark):
+    rng = np.random.default_rng(6)
+    rows, labels = [], []
+    for i in range(6000):
+        bad = i % 3 == 0
+        rows.append((i, f"{'spamword cheapword' if bad else 'calm'} " + " ".join(f"w{x}" for x in rng.integers(0, 50, 8))))
+        labels.append((i, 0 if bad else 1, 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    weights = {"good": 0.7, "low": 0.362, "toxic": 0.0}  # the low rows' rate comes to about 0.93
+    members = mixing.memberships(docs, mixing.fit(docs, labels)).cache()
+    _, reached, target = mixing.fit_rates(members, weights)
+    assert np.allclose(reached, target, rtol=1e-3)
+    left = mixing.resample(docs, labels, weights).select("doc_id").join(members, "doc_id")
+    got = left.agg(*(F.sum(F.col("n_tokens") * F.col(f"p_{d}")) for d in mixing.DOMAINS)).first()
+    assert abs(got[0] / target[0] - 1) < 0.02 and abs(got[1] / target[1] - 1) < 0.03
