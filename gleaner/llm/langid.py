@@ -9,8 +9,9 @@ largest sum over its words; the score is its share of the posterior.
 Words are runs of letters, lower-cased; n-grams include the word's edges.
 
 Fitting reads about ``SAMPLE_ROWS`` labelled rows (a bound on the labelled
-sample, chosen by a hash of doc_id; every row is taken while there are fewer)
-and keeps the ``MODEL_ENTRIES`` most frequent words and n-grams per language, so
+sample, chosen by a hash of doc_id; every row is taken while there are fewer).  The
+bound is shared out by language, and a language with fewer rows than its share
+gives all of them, so that none is lost.  Fitting keeps the ``MODEL_ENTRIES`` most frequent words and n-grams per language, so
 the model that is sent to the tasks has a fixed largest size.  Prediction reads
 every whole text.
 
@@ -35,6 +36,9 @@ from .common import HashIndex, chunks, hash_spans, mix64, seeds
 
 LONGEST = 5
 SAMPLE_ROWS = 20_000
+#: Rows a language has in the sample, however many languages there are (all of its rows if it has fewer).
+LEAST_ROWS = 30
+SAMPLE_PARTS = 1 << 40
 MODEL_ENTRIES = 40_000
 SPACE = 32
 SMOOTHING = 0.5
@@ -143,13 +147,27 @@ class Model:
         return [self.langs[b] if s else "und" for b, s in zip(best, some)], np.where(some, posterior, 0.0)
 
 
+def rows_per_language(sizes: list[int], most: int) -> int:
+    """The largest number of rows for each language with which all together take about ``most``; LEAST_ROWS at least."""
+    left, each = most, 0
+    for k, n in enumerate(sorted(sizes)):
+        each = left // (len(sizes) - k)
+        if n > each:
+            break
+        left -= n
+    return max(each, LEAST_ROWS)
+
+
 def fit(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = MODEL_ENTRIES) -> Model:
     """Learn from the rows that are not held out and have a language."""
     train = documents.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                              & F.col("text").isNotNull())
-    rows = train.select("lang", "doc_id").count()
-    if rows > sample_rows:
-        train = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / rows))
+    sizes = dict(train.groupBy("lang").count().collect())
+    if sum(sizes.values()) > sample_rows:
+        most = rows_per_language(list(sizes.values()), sample_rows)
+        parts = [(lang, int(SAMPLE_PARTS * min(1.0, most / n))) for lang, n in sizes.items()]
+        sampled = F.broadcast(documents.sparkSession.createDataFrame(parts, "lang string, part long"))
+        train = train.select("lang", "doc_id", "text").join(sampled, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_PARTS)) < F.col("part"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):

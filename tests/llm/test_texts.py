@@ -141,6 +141,13 @@ def test_language_of_held_out_rows(spark, awkward):
     assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
 
 
+def test_rare_languages_stay_predictable(spark):
+    rows = [(i, f"the common words of row x{i % 7}", "aa") for i in range(6000)] + [(10_000 + i, "zeldzame taal hier", "bb") for i in range(12)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=100)
+    assert model.langs == ["aa", "bb"] and model.predict(["zeldzame taal", "common words"])[0] == ["bb", "aa"]
+    assert langid.rows_per_language([5, 1000, 2000], 105) == 50 and langid.rows_per_language([10] * 50, 100) == langid.LEAST_ROWS
+
+
 # ---------------------------------------------------------------- quality
 
 def measured(text):
