@@ -49,4 +49,52 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
 FROM f
 """
 
-ORACLES = {"op1_arc_to_warc": OP1, "op9_url_rules": OP9}
+#: CRC-32 of a number's decimal digits (reflected polynomial EDB88320, bit by bit).
+_CRC32 = """xor(list_reduce([ord(substr(d, i, 1))::BIGINT for i in range(1, length(d) + 1)],
+  lambda have, byte: list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), xor(have, byte)), 4294967295), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+#: Both kinds of tree climb alike; a run is every 16 nodes in a row, and one node that is left over is hashed again.
+_CLIMB = """SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+  FROM {0} WHERE n > 1 GROUP BY tree, level, n, pos // 16"""
+_BESIDE = """SELECT a.tree, a.level, a.pos, a.n, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM {0} a JOIN {0} b ON a.tree = b.tree AND a.level = b.level AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY ALL"""
+
+OP11 = f"""
+WITH RECURSIVE docs AS (
+  SELECT *, doc_id::VARCHAR AS d, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf FROM documents
+), flat AS (
+  SELECT doc_id, tree, leaf, CASE WHEN {_CRC32} % 5 = 0 THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS changed,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM docs
+), up AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS h FROM flat UNION ALL {_CLIMB.format("up")}
+), subroots AS (
+  SELECT tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+), over_ AS (
+  SELECT '' AS tree, 0 AS level, pos, n, h FROM subroots UNION ALL {_CLIMB.format("over_")}
+), beside AS ({_BESIDE.format("up")}), above AS ({_BESIDE.format("over_")}
+), fold AS (
+  SELECT doc_id, tree, 0 AS level, pos, n, coalesce(changed, leaf) AS h, '' AS proof, leaf FROM flat
+  UNION ALL
+  SELECT f.doc_id, f.tree, f.level + 1, f.pos // 16, (f.n + 15) // 16, sha256(b.l || f.h || b.r), f.proof || b.l || b.r, f.leaf
+  FROM fold f JOIN beside b ON b.tree = f.tree AND b.level = f.level AND b.pos = f.pos WHERE f.n > 1
+), rest AS (
+  SELECT f.doc_id, f.leaf, s.h AS subroot, 0 AS level, s.pos, s.n, f.h, f.proof FROM fold f JOIN subroots s ON s.name = f.tree WHERE f.n = 1
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.subroot, f.level + 1, f.pos // 16, (f.n + 15) // 16, sha256(b.l || f.h || b.r), f.proof || b.l || b.r
+  FROM rest f JOIN above b ON b.level = f.level AND b.pos = f.pos WHERE f.n > 1
+)
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, rest.h AS folded_root, rest.h = t.h AS verified
+FROM rest, (SELECT h FROM over_ WHERE n = 1) t WHERE rest.n = 1
+"""
+
+ORACLES = {"op1_arc_to_warc": OP1, "op9_url_rules": OP9, "op11_merkle_manifest": OP11}
