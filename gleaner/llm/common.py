@@ -23,6 +23,8 @@ from ..sources.tables import read_table
 CHUNK_BYTES = 2 << 20
 #: Bytes hashed with one running sum.
 SEGMENT_BYTES = 1 << 20
+#: Links that a task holds at once while it reduces them.
+MOST_LINKS = 1 << 20
 _U64 = np.uint64
 
 
@@ -167,6 +169,46 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUNK_BYT
 
 # ---------------------------------------------------------------- links -> components
 
+def smallest_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, labels): for every node of the links (a, b) the smallest one reachable."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[:len(a)], ends[len(a):]
+    label = np.arange(len(nodes))
+    while (label[x] != label[y]).any():
+        low = np.minimum(label[x], label[y])
+        np.minimum.at(label, label[x], low)
+        np.minimum.at(label, label[y], low)
+        while (label[label] != label).any():
+            label = label[label]
+    return nodes, nodes[label]
+
+
+def forest(links: DataFrame, node: str, hub: str) -> DataFrame:
+    """Links (a, b) with the same components as ``links``, about one for each ``node``.
+
+    Links are dealt by ``node``, which should be the end that has few of them; each task
+    replaces the links of a slice by one from every end to the smallest one reachable.
+    So a large family whose members hang on many hubs keeps one link per member,
+    and a few for the hubs in each slice.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def reduced() -> pa.RecordBatch:
+            nodes, labels = smallest_reachable(*(np.concatenate(x) for x in zip(*waiting)))
+            own = nodes != labels
+            return pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(labels[own])], names=["a", "b"])
+
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            waiting.append((batch.column(node).to_numpy(), batch.column(hub).to_numpy()))
+            if sum(len(x) for x, _ in waiting) >= MOST_LINKS:
+                yield reduced()
+                waiting = []
+        if waiting:
+            yield reduced()
+
+    return links.repartition(tasks_for(links), node).mapInArrow(run, "a long, b long").distinct()
+
+
 def components(links: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over the undirected ``links`` (a, b).
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, licenses, manifest, mixing, near_dedup, pii, quality, repetition, token_store, url_rules, warc
+from . import decontaminate, langid, licenses, manifest, mixing, near_dedup, ngram_join, pii, quality, repetition, token_store, url_rules, warc
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -74,6 +74,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.digests(repetition.repetitions(repetition.with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), shingle=4, per_cent=85)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_arc_to_warc, op2_mixing, op3_token_store, op4_near_dedup, op5_license_scan, op6_pii_pseudonyms, op7_quality,
-    op8_decontamination, op9_url_rules, op10_language, op11_merkle_manifest, op12_periodic_runs)}
+    op8_decontamination, op9_url_rules, op10_language, op11_merkle_manifest, op12_periodic_runs,
+    op13_ngram_join)}
