@@ -3,39 +3,45 @@
 ratio      round-half-even(100 * 2*LCS / (|a|+|b|)); equal strings 100, an
            empty side 0 (the indel-distance ratio).
 partial    the best ratio of the shorter string against the windows of the
-           longer one that line up with a matching block of the two; a window
-           at the end is cut short where the longer string ends.  Every
-           character may seed a block, however long the text.
+           longer one that line up with a matching block of the two, that is
+           an equal run of their edit script (``editscript``) or its end; a window
+           at the end is cut short where the longer string ends.
 token_set  on ASCII-folded (U+0080..U+00FF dropped), non-word -> space,
            lower-cased strings: token sets, then the best ratio among the
            sorted intersection and intersection + each side's remainder.
 
 LCS uses the bit-parallel recurrence of Hyyroe (2004) on Python ints.  These
-run only on candidate pairs that survived blocking and the top-10 cut.
+run only on candidate pairs that survived blocking and the top-10 cut; a pair
+that comes up again (under another strategy of its query) is scored once per worker.
 """
 
 from __future__ import annotations
 
 import re
-from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.functions.editscript import char_masks, matching_blocks
 
-def lcs_len(a: str, b: str) -> int:
-    if not a or not b:
-        return 0
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
+#: Pairs whose scores a worker remembers.
+REMEMBERED = 1 << 14
+
+
+def _lcs(masks: dict[str, int], n: int, b: str) -> int:
+    """Longest common subsequence of ``b`` and the string of ``n`` characters whose places ``masks`` has."""
+    full = (1 << n) - 1
     v = full
     for ch in b:
         u = v & masks.get(ch, 0)
         v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
+    return n - v.bit_count()
+
+
+def lcs_len(a: str, b: str) -> int:
+    return _lcs(char_masks(a), len(a), b)
 
 
 def _raw_ratio(a: str, b: str) -> float:
@@ -56,13 +62,15 @@ def partial_ratio(a: str, b: str) -> int:
     if not a or not b:
         return 0
     short, long_ = (a, b) if len(a) <= len(b) else (b, a)
-    best = 0.0
-    for at_short, at_long, _ in SequenceMatcher(None, short, long_, autojunk=False).get_matching_blocks():
-        window = long_[max(at_long - at_short, 0):][:len(short)]
-        if window:
-            best = max(best, _raw_ratio(short, window))
-        if best > 0.995:
-            return 100
+    masks, best, seen = char_masks(short), 0.0, set()
+    for at_short, at_long, _ in matching_blocks(short, long_):
+        start = max(at_long - at_short, 0)
+        window = long_[start:start + len(short)]
+        if window and start not in seen:
+            seen.add(start)
+            best = max(best, 2.0 * _lcs(masks, len(short), window) / (len(short) + len(window)))
+            if best > 0.995:
+                return 100
     return round(100 * best)
 
 
@@ -93,9 +101,13 @@ SCORES_TYPE = T.StructType([
 ])
 
 
+@lru_cache(maxsize=REMEMBERED)
+def scores(a: str, b: str) -> tuple[int, int, int]:
+    return ratio(a, b), partial_ratio(a, b), token_set_ratio(a, b)
+
+
 @F.pandas_udf(SCORES_TYPE)
 def fuzzy_scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """M4-M6 for each (a, b) pair, 0-100 each."""
-    rows = [(ratio(x, y), partial_ratio(x, y), token_set_ratio(x, y))
-            for x, y in zip(a.fillna(""), b.fillna(""))]
+    rows = [scores(x, y) for x, y in zip(a.fillna(""), b.fillna(""))]
     return pd.DataFrame(rows, columns=["ratio", "partial", "token_set"])
