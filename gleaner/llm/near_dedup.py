@@ -14,7 +14,8 @@ from other buckets in a fixed order, so that banding also works for short texts.
 3. *Hubs*: each bucket elects the member that shares most buckets, and every
    member is paired with its hub, not with every other member.  Pairs are
    pruned by the collision-corrected estimate of the registers and confirmed
-   on the full sets.
+   on the full sets.  A member may hang on a hub in each of its buckets; one link to
+   the smallest id that its task can reach over them takes their place.
 4. *Rest*: buckets whose members still lie in different components are compared
    by registers, in bounded blocks; members that may still link across
    components form clusters, which are compared on the full sets, in blocks
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, byte_values, chunks, components, hash_spans, mix64, seeds, stored, tasks_for, utf8, word_spans
+from .common import WHITE, byte_values, chunks, components, forest, hash_spans, mix64, seeds, stored, tasks_for, utf8, word_spans
 
 BUCKETS, MANTISSA = 256, 10
 #: Standard deviations by which an estimate may fall short before a pair is dropped unread.
@@ -282,11 +283,11 @@ def groups(documents: DataFrame, shingle: int = 3, per_cent: int = 85) -> DataFr
     hubs = (inside.join(weight, "node").groupBy("band")
             .agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub")))
     pairs = (inside.join(hubs, "band").filter("node <> hub")
-             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+             .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
     near = stored(_rough(pairs, heads, per_cent), "neardup-near")
     ends = stored(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "neardup-ends")
     sets = stored(_set_rows(documents, ends, shingle), "neardup-sets")
-    links = stored(_exact(near, sets, per_cent), "neardup-links")
+    links = stored(forest(_exact(near, sets, per_cent), "a", "b"), "neardup-links")
     joined = components(links, "neardup-first")
 
     state = inside.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
