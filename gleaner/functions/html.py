@@ -37,7 +37,10 @@ STYLE_RE = "(?is)<style\\b[^>]*>.*?</style\\s*>"
 TEMPLATE_RE = "(?is)<template\\b[^>]*>.*?</template\\s*>"
 RUBY_RE = "(?is)<(?:rt|rp)\\b[^>]*>.*?</(?:rt|rp)\\s*>"
 DECL_RE = "(?s)<[!?][^>]*>"
-TAG_RE = "</?[A-Za-z][^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>"
+# A quote opens a value only right after its '='; elsewhere it is part of a name.
+_ATTRIBUTE = "(?<=[\\s/'\"])[^\\s/>][^\\s/=>]*+(?:\\s*+=\\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\\s>\"'][^\\s>]*+|(?=[\\s>])))?+[\\s/]*+"
+_ATTRIBUTES = "[\\s/]*+(?:" + _ATTRIBUTE + ")*+>"
+TAG_RE = "</?[A-Za-z][^\\s/>]*+" + _ATTRIBUTES
 
 # Entities decoded natively, in this order; '&amp;' goes last so
 # that '&amp;lt;' decodes once, to '&lt;'.
@@ -107,7 +110,7 @@ def html_to_text(html: Column) -> Column:
 
 # Link extraction works on markup with comments and raw-text blocks removed,
 # so commented-out or scripted anchors are not links.
-A_TAG_RE = "(?i)<a\\b[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>"
+A_TAG_RE = "(?i)<a(?=[\\s/>])" + _ATTRIBUTES
 _HREF_DQ = "(?i)\\shref\\s*=\\s*\"([^\"]*)\""
 _HREF_SQ = "(?i)\\shref\\s*=\\s*'([^']*)'"
 _HREF_BARE = "(?i)\\shref\\s*=\\s*([^\\s\"'>]+)"

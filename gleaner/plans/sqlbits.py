@@ -1,8 +1,8 @@
 """DuckDB SQL fragments for the oracle queries.
 
-They restate the Spark column functions in DuckDB SQL with the same regex
-constants (RE2 and java.util.regex agree on every pattern used here), so an
-oracle and its plan can only differ by what they compute, not by spelling.
+They restate the Spark column functions in DuckDB SQL.  Markup patterns are
+spelled here on their own, for RE2; the other regex constants are shared (RE2 and
+java.util.regex agree on each of them).
 """
 
 from __future__ import annotations
@@ -21,12 +21,21 @@ def rr(expr: str, pattern: str, repl: str = " ") -> str:
     return f"regexp_replace({expr}, {lit(pattern)}, {lit(repl)}, 'g')"
 
 
+def _block(name: str) -> str:
+    return f"<{name}\\b[^>]*>.*?</{name}\\s*>"
+
+
+_INERT = ["<!--.*?-->", *map(_block, ("script", "style", "template"))]
+_IN_TAG = "(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+_HREF = "\\shref\\s*=\\s*"
+
+
 def drop_markup(expr: str) -> str:
-    return rr(expr, H.MARKUP_RE)
+    return rr(expr, "(?is)" + "|".join([*_INERT, _block("rt"), _block("rp"), "<[!?][^>]*>", "</?[a-z]" + _IN_TAG]))
 
 
 def inert_free(expr: str) -> str:
-    return rr(expr, H.INERT_RE)
+    return rr(expr, "(?is)" + "|".join(_INERT))
 
 
 def decode_entities(expr: str) -> str:
@@ -53,14 +62,13 @@ def n_words(expr: str) -> str:
 
 
 def href_of_tag(tag: str) -> str:
-    v = (f"coalesce(nullif(regexp_extract({tag}, {lit(H._HREF_DQ)}, 1), ''), "
-         f"nullif(regexp_extract({tag}, {lit(H._HREF_SQ)}, 1), ''), "
-         f"regexp_extract({tag}, {lit(H._HREF_BARE)}, 1))")
-    return f"replace({v}, '&amp;', '&')"
+    quoted = [f"nullif(regexp_extract({tag}, {lit(f'(?i){_HREF}{q}([^{q}]*){q}')}, 1), '')" for q in "\"'"]
+    bare = f"regexp_extract({tag}, {lit('(?i)' + _HREF)} || '([^' || chr(34) || chr(39) || '[:space:]>]+)', 1)"
+    return f"replace(coalesce({', '.join([*quoted, bare])}), '&amp;', '&')"
 
 
 def link_hrefs(html: str) -> str:
-    tags = f"regexp_extract_all({inert_free(html)}, {lit(H.A_TAG_RE)}, 0)"
+    tags = f"regexp_extract_all({inert_free(html)}, {lit("(?i)<a" + chr(92) + "b" + _IN_TAG)}, 0)"
     return (f"list_filter(list_transform({tags}, lambda t: {href_of_tag('t')}), "
             f"lambda h: h <> '')")
 
