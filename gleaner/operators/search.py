@@ -15,28 +15,43 @@ normalize(x), a catalog entry matches a strategy s when
 Results are ordered by Jaccard desc, title length, project id; the first 10
 are returned, relevance = max(1 - 0.1 * position, 0.1).
 
-Candidates come from exact prefix filtering (Bayardo et al. 2007, All-Pairs;
-Xiao et al. 2008, PPJoin): with words in one global order (document
-frequency, then the word itself), two sets with Jaccard >= 1/2 share a word
-within the first |x| - ceil(|x|/2) + 1 words of *each* set, their sizes are
-within a factor 2, and (positional filter) the words after their first
-shared one can still add up to the needed overlap.  Both sides index only those prefixes, so common
-words rarely join at all; there is no cap on posting lists, and the
-candidate set is exactly the matching set.  Skewed join keys are split by
-AQE's skew join; the top-10 per strategy is a row_number filter that Spark
-plans as a partial window-group limit before the shuffle.
+No list of a frequent key is joined pair by pair.  Strategies are evaluated once
+per distinct word set or phrase, and entries once per distinct normalized title (a
+*title*; the page needs at most its first 10 entries), so every join below is between
+distinct texts.  Every list that a strategy reads is ranked, or cut to its 10 best in
+the task that makes it, before anything is shuffled:
+
+* Word sets: exact prefix filtering (Bayardo et al. 2007, All-Pairs; Xiao et al.
+  2008, PPJoin): with words in one order, two sets with Jaccard >= 1/2 share a word
+  within the first |x| - ceil(|x|/2) + 1 words of *each*; their sizes are within a
+  factor 2, and the words after their first shared one still add up.  A pair
+  is kept under its first shared word only, where it is verified.
+* Acronyms: of an acronym's entries the page can only need its 10 best by length
+  and id, and of those that also hold the strategy's one word the 10 best by word
+  count, length and id.  Both lists are ranked in the index.
+* Phrases: a title that holds a phrase ranks by its word count, length and id, whatever
+  the phrase.  So one and two words read a ranked list; longer phrases start from
+  their rarest word pair's postings and keep the titles that continue with the
+  phrase at that place.
+
+The index (``build_index``) is a set of tables.  ``save_index`` keeps them bucketed and
+sorted by their join keys, so that later searches shuffle no catalog table;
+``extend_index`` adds entries.  The order of words is that of the first build:
+any order is exact, as long as both sides use the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass, replace
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleaner.fixed_values import PAGE_SIZE  # results per search request
 from gleaner.functions import text as TX
 from gleaner.session import materialize
 
 ACRONYM_TOKEN_PREFIX = "\u0001"
-from gleaner.fixed_values import PAGE_SIZE  # noqa: E402 (results per search request)
 
 
 def strategies(queries: DataFrame) -> DataFrame:
@@ -73,92 +88,200 @@ def strategy_terms(strats: DataFrame) -> DataFrame:
                          F.when(~phrase & bare.rlike("^[0-9]+$"), bare).alias("id_query"))
 
 
-def catalog_index(catalog: DataFrame) -> DataFrame:
+# ---------------------------------------------------------------- index
+
+@dataclass(frozen=True)
+class Index:
+    """The catalog's tables.
+
+    entries    project_id, title, description, title_norm, title_len, words, acr
+    titles     cid, seq (words in order), words, n, title_len, best: a distinct normalized title and its
+               first entries (best[0] is cid's); an extended index may hold a title several times
+    words      token, df: the frozen order of words
+    prefixes   token, r, cid, sorted_words, n, title_len: first words of each title in that order
+    grams      gram, place, cid, n: word pairs with their places
+    gram_sizes gram, many
+    ranked     gram, cid, n, title_len: the first titles of each word and word pair
+    acronyms   acr, word, project_id, title_len, entry_words: the first entries of each acronym
+    """
+
+    entries: DataFrame
+    titles: DataFrame
+    words: DataFrame
+    prefixes: DataFrame
+    grams: DataFrame
+    gram_sizes: DataFrame
+    ranked: DataFrame
+    acronyms: DataFrame
+
+
+#: Join key of each table, by which a saved index is bucketed and sorted.
+INDEX_KEYS = {"entries": "project_id", "titles": "cid", "words": "token", "prefixes": "token", "grams": "gram",
+              "gram_sizes": "gram", "ranked": "gram", "acronyms": "acr"}
+
+
+def _first(rows: DataFrame, keys: list[str], order: list, most: int = PAGE_SIZE) -> DataFrame:
+    """The first rows of each key; planned as a limit inside the tasks, then one after the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_place", F.row_number().over(w)).filter(F.col("_place") <= most).drop("_place")
+
+
+def catalog_entries(catalog: DataFrame) -> DataFrame:
     """Catalog with normalized title, its words and acronym token (once)."""
     tn = TX.normalize(F.col("title"))
-    return catalog.select("project_id", "title", "description", tn.alias("title_norm"),
-                          _words(tn).alias("words"),
-                          _acronym_token(TX.extract_acronym(F.col("title"))).alias("acr"))
+    return catalog.select("project_id", "title", "description", tn.alias("title_norm"), F.length("title").alias("title_len"),
+                          _words(tn).alias("words"), _acronym_token(TX.extract_acronym(F.col("title"))).alias("acr"))
+
+
+def _titles(entries: DataFrame) -> DataFrame:
+    first = _first(entries.filter(F.size("words") > 0).select("title_norm", "title_len", "project_id"), ["title_norm"], ["title_len", "project_id"])
+    best = first.groupBy("title_norm").agg(F.sort_array(F.collect_list(F.struct("title_len", "project_id"))).alias("best"))  # a page at most
+    seq = F.split("title_norm", " ")
+    return best.select(F.col("best")[0]["project_id"].alias("cid"), seq.alias("seq"), _words(F.col("title_norm")).alias("words"),
+                       F.col("best")[0]["title_len"].alias("title_len"), "best").withColumn("n", F.size("words"))
+
+
+def _ordered(sets: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    """(key, sorted_words): each set in the order of (document frequency, word), unknown words first."""
+    w = sets.select(key, F.explode("words").alias("token")).join(words, "token", "left")
+    pair = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token")
+    return w.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(pair)), lambda x: x["token"]).alias("sorted_words"))
 
 
-def _prefix(sets: DataFrame, keys: list[str], dfreq: DataFrame) -> DataFrame:
-    """The first |x| - ceil(|x|/2) + 1 words of each set, rarest first."""
-    w = sets.select(*keys, F.size("words").alias("n"), F.explode("words").alias("token"))
-    w = w.join(dfreq, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    r = F.row_number().over(Window.partitionBy(*keys).orderBy("df", "token"))
-    keep = F.col("n") - F.ceil(F.col("n") / 2) + 1
-    return w.withColumn("r", r).filter(F.col("r") <= keep).select(*keys, "n", "token", "r")
+def _prefix(sets: DataFrame) -> DataFrame:
+    """The first n - ceil(n/2) + 1 words of each ordered set, with their rank from 1."""
+    keep = (F.col("n") - F.ceil(F.col("n") / 2) + 1).cast("int")
+    return sets.select("*", F.posexplode(F.slice("sorted_words", F.lit(1), keep)).alias("r", "token")).withColumn("r", F.col("r") + 1)
 
 
-def search(queries: DataFrame, catalog: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def _postings(entries: DataFrame, titles: DataFrame, words: DataFrame) -> dict[str, DataFrame]:
+    """The tables that rest on entries and titles, given the order of words."""
+    prefixes = _prefix(titles.select("cid", "n", "title_len").join(_ordered(titles, "cid", words), "cid"))
+    at = F.sequence(F.lit(0), F.size("seq") - 2)
+    pairs = F.when(F.size("seq") > 1, F.transform(at, lambda i: F.concat_ws(" ", F.get("seq", i), F.get("seq", i + 1))))
+    grams = titles.select("cid", "n", F.posexplode(pairs).alias("place", "gram"))
+    short = titles.select("cid", "n", "title_len", F.explode(F.array_distinct(F.concat("words", F.coalesce(pairs, F.array().cast("array<string>"))))).alias("gram"))
+    known = entries.filter(F.col("acr").isNotNull())
+    own = F.filter("words", lambda w: F.concat(F.lit(ACRONYM_TOKEN_PREFIX), F.upper(w)) == F.col("acr"))
+    lists = known.select("acr", F.explode(F.concat(F.array(F.lit(None).cast("string")), own)).alias("word"), "project_id", "title_len",
+                         F.col("words").alias("entry_words"))
+    by_size = F.when(F.col("word").isNotNull(), F.size("entry_words"))
+    return {"prefixes": prefixes, "grams": grams, "gram_sizes": grams.groupBy("gram").agg(F.count("*").alias("many")),
+            "ranked": _first(short, ["gram"], ["n", "title_len", "cid"]),
+            "acronyms": _first(lists, ["acr", "word"], [by_size, "title_len", "project_id"])}
+
+
+def build_index(catalog: DataFrame) -> Index:
+    entries = materialize(catalog_entries(catalog))
+    titles = materialize(_titles(entries))
+    words = materialize(titles.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("df")))
+    return Index(entries, titles, words, **_postings(entries, titles, words))
+
+
+def _table(name: str, part: str) -> str:
+    return f"{name}_{part}"
+
+
+def _write(index: Index, name: str, buckets: int, mode: str, parts: list[str]) -> None:
+    for part in parts:
+        key = INDEX_KEYS[part]
+        getattr(index, part).write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(_table(name, part))
+
+
+def save_index(index: Index, name: str, buckets: int = 16) -> Index:
+    """Keep the index as tables ``name_*`` of the session catalog, bucketed and sorted by their join keys."""
+    _write(index, name, buckets, "overwrite", list(INDEX_KEYS))
+    return open_index(index.entries.sparkSession, name)
+
+
+def open_index(spark: SparkSession, name: str) -> Index:
+    return Index(**{part: spark.table(_table(name, part)) for part in INDEX_KEYS})
+
+
+def extend_index(spark: SparkSession, name: str, catalog: DataFrame, buckets: int = 16) -> Index:
+    """Add entries with new project ids to a saved index: only their own rows are computed and appended.
+
+    The ranked lists may then hold more than a page for a key, and a title may stand there twice.
+    """
+    old = open_index(spark, name)
+    entries = materialize(catalog_entries(catalog))
+    titles = materialize(_titles(entries))
+    new = Index(entries, titles, old.words, **_postings(entries, titles, old.words))
+    new = replace(new, **{part: materialize(getattr(new, part)) for part in ("prefixes", "grams", "gram_sizes", "ranked", "acronyms")})
+    _write(new, name, buckets, "append", [part for part in INDEX_KEYS if part != "words"])
+    return open_index(spark, name)
+
+
+# ---------------------------------------------------------------- search
+
+def _set_pages(sets: DataFrame, index: Index) -> DataFrame:
+    """(key, cid, overlap, jaccard, title_len) of the best titles for each distinct word set (key, words, n)."""
+    s = (_prefix(sets.select("key", "n").join(_ordered(sets, "key", index.words), "key"))
+         .select("key", "token", F.col("sorted_words").alias("sw"), F.col("n").alias("sn"), F.col("r").alias("sr")))
+    # Sharing a word at ranks (sr, r) leaves at most 1 + min(sn - sr, n - r) shared words; a match needs ceil((sn + n) / 3).
+    n, sn = F.col("n"), F.col("sn")
+    fits = (2 * n >= sn) & (n <= 2 * sn) & (3 * (1 + F.least(sn - F.col("sr"), n - F.col("r"))) >= sn + n)
+    met = s.join(index.prefixes, "token").filter(fits).select("key", "cid", "token", "title_len", "n", "sn", F.array_intersect("sw", "sorted_words").alias("both"))
+    overlap = F.size("both")
+    good = met.filter((F.col("both")[0] == F.col("token")) & (3 * overlap >= n + sn)).select(
+        "key", "cid", overlap.alias("overlap"), (overlap / (n + sn - overlap)).alias("jaccard"), "title_len")
+    return _first(good, ["key"], [F.col("jaccard").desc(), "title_len", "cid"])
+
+
+def _phrase_pages(phrases: DataFrame, index: Index) -> DataFrame:
+    """The same for each distinct phrase (key, seq, n: its distinct words)."""
+    rated = lambda rows: rows.select("key", "cid", F.col("pn").alias("overlap"), (F.col("pn") / F.col("n")).alias("jaccard"), "title_len")
+    p = phrases.withColumnRenamed("n", "pn")
+    short = p.filter(F.size("seq") <= 2).select("key", "pn", F.concat_ws(" ", "seq").alias("gram")).join(index.ranked, "gram")
+    long_ = p.filter(F.size("seq") > 2)
+    pairs = long_.select("key", "pn", F.col("seq").alias("asked"), F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.size("seq") - 2), lambda i: F.concat_ws(" ", F.get("seq", i), F.get("seq", i + 1)))).alias("i", "gram"))
+    rarest = (pairs.join(index.gram_sizes, "gram").groupBy("key", "pn", "asked", "gram", "i").agg(F.sum("many").alias("many"))
+              .groupBy("key", "pn", "asked").agg(F.min(F.struct("many", "gram", "i")).alias("m")).select("key", "pn", "asked", "m.gram", "m.i"))
+    at = (rarest.join(index.grams.select("gram", "place", "cid"), "gram").filter(F.col("place") >= F.col("i"))
+          .select("key", "pn", "asked", "cid", (F.col("place") - F.col("i")).alias("start")))
+    hits = (at.join(index.titles.select("cid", "seq", "n", "title_len"), "cid")
+            .filter(F.slice("seq", F.col("start") + 1, F.size("asked")) == F.col("asked"))
+            .select("key", "cid", "pn", "n", "title_len").distinct())
+    return _first(rated(short).unionByName(rated(hits)), ["key"], [F.col("jaccard").desc(), "title_len", "cid"])
+
+
+def search(queries: DataFrame, catalog: DataFrame | None, page_size: int = PAGE_SIZE, index: Index | None = None) -> DataFrame:
     """J1 + A6 + A7: the result page of every strategy of every query.
 
-    Returns query_no, query, strategy_no, strategy, pos, relevance_score,
-    project_id, title, description, title_norm, overlap.
+    Reads ``index``, or one that it builds over ``catalog``; pages of at most
+    ``PAGE_SIZE`` results.  Returns query_no, query, strategy_no, strategy, pos,
+    relevance_score, project_id, title, description, title_norm, overlap.
     """
-    skey = ["query_no", "strategy_no"]
-    # Shared by every branch below: computed once, into the checkpoint folder.
-    terms = materialize(strategy_terms(strategies(queries)))
-    index = materialize(catalog_index(catalog).withColumn("title_len", F.length("title"))
-                        .drop("title", "description"))
-    postings = index.select("project_id", F.explode("words").alias("token"))
-    dfreq = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
-
-    # Word-set Jaccard >= 1/2: both prefixes, then the size filter.
+    if page_size > PAGE_SIZE:
+        raise ValueError(f"the index ranks {PAGE_SIZE} results")
+    index = index or build_index(catalog)
+    asked = materialize(strategies(queries))
+    key = F.when(F.col("is_phrase"), F.concat(F.lit('"'), "phrase_norm")).otherwise(F.array_join(F.array_sort("words"), " "))
+    terms = materialize(strategy_terms(asked.select("strategy").distinct()).withColumn("key", key))
+
+    texts = terms.filter(F.size("words") > 0).select("key", "is_phrase", "phrase_norm", "words").dropDuplicates(["key"])
+    sets = texts.filter(~F.col("is_phrase")).select("key", "words", F.size("words").alias("n"))
+    phrases = texts.filter("is_phrase").select("key", F.split("phrase_norm", " ").alias("seq"), F.size("words").alias("n"))
+    titles = _set_pages(sets, index).unionByName(_phrase_pages(phrases, index))
+    order = [F.col("jaccard").desc(), "title_len", "project_id"]
+    found = _first(titles.join(index.titles.select("cid", "best"), "cid").select("key", "overlap", "jaccard", F.inline("best")), ["key"], order)
+
+    # What acronyms and bare ids add to a strategy's page.
     plain = terms.filter(~F.col("is_phrase"))
-    sp = _prefix(plain, skey, dfreq).withColumnRenamed("n", "ns").withColumnRenamed("r", "rs")
-    ep = _prefix(index, ["project_id"], dfreq).withColumnRenamed("n", "ne").withColumnRenamed("r", "re")
-    ns, ne = F.col("ns"), F.col("ne")
-    size_ok = (2 * ne >= ns) & (ne <= 2 * ns)
-    # Positional filter: sharing a word at ranks (rs, re) leaves at most
-    # 1 + min(ns - rs, ne - re) shared words; a match needs ceil((ns+ne)/3).
-    # A matching pair keeps the row of its first shared word, so it is exact.
-    pos_ok = 3 * (1 + F.least(ns - F.col("rs"), ne - F.col("re"))) >= ns + ne
-    jac = (sp.join(ep, "token").filter(size_ok & pos_ok)
-           .select(*skey, "project_id").distinct())
-
-    # Acronym strategies: equal acronym tokens.
-    acr = (plain.filter(F.col("acr").isNotNull()).select(*skey, "acr")
-           .join(index.filter(F.col("acr").isNotNull()).select("project_id", "acr"), "acr")
-           .select(*skey, "project_id"))
-
-    # Bare ids: the entry with that id (equi-join on the key).
-    ids = (plain.filter(F.col("id_query").isNotNull()).select(*skey, F.col("id_query").alias("project_id"))
-           .join(index.select("project_id"), "project_id").select(*skey, "project_id"))
-
-    # Phrases: the phrase's rarest word, then containment.
-    ph = terms.filter(F.col("is_phrase") & (F.size("words") > 0))
-    ph_tok = (ph.select(*skey, F.explode("words").alias("token")).join(dfreq, "token", "left")
-              .withColumn("df", F.coalesce("df", F.lit(0)))
-              .withColumn("r", F.row_number().over(Window.partitionBy(*skey).orderBy("df", "token")))
-              .filter(F.col("r") == 1).select(*skey, "token"))
-    phr = ph_tok.join(postings, "token").select(*skey, "project_id")
-
-    pairs = jac.unionByName(acr).unionByName(ids).unionByName(phr).distinct()
-
-    # Verify and rank on slim columns; wide text joins only the top 10.
-    slim_terms = terms.select(*skey, "query", "strategy", "is_phrase", "phrase_norm", "words", "acr", "id_query")
-    slim_index = index.select("project_id", F.col("words").alias("entry_words"),
-                              F.col("acr").alias("entry_acr"), "title_norm", "title_len")
-    cand = pairs.join(slim_terms, skey).join(slim_index, "project_id")
+    spelled = plain.filter(F.col("acr").isNotNull()).select("strategy", "words", "acr").join(index.acronyms, "acr").filter(
+        F.col("word").isNull() | F.array_contains("words", F.col("word"))).select("strategy", "words", "project_id", "title_len", "entry_words")
+    numbered = plain.filter(F.col("id_query").isNotNull()).select("strategy", "words", F.col("id_query").alias("project_id")).join(
+        index.entries.select("project_id", "title_len", F.col("words").alias("entry_words")), "project_id").select(*spelled.columns)
     o = F.size(F.array_intersect("words", "entry_words"))
-    nt, ne = F.size("words"), F.size("entry_words")
-    jaccard_ok = 3 * o >= nt + ne
-    acr_ok = F.col("acr").isNotNull() & (F.col("acr") == F.col("entry_acr"))
-    phrase_ok = F.concat(F.lit(" "), F.col("title_norm"), F.lit(" ")).contains(
-        F.concat(F.lit(" "), F.col("phrase_norm"), F.lit(" ")))
-    id_ok = F.col("id_query").isNotNull() & (F.col("id_query") == F.col("project_id"))
-    ok = F.when(F.col("is_phrase"), phrase_ok).otherwise((jaccard_ok & (nt > 0)) | acr_ok | id_ok)
-    cand = (cand.withColumn("overlap", o)
-            .withColumn("jaccard", F.when(nt + ne - o > 0, o / (nt + ne - o)).otherwise(F.lit(0.0)))
-            .filter(ok).select(*skey, "query", "strategy", "project_id", "title_norm", "overlap", "jaccard",
-                               "title_len"))
-
-    order = Window.partitionBy(*skey).orderBy(F.col("jaccard").desc(), "title_len", "project_id")
-    top = cand.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= page_size)
-    pos = F.col("rn") - 1
-    top = top.select(*skey, "query", "strategy", "project_id", "title_norm", "overlap", pos.alias("pos"))
-    out = top.join(catalog.select("project_id", "title", "description"), "project_id")
+    either = F.size("words") + F.size("entry_words") - o
+    more = spelled.unionByName(numbered).select("strategy", "project_id", "title_len", o.alias("overlap"),
+                                                F.when(either > 0, o / either).otherwise(F.lit(0.0)).alias("jaccard"))
+    listed = (terms.select("strategy", "key").join(found, "key").drop("key").unionByName(more)
+              .dropDuplicates(["strategy", "project_id"]))
+    place = F.row_number().over(Window.partitionBy("strategy").orderBy(*order))
+    page = listed.withColumn("rn", place).filter(F.col("rn") <= page_size).select("strategy", "project_id", "overlap", (F.col("rn") - 1).alias("pos"))
+    out = asked.join(page, "strategy").join(index.entries.select("project_id", "title", "description", "title_norm"), "project_id")
     return out.select(
         "query_no", "query", "strategy_no", "strategy", "pos",
         F.greatest(F.round((F.lit(10) - F.col("pos")) / F.lit(10.0), 1), F.lit(0.1)).alias("relevance_score"),
