@@ -10,6 +10,7 @@ every byte of a non-ASCII character is 0x80 or more.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
+_RECORDS: list[list[str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, noted by every ``recorded`` block around it."""
+    path = scratch_path(spark, name)
+    for record in _RECORDS:
+        record.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Notes the scratch paths made inside, for ``discard`` once nothing reads them any more."""
+    record: list[str] = []
+    _RECORDS.append(record)
+    try:
+        yield record
+    finally:
+        _RECORDS.remove(record)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch folders, wherever the shared folder lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        at = hadoop(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it from there.
 
@@ -40,7 +71,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     later readers prune columns.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -39,6 +39,8 @@ SHRINK = 20
 LEAST_SCORE = -0.15
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+#: Places of a window that are compared first.
+THREE = (0, 3, WINDOW - 1)
 LEAST_WORDS, MOST_REPEATED_PER_CENT = 20, 30
 
 
@@ -48,8 +50,7 @@ def grams(w: Column) -> Column:
         before = F.get(w, i - 1)
         joint = (F.when(before.isNull(), F.xxhash64(F.lit(3))).when(before == x, F.xxhash64(F.lit(4)))
                  .otherwise(F.xxhash64(F.substring(before, -1, 1), F.substring(x, 1, 1), F.lit(2))))
-        return F.transform(F.array(F.xxhash64(x), F.xxhash64(F.substring(x, -2, 2), F.lit(1)), joint),
-                           lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
+        return F.array(*(F.pmod(h, F.lit(BUCKETS)).cast("int") for h in (F.xxhash64(x), F.xxhash64(F.substring(x, -2, 2), F.lit(1)), joint)))
     return F.flatten(F.transform(w, of))
 
 
@@ -89,11 +90,13 @@ def measures(documents: DataFrame, *keep: str) -> DataFrame:
                           (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
                           F.transform("w", lambda x: F.xxhash64(x)).alias("wh"))
     count = F.size("wh") - F.lit(WINDOW - 1)
-    hashes = F.when(count < 2, F.array().cast("array<bigint>")).otherwise(F.transform(
-        F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.xxhash64(*(F.get(F.col("wh"), i + k) for k in range(WINDOW)))))
-    third = second.select("*", hashes.alias("h")).drop("wh")
-    # most texts repeat no window: nothing is sorted for them
-    repeats = F.when(F.size(F.array_distinct("h")) == F.size("h"), F.array().cast("array<struct<h:bigint,at:int>>")).otherwise(
+    hashes = lambda places: F.when(count < 2, F.array().cast("array<bigint>")).otherwise(F.transform(
+        F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.xxhash64(*(F.get(F.col("wh"), i + k) for k in places))))
+    alone = lambda c: F.size(F.array_distinct(c)) == F.size(c)
+    # a repeated window repeats its first, fourth and last word: most texts repeat no such three, and need no more
+    third = second.select("*", hashes(THREE).alias("h3"))
+    third = third.select("*", F.when(alone("h3"), F.array().cast("array<bigint>")).otherwise(hashes(range(WINDOW))).alias("h")).drop("wh", "h3")
+    repeats = F.when(alone("h"), F.array().cast("array<struct<h:bigint,at:int>>")).otherwise(
         F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("at")))))
     fourth = third.select("*", repeats.alias("r")).drop("h")
     fifth = fourth.select("*", repeated_words(F.col("r")).alias("p")).drop("r")
@@ -102,16 +105,29 @@ def measures(documents: DataFrame, *keep: str) -> DataFrame:
     return fifth.select("doc_id", *keep, "w", "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"))
 
 
+def _judged(documents: DataFrame, weights: np.ndarray, keep: tuple[str, ...], least_score: float) -> DataFrame:
+    scored = measures(documents, *keep).select("*", grams(F.col("w")).alias("g")).drop("w")
+    table = constant(weights, "float")
+    total = F.aggregate("g", F.lit(0.0), lambda a, b: a + F.get(table, b))
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PER_CENT * F.col("n_words"))
+    return (scored.select("*", (total / (F.size("g") + SHRINK)).alias("llr")).drop("g")
+            .withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= least_score)))
+
+
 def judge(documents: DataFrame, weights: np.ndarray, *keep: str, least_score: float = LEAST_SCORE) -> DataFrame:
     """One row per document: doc_id, ``keep``, the base measures, base_failed, llr, kept.
 
     The result is written once: were it only a plan, a filter on it would be
     pushed down with copies of the expressions that it filters on.
     """
-    scored = measures(documents, *keep).select("*", grams(F.col("w")).alias("g")).drop("w")
-    table = constant(weights, "float")
-    total = F.aggregate("g", F.lit(0.0), lambda a, b: a + F.get(table, b))
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PER_CENT * F.col("n_words"))
-    return stored(scored.select("*", (total / (F.size("g") + SHRINK)).alias("llr")).drop("g")
-                  .withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= least_score)),
-                  "quality-verdicts")
+    return stored(_judged(documents, weights, keep, least_score), "quality-verdicts")
+
+
+def kept_rows(documents: DataFrame, weights: np.ndarray, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``documents`` that are kept, with all their columns; nothing is written.
+
+    Rejected rows become null inside a generator, whose result no filter is pushed through.
+    """
+    judged = _judged(documents.select(F.struct("*").alias("row"), "doc_id", "text"), weights, ("row",), least_score)
+    return (judged.select(F.explode_outer(F.array(F.when(F.col("kept"), F.col("row")))).alias("row"))
+            .filter("row is not null").select("row.*"))

@@ -41,8 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .common import chunks, mix64, stored, tasks_for
+from .common import chunks, mix64, scratch, stored, tasks_for
 from .files import make_folder, opened, written
 
 END_ID = 2
@@ -344,7 +343,7 @@ def round_trip(documents: DataFrame, tokenizer_path: str, folder: str | None = N
 
     One row per document: doc_id, start (ids before it), n_tokens, ids_crc32.
     """
-    folder = folder or scratch_path(documents.sparkSession, "tokens")
+    folder = folder or scratch(documents.sparkSession, "tokens")
     rows, buckets = store(documents, folder, tokenizer_path)
     width = rows.agg(F.max("width")).first()[0] or 2
     keys = documents.select(_key(F.col("doc_id")).alias("key")).distinct()

@@ -224,3 +224,31 @@ def test_entry_lists_these_queries():
     names = set(entry.queries())
     assert {"pipeline"} <= names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(entry.oracle_sql()) <= names
+
+
+def test_pipeline_takes_awkward_rows(spark, sf_small, tmp_path):
+    """Null ids, null and long texts, repeated rows and columns whose names the stages use inside."""
+    import corpus_pipeline
+    from gleaner.llm.common import stored, table
+
+    given = table(spark, sf_small, "documents")
+    prose = [r.text for r in given.filter("length(text) between 800 and 3000").orderBy("doc_id").limit(40).collect()]
+    rows = [(10_000 + i, t) for i, t in enumerate(prose)] + [(None, prose[0]), (None, prose[0]), (10_001, prose[1]), (10_001, prose[1]), (10_002, prose[3])]
+    rows += [(20_000, None), (20_001, ""), (20_002, " \n"), (20_003, "word " * 60_000), (20_004, " ".join(prose) * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("row", "kept", "w", "g", "node", "key", "copies", "rate", "cell", "h3"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    docs = docs.repartition(4)
+    empty = docs.limit(0)
+    ids = []
+    for name, stage in corpus_pipeline.STAGES:
+        out = stored(stage(spark, docs, sf_small), "awkward")
+        none = stored(stage(spark, empty, sf_small), "awkward-none")
+        assert none.count() == 0 and none.columns == out.columns
+        if name != "token ids":
+            assert out.columns == docs.columns and out.filter("copies <> 'clash'").count() == 0
+        docs, empty = out, none
+        ids.append(sorted((r.doc_id for r in docs.select("doc_id").collect()), key=str))
+    assert not {20_000, 20_001, 20_002, 20_003} & set(ids[0])
+    assert ids[1].count(None) == 2 and ids[1].count(10_001) <= 1  # rows without an id have no links
+    assert len(ids[4]) == len(ids[3])
