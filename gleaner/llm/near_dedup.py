@@ -294,8 +294,8 @@ def groups(documents: DataFrame, shingle: int = 3, per_cent: int = 85) -> DataFr
     mixed = (state.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low <> high").select("band"))
     open_ = state.join(mixed, "band", "left_semi").join(heads.drop("bands"), "node")
-    rough = stored(_blocks(open_, "band").groupBy("band", "lo", "hi").applyInPandas(
-        lambda frame: _rough_links(frame, per_cent), "a long, b long").distinct(), "neardup-rough")
+    rough = stored(forest(_blocks(open_, "band").groupBy("band", "lo", "hi").applyInPandas(
+        lambda frame: _rough_links(frame, per_cent), "a long, b long"), "b", "a"), "neardup-rough")
     clusters = components(rough, "neardup-clusters").withColumnRenamed("component", "cluster")
     sized = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster")
     fresh = stored(clusters.select("node").join(sets.select("node"), "node", "left_anti").distinct(), "neardup-fresh")
