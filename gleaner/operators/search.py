@@ -49,6 +49,7 @@ from pyspark.sql import functions as F
 
 from gleaner.fixed_values import PAGE_SIZE  # results per search request
 from gleaner.functions import text as TX
+from gleaner.operators.editjoin import edit_join
 from gleaner.session import materialize
 
 ACRONYM_TOKEN_PREFIX = "\u0001"
@@ -287,3 +288,22 @@ def search(queries: DataFrame, catalog: DataFrame | None, page_size: int = PAGE_
         F.greatest(F.round((F.lit(10) - F.col("pos")) / F.lit(10.0), 1), F.lit(0.1)).alias("relevance_score"),
         "project_id", "title", "description", "title_norm", "overlap",
     )
+
+
+def misspelt(queries: DataFrame, catalog: DataFrame | None, per_cent: int = 85, page_size: int = PAGE_SIZE, index: Index | None = None) -> DataFrame:
+    """The page of titles that each query is within edit similarity ``per_cent`` of, whether or not they share a word.
+
+    Query and title are compared normalized; order: edit distance, title length,
+    project id.  Returns query_no, query, pos, project_id, distance, title.
+    """
+    if page_size > PAGE_SIZE:
+        raise ValueError(f"the index ranks {PAGE_SIZE} results")
+    index = index or build_index(catalog)
+    named = materialize(queries.select("query_no", "query", TX.normalize(F.col("query")).alias("left")))
+    titles = index.titles.select(F.concat_ws(" ", "seq").alias("right"), "best")
+    near = edit_join(named.select(F.col("left").alias("text")), titles.select(F.col("right").alias("text")), per_cent)
+    listed = near.join(titles, "right").select("left", "distance", F.inline("best"))
+    page = _first(listed, ["left"], ["distance", "title_len", "project_id"], page_size)
+    pos = F.row_number().over(Window.partitionBy("left").orderBy("distance", "title_len", "project_id")) - 1
+    return (named.join(page.withColumn("pos", pos), "left").join(index.entries.select("project_id", "title"), "project_id")
+            .select("query_no", "query", "pos", "project_id", "distance", "title"))

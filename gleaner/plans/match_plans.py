@@ -61,6 +61,13 @@ def topk_per_query(spark, sf_dir):
     return S.search(q, c).groupBy("query_no", "strategy_no").agg(F.count(F.lit(1)).alias("n_results"))
 
 
+@plan("misspelt_candidates", oracle=MS.MISSPELT)
+def misspelt_candidates(spark, sf_dir):
+    """J1 with the similarity predicate of M10: titles that a misspelt name is close to, shared words or not."""
+    q = fixtures.misspelt_queries(spark, sf_dir)
+    return S.misspelt(q, fixtures.catalog(spark, sf_dir)).select("query_no", "pos", "project_id", "distance")
+
+
 @plan("match_score_native", oracle=f"""
 SELECT query_no, strategy_no, project_id, milli, milli / 1000.0::DOUBLE AS match_score FROM ({MS.SCORED})""")
 def match_score_native(spark, sf_dir):

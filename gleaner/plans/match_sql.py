@@ -124,3 +124,23 @@ FROM (
          max(milli) OVER (PARTITION BY query_no) AS top_milli
   FROM ({BEST}))
 """
+
+#: Every misspelt name against every title, by their distance alone.
+_NAMES = f"""
+SELECT doc_id AS query_no, {Q.normalize("regexp_replace(title, '([A-Za-z]{2})[a-z]([a-z]{2,})', '" + chr(92) + "1" + chr(92) + "2', 'g')")} AS qn,
+       project_id, title, {Q.normalize("title")} AS tn FROM ({Q.CATALOG})
+"""
+MISSPELT = f"""
+WITH names AS MATERIALIZED ({_NAMES}),
+m AS ({Q.char_map("SELECT * FROM names", "qn", "tn")}),
+q AS (SELECT DISTINCT qn, length(qn) AS a, {Q.mapped("qn")} AS x FROM names, m WHERE qn <> ''),
+t AS (SELECT DISTINCT tn, length(tn) AS b, {Q.mapped("tn")} AS y FROM names, m WHERE tn <> ''),
+near AS MATERIALIZED (
+  SELECT qn, tn, levenshtein(x, y) AS distance FROM q, t
+  WHERE abs(a - b) <= greatest(a, b) * 15 // 100 AND levenshtein(x, y) <= greatest(a, b) * 15 // 100)
+SELECT query_no, pos, project_id, distance::INTEGER AS distance FROM (
+  SELECT n.query_no, c.project_id, near.distance,
+         (row_number() OVER (PARTITION BY n.query_no ORDER BY near.distance, length(c.title), c.project_id) - 1)::INTEGER AS pos
+  FROM names n JOIN near ON near.qn = n.qn JOIN names c ON c.tn = near.tn)
+WHERE pos < 10
+"""

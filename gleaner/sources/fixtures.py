@@ -46,6 +46,12 @@ def project_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("project_id").alias("source_id"))
 
 
+def misspelt_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every catalog title with its longer words misspelt: a word of five or more letters a-z loses its third one."""
+    c = catalog(spark, sf_dir)
+    return c.select(F.col("doc_id").alias("query_no"), F.regexp_replace("title", "([A-Za-z]{2})[a-z]([a-z]{2,})", "$1$2").alias("query"))
+
+
 def _dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation x region: fixed-size dimension tables (25 x 5 rows at every
     scale), so broadcasting them is bounded by construction."""
