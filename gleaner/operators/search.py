@@ -183,15 +183,19 @@ def _table(name: str, part: str) -> str:
     return f"{name}_{part}"
 
 
-def _write(index: Index, name: str, buckets: int, mode: str, parts: list[str]) -> None:
+def _write(index: Index, name: str, buckets: int, mode: str, parts: list[str], folder: str | None) -> None:
     for part in parts:
-        key = INDEX_KEYS[part]
-        getattr(index, part).write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(_table(name, part))
+        key, table = INDEX_KEYS[part], _table(name, part)
+        out = getattr(index, part).write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+        (out.option("path", f"{folder.rstrip('/')}/{table}") if folder else out).saveAsTable(table)
 
 
-def save_index(index: Index, name: str, buckets: int = 16) -> Index:
-    """Keep the index as tables ``name_*`` of the session catalog, bucketed and sorted by their join keys."""
-    _write(index, name, buckets, "overwrite", list(INDEX_KEYS))
+def save_index(index: Index, name: str, buckets: int = 16, folder: str | None = None) -> Index:
+    """Keep the index as tables ``name_*`` of the session catalog, bucketed and sorted by their join keys.
+
+    The files lie in the warehouse, or in a shared ``folder``.
+    """
+    _write(index, name, buckets, "overwrite", list(INDEX_KEYS), folder)
     return open_index(index.entries.sparkSession, name)
 
 
@@ -199,7 +203,7 @@ def open_index(spark: SparkSession, name: str) -> Index:
     return Index(**{part: spark.table(_table(name, part)) for part in INDEX_KEYS})
 
 
-def extend_index(spark: SparkSession, name: str, catalog: DataFrame, buckets: int = 16) -> Index:
+def extend_index(spark: SparkSession, name: str, catalog: DataFrame, buckets: int = 16, folder: str | None = None) -> Index:
     """Add entries with new project ids to a saved index: only their own rows are computed and appended.
 
     The ranked lists may then hold more than a page for a key, and a title may stand there twice.
@@ -209,7 +213,7 @@ def extend_index(spark: SparkSession, name: str, catalog: DataFrame, buckets: in
     titles = materialize(_titles(entries))
     new = Index(entries, titles, old.words, **_postings(entries, titles, old.words))
     new = replace(new, **{part: materialize(getattr(new, part)) for part in ("prefixes", "grams", "gram_sizes", "ranked", "acronyms")})
-    _write(new, name, buckets, "append", [part for part in INDEX_KEYS if part != "words"])
+    _write(new, name, buckets, "append", [part for part in INDEX_KEYS if part != "words"], folder)
     return open_index(spark, name)
 
 
