@@ -44,14 +44,11 @@ THREE = (0, 3, WINDOW - 1)
 LEAST_WORDS, MOST_REPEATED_PER_CENT = 20, 30
 
 
-def grams(w: Column) -> Column:
-    """Bucket of every n-gram of the word array (which must be a column, as it is used repeatedly)."""
-    def of(x: Column, i: Column) -> Column:
-        before = F.get(w, i - 1)
-        joint = (F.when(before.isNull(), F.xxhash64(F.lit(3))).when(before == x, F.xxhash64(F.lit(4)))
-                 .otherwise(F.xxhash64(F.substring(before, -1, 1), F.substring(x, 1, 1), F.lit(2))))
-        return F.array(*(F.pmod(h, F.lit(BUCKETS)).cast("int") for h in (F.xxhash64(x), F.xxhash64(F.substring(x, -2, 2), F.lit(1)), joint)))
-    return F.flatten(F.transform(w, of))
+def buckets(x: Column, before: Column) -> list[Column]:
+    """The buckets of a word's n-grams; ``before`` is the word before it, null for the first."""
+    joint = (F.when(before.isNull(), F.xxhash64(F.lit(3))).when(before == x, F.xxhash64(F.lit(4)))
+             .otherwise(F.xxhash64(F.substring(before, -1, 1), F.substring(x, 1, 1), F.lit(2))))
+    return [F.pmod(h, F.lit(BUCKETS)).cast("int") for h in (F.xxhash64(x), F.xxhash64(F.substring(x, -2, 2), F.lit(1)), joint)]
 
 
 def fit(documents: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> np.ndarray:
@@ -59,11 +56,14 @@ def fit(documents: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROW
     trusted = (labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
                .agg(F.min(F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))).alias("trusted"))
                .filter("trusted"))
-    counted = (documents.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", grams(F.col("w")).alias("g"))
+    neighbours = F.arrays_zip(F.concat(F.array(F.lit(None).cast("string")), F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0)))).alias("p"),
+                              F.col("w").alias("x"))
+    counted = (documents.select("doc_id", words(F.col("text")).alias("w"))
                .join(F.broadcast(bounded_sample(trusted, trusted_rows)), "doc_id", "left")
-               # the outer form: for the inner one the planner pushes a copy of the n-gram expression into a filter
-               .select(F.explode_outer("g").alias("bucket"), F.col("trusted").isNotNull().cast("long").alias("t"))
-               .filter("bucket is not null").groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("trusted")))
+               # the outer form: for the inner one the planner pushes a copy of the word expression into a filter
+               .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.inline_outer(neighbours).alias("p", "x"))
+               .filter("x is not null").select("t", F.explode(F.array(*buckets(F.col("x"), F.col("p")))).alias("bucket"))
+               .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("trusted")))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for bucket, n, t in counted.collect():  # one row per bucket at the most
         raw[bucket], target[bucket] = n, t
@@ -83,19 +83,23 @@ def measures(documents: DataFrame, *keep: str) -> DataFrame:
     """doc_id, the columns in ``keep``, the words ``w`` and the base measures."""
     text = F.coalesce(F.col("text"), F.lit(""))
     gone = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, WHITE, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(WHITE)) != "")
     first = documents.select("doc_id", *keep, words(F.col("text")).alias("w"), lines.alias("lines"),
-                             F.length(F.translate(text, WHITE, "")).cast("long").alias("word_chars"), gone(SYMBOLS).cast("long").alias("n_symbols"))
-    second = first.select("doc_id", *keep, "w", "word_chars", "n_symbols", F.size("w").cast("long").alias("n_words"),
+                             gone(SYMBOLS).cast("long").alias("n_symbols"))
+    second = first.select("doc_id", *keep, "w", F.length(F.array_join("w", "")).cast("long").alias("word_chars"), "n_symbols", F.size("w").cast("long").alias("n_words"),
                           (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
                           F.transform("w", lambda x: F.xxhash64(x)).alias("wh"))
     count = F.size("wh") - F.lit(WINDOW - 1)
-    hashes = lambda places: F.when(count < 2, F.array().cast("array<bigint>")).otherwise(F.transform(
-        F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.xxhash64(*(F.get(F.col("wh"), i + k) for k in places))))
+    later = lambda c, k: F.slice(c, F.lit(1 + k), F.greatest(F.size("wh") - k, F.lit(0)))
+    mixed = lambda a, b: a.bitwiseXOR(F.shiftleft(b, 7)).bitwiseXOR(F.shiftrightunsigned(b, 57))
+    three = F.zip_with(F.zip_with("wh", later("wh", THREE[1]), mixed), later("wh", THREE[2]), mixed)
+    three = F.slice(three, F.lit(1), F.greatest(count, F.lit(0)))  # the others are null
+    hashes = F.when(count < 2, F.array().cast("array<bigint>")).otherwise(F.transform(
+        F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.xxhash64(*(F.get(F.col("wh"), i + k) for k in range(WINDOW)))))
     alone = lambda c: F.size(F.array_distinct(c)) == F.size(c)
     # a repeated window repeats its first, fourth and last word: most texts repeat no such three, and need no more
-    third = second.select("*", hashes(THREE).alias("h3"))
-    third = third.select("*", F.when(alone("h3"), F.array().cast("array<bigint>")).otherwise(hashes(range(WINDOW))).alias("h")).drop("wh", "h3")
+    third = second.select("*", three.alias("h3"))
+    third = third.select("*", F.when(alone("h3"), F.array().cast("array<bigint>")).otherwise(hashes).alias("h")).drop("wh", "h3")
     repeats = F.when(alone("h"), F.array().cast("array<struct<h:bigint,at:int>>")).otherwise(
         F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("at")))))
     fourth = third.select("*", repeats.alias("r")).drop("h")
@@ -106,11 +110,13 @@ def measures(documents: DataFrame, *keep: str) -> DataFrame:
 
 
 def _judged(documents: DataFrame, weights: np.ndarray, keep: tuple[str, ...], least_score: float) -> DataFrame:
-    scored = measures(documents, *keep).select("*", grams(F.col("w")).alias("g")).drop("w")
     table = constant(weights, "float")
-    total = F.aggregate("g", F.lit(0.0), lambda a, b: a + F.get(table, b))
+    begin = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("string").alias("before"))
+    total = F.aggregate("w", begin, lambda a, x: F.struct(
+        sum((F.get(table, b) for b in buckets(x, a["before"])), a["sum"]).alias("sum"), x.alias("before")), lambda a: a["sum"])
+    scored = measures(documents, *keep).select("*", total.alias("total"), (F.lit(3) * F.size("w")).alias("grams")).drop("w")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PER_CENT * F.col("n_words"))
-    return (scored.select("*", (total / (F.size("g") + SHRINK)).alias("llr")).drop("g")
+    return (scored.withColumn("llr", F.col("total") / (F.col("grams") + SHRINK)).drop("total", "grams")
             .withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= least_score)))
 
 
