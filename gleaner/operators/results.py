@@ -9,7 +9,7 @@ Everything after that is column expressions.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,6 @@ from gleaner.fixed_values import (
 )
 from gleaner.functions import dom
 from gleaner.functions import urls as U
-from gleaner.functions.html import collapse_ws, decode_entities, drop_markup
 
 # The result-container selectors (names fixed in gleaner.fixed_values), in
 # cascade order, each with its test of an element.
@@ -80,10 +79,6 @@ def page_results(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["selector", "elements", "links"])
 
 
-def element_text(fragment: Column) -> Column:
-    return collapse_ws(decode_entities(drop_markup(fragment)))
-
-
 def parse_results(pages: DataFrame, max_results: int = MAX_RESULTS) -> DataFrame:
     """H12 + A6/A7 + H8-H10: one row per kept result among the first ``max_results`` of the main branch."""
     p = pages.select("page_id", "url", page_results("html").alias("r"))
@@ -113,38 +108,41 @@ def fallback_results(pages: DataFrame, max_results: int = MAX_RESULTS) -> DataFr
             .select("page_id", (w - 1).alias("pos"), "id", "url", "title", F.lit(FALLBACK_RELEVANCE).alias("relevance_score")))
 
 
-ANCHOR_RE = "(?s)<a\\b([^>]*)>(.*?)</a\\s*>"
-_HREF_IN_ATTRS = "\\bhref\\s*=\\s*\"([^\"]*)\""
-DOWNLOAD_ELEMENT_RE = "<([A-Za-z][A-Za-z0-9]*)\\b[^>]*>([^<]*[Dd]ownload[^<]*)"
-DOWNLOAD_SECTION_RE = "(?s)<([A-Za-z][A-Za-z0-9]*)\\b[^>]*>\\s*<h2\\b[^>]*>[^<]*Download[^<]*</h2>(.*?)</\\1\\s*>"
+def _own_text(e: dom.Element) -> str:
+    """The first text directly inside the element, as XPath's text() gives it to contains()."""
+    return next((p for p in e.parts if isinstance(p, str)), "")
+
+
+def _links(found: list[dom.Element]) -> list[dict[str, str | None]]:
+    return [{"tag": "a", "href": a.attrs.get("href"), "text": a.shown()} for a in found]
+
+
+_PROBE = T.ArrayType(T.StructType().add("tag", T.StringType()).add("href", T.StringType()).add("text", T.StringType()))
+_PROBES = ("xml_link", "download_element", "section_link")
+
+
+@F.pandas_udf(T.StructType([T.StructField(kind, _PROBE) for kind in _PROBES]))
+def page_downloads(html: pd.Series) -> pd.DataFrame:
+    """What each download probe finds on a page, in document order."""
+    rows = []
+    for text in html:
+        page = dom.parse(text)
+        xml = page.every(lambda e: e.tag == "a" and ("XML" in _own_text(e) or "xml" in e.attrs.get("href", "")))
+        named = page.every(lambda e: "Download" in _own_text(e) or "download" in _own_text(e))[:DOWNLOAD_ELEMENTS_SHOWN]
+        heading = page.first(lambda e: e.tag == "h2" and "Download" in _own_text(e))
+        rows.append((_links(xml), [{"tag": e.tag, "href": None, "text": e.shown()} for e in named],
+                     _links(heading.parent.every(_anchor)) if heading is not None else []))
+    return pd.DataFrame(rows, columns=_PROBES)
 
 
 def download_probes(pages: DataFrame) -> DataFrame:
-    """(page_id, kind, pos, tag, text, href) for XML links, the first
-    five 'download' elements (text cut to 50 + '...'), and the links of the
-    section under the 'Download' heading."""
-    anchors = pages.select("page_id", "url", F.posexplode(
-        F.regexp_extract_all("html", F.lit(ANCHOR_RE), 0)).alias("pos", "a"))
-    a_href = U.resolve_href(F.regexp_extract(F.regexp_extract("a", ANCHOR_RE, 1), _HREF_IN_ATTRS, 1), F.col("url"))
-    a_text = element_text(F.regexp_extract("a", ANCHOR_RE, 2))
-    xml_links = anchors.select("page_id", a_href.alias("href"), a_text.alias("text"), "pos").filter(
-        F.col("text").contains("XML") | F.col("href").contains("xml"))
-    w = Window.partitionBy("page_id").orderBy("pos")
-    xml_links = xml_links.select("page_id", F.lit("xml_link").alias("kind"),
-                                 (F.row_number().over(w) - 1).alias("pos"), F.lit("a").alias("tag"),
-                                 "text", "href")
-    els = pages.select("page_id", F.posexplode(
-        F.regexp_extract_all("html", F.lit(DOWNLOAD_ELEMENT_RE), 0)).alias("pos", "e"))
-    etext = F.trim(F.regexp_extract("e", DOWNLOAD_ELEMENT_RE, 2))
-    cut = F.when(F.length(etext) > DOWNLOAD_TEXT_CUT,
-                 F.concat(F.substring(etext, 1, DOWNLOAD_TEXT_CUT), F.lit("..."))).otherwise(etext)
-    elements = els.filter(F.col("pos") < DOWNLOAD_ELEMENTS_SHOWN).select(
-        "page_id", F.lit("download_element").alias("kind"), "pos",
-        F.lower(F.regexp_extract("e", DOWNLOAD_ELEMENT_RE, 1)).alias("tag"), cut.alias("text"),
-        F.lit(None).cast("string").alias("href"))
-    section = F.regexp_extract("html", DOWNLOAD_SECTION_RE, 2)
-    sec = pages.select("page_id", "url", F.posexplode(
-        F.regexp_extract_all(section, F.lit(ANCHOR_RE), 0)).alias("pos", "a"))
-    section_links = sec.select("page_id", F.lit("section_link").alias("kind"), "pos", F.lit("a").alias("tag"),
-                               a_text.alias("text"), a_href.alias("href"))
-    return xml_links.unionByName(elements).unionByName(section_links)
+    """(page_id, kind, pos, tag, text, href) for links to XML by their text or
+    address, the first five elements that speak of a download (text cut to 50 +
+    '...'), and the links beside the first 'Download' heading."""
+    found = pages.select("page_id", "url", page_downloads("html").alias("d"))
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.col("d")[k].alias("hits")) for k in _PROBES))
+    hits = (found.select("page_id", "url", F.inline(kinds)).select("page_id", "url", "kind", F.posexplode("hits").alias("pos", "h")))
+    text = F.col("h.text")
+    cut = F.when((F.col("kind") == "download_element") & (F.length(text) > DOWNLOAD_TEXT_CUT),
+                 F.concat(F.substring(text, 1, DOWNLOAD_TEXT_CUT), F.lit("..."))).otherwise(text)
+    return hits.select("page_id", "kind", "pos", "h.tag", cut.alias("text"), U.resolve_href(F.col("h.href"), F.col("url")).alias("href"))

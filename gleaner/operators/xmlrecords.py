@@ -65,6 +65,11 @@ def xml_file_name(pid: Column) -> Column:
     return F.concat(F.lit(XML_FILE_PREFIX), pid, F.lit(XML_FILE_SUFFIX))
 
 
+def file_columns(pid: Column, fetched_at: Column) -> list[Column]:
+    """Where the record is stored and when it was fetched (ISO 8601), beside its ``file_size``."""
+    return [xml_file_name(pid).alias("file_path"), F.date_format(fetched_at, "yyyy-MM-dd'T'HH:mm:ss").alias("download_date")]
+
+
 def content_probe(status: Column, body: Column, pid: Column) -> Column:
     """An OK response whose lower-cased body mentions xml, project and the id."""
     low = F.lower(body)

@@ -28,6 +28,9 @@ SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_orderkey AS VARCHAR) A
             WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '/results' ELSE '' END AS suffix
 FROM orders
 """
+_XML_QUERY = "CASE WHEN page_id % 4 = 1 THEN '?lang=en&format=xml' ELSE '?format=xml' END"
+_XML_TEXT = "CASE WHEN page_id % 4 = 1 THEN 'file' ELSE 'XML' END"
+_PDF_TEXT = "'Download order ' || k || ' (' || o_orderpriority || ') and the rest of page ' || page_id"
 # Every anchor of every page, in page order: the items' links, then the two
 # links of the download section.
 _ANCHORS = f"""
@@ -37,9 +40,8 @@ SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY ord) - 1)::INT
               ELSE '{_CORDIS}/project/id/' || k || suffix END AS href,
          CASE WHEN o_orderstatus = 'O' THEN '' ELSE 'Order ' || k END AS text
   FROM ({_O})
-  UNION ALL SELECT DISTINCT page_id, 100, '{_CORDIS}/project/id/' || page_id || '?format=xml', 'XML' FROM ({_O})
-  UNION ALL SELECT DISTINCT page_id, 101, '{_CORDIS}/project/id/' || page_id || '?format=pdf',
-         'Download the PDF summary of the results for page ' || page_id || ' of the order list' FROM ({_O}))
+  UNION ALL SELECT page_id, 100, '{_CORDIS}/project/id/' || page_id || {_XML_QUERY}, {_XML_TEXT} FROM ({_O}) WHERE i = 0
+  UNION ALL SELECT page_id, 101, '{_CORDIS}/project/id/' || page_id || '?format=pdf', {_PDF_TEXT} FROM ({_O}) WHERE i = 0)
 """
 
 
@@ -131,17 +133,15 @@ def url_build_search(spark, sf_dir):
 
 
 @plan("download_links", oracle=f"""
-SELECT page_id, 'xml_link' AS kind, 0 AS pos, 'a' AS tag, 'XML' AS text,
-       '{_CORDIS}/project/id/' || page_id || '?format=xml' AS href FROM (SELECT DISTINCT page_id FROM ({_O}))
-UNION ALL
-SELECT page_id, 'download_element', 0, 'h2', 'Download', NULL FROM (SELECT DISTINCT page_id FROM ({_O}))
-UNION ALL
-SELECT page_id, 'download_element', 1, 'a',
-       substring('Download the PDF summary of the results for page ' || page_id || ' of the order list', 1, 50)
-         || '...', NULL FROM (SELECT DISTINCT page_id FROM ({_O}))
+WITH first_orders AS (SELECT * FROM ({_O}) WHERE i = 0)
+SELECT page_id, 'xml_link' AS kind, 0 AS pos, 'a' AS tag, {_XML_TEXT} AS text,
+       '{_CORDIS}/project/id/' || page_id || {_XML_QUERY} AS href FROM first_orders
+UNION ALL SELECT page_id, 'download_element', 0, 'h2', 'Download', NULL FROM first_orders
+UNION ALL SELECT page_id, 'download_element', 1, 'a', CASE WHEN length({_PDF_TEXT}) > {FV.DOWNLOAD_TEXT_CUT}
+         THEN substring({_PDF_TEXT}, 1, {FV.DOWNLOAD_TEXT_CUT}) || '...' ELSE {_PDF_TEXT} END, NULL FROM first_orders
 UNION ALL
 SELECT page_id, 'section_link', (pos - max(pos) OVER (PARTITION BY page_id) + 1)::INTEGER, 'a', text, href
-FROM ({_ANCHORS}) WHERE contains(href, '?format=')""")
+FROM ({_ANCHORS}) WHERE contains(href, 'format=')""")
 def download_links(spark, sf_dir):
     """XML links, 'download' elements (first 5, text cut at 50), and
     the links under the Download heading."""

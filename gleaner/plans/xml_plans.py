@@ -17,7 +17,7 @@ from gleaner.sources.project_xml import CORDIS_NS, OTHER_NS, XML_CAPTURES_SQL, x
 _D = "((o_custkey % 10 + 10) % 10)"
 _K = "CAST(o_orderkey AS VARCHAR)"
 _FACTS = f"""
-SELECT project_id, file_size, status, content_type, xml, o_orderpriority, o_orderstatus,
+SELECT project_id, file_size, status, content_type, xml, o_orderpriority, o_orderstatus, o_orderdate,
        {_D} <> 0 AS wellformed,
        {_D} NOT IN (0, 1) AS root_ok,
        CASE WHEN {_D} = 0 THEN NULL
@@ -142,11 +142,13 @@ def xml_validate(spark, sf_dir):
 _META_SQL = ", ".join(f"f_{f} AS \"{f}\"" for f in METADATA_FIELDS)
 
 
-@plan("xml_metadata", oracle=f"SELECT project_id, {_META_SQL}, file_size FROM ({_FACTS})")
+@plan("xml_metadata", oracle=f"""
+SELECT project_id, {_META_SQL}, '{FV.XML_FILE_PREFIX}' || project_id || '{FV.XML_FILE_SUFFIX}' AS file_path, file_size,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS download_date FROM ({_FACTS})""")
 def xml_metadata(spark, sf_dir):
-    """The nine metadata fields plus the file size."""
+    """The nine metadata fields, and the file's path, size and date."""
     f = _facts(spark, sf_dir)
-    return f.select("project_id", *X.metadata_columns(F.col("facts")), "file_size")
+    return f.select("project_id", *X.metadata_columns(F.col("facts")), "file_size", *X.file_columns(F.col("project_id"), F.col("fetched_at")))
 
 
 @plan("batch_valid_ids", oracle=f"""

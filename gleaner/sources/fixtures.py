@@ -188,7 +188,9 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     <section data-testid="result-item">, <article>, or bare links (no result
     containers: the fallback path).  Link text is empty for status O;
     descriptions: class "description" (F), "summary" (O), none (P).  Each
-    page ends with a Download section.  (page_id, url, html)."""
+    page ends with a Download section that names its first order; on every fourth
+    page its markup is upper case, single-quoted, nested and holds a commented link.
+    (page_id, url, html)."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     page = F.floor(F.col("o_orderkey") / RESULTS_PER_PAGE).cast("bigint")
     variant = F.pmod(page, F.lit(4))
@@ -206,16 +208,19 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(variant == 2, F.concat(F.lit("<article><h2>"), anchor, F.lit("</h2>"), desc,
                                          F.lit("</article>")))
             .otherwise(F.concat(F.lit("<p>"), anchor, F.lit("</p>"))))
-    items = (o.select(page.alias("page_id"), "o_orderkey", item.alias("item"))
+    items = (o.select(page.alias("page_id"), "o_orderkey", "o_orderpriority", item.alias("item"))
              .groupBy("page_id")
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "item"))),
-                                           lambda s: s["item"]), "").alias("body")))
+                                           lambda s: s["item"]), "").alias("body"),
+                  F.min(F.struct("o_orderkey", "o_orderpriority")).alias("first")))
     pid = F.col("page_id").cast("string")
-    download = F.concat(
-        F.lit('<div class="download"><h2>Download</h2><a href="/project/id/'), pid,
-        F.lit('?format=xml">XML</a> <a href="/project/id/'), pid,
-        F.lit('?format=pdf">Download the PDF summary of the results for page '), pid,
-        F.lit(" of the order list</a></div>"))
+    pdf = F.concat(F.lit("Download order "), F.col("first.o_orderkey").cast("string"), F.lit(" <i>("), F.col("first.o_orderpriority"),
+                   F.lit(")</i> and the rest of page "), pid)
+    plain = F.concat(F.lit('<h2>Download</h2><a href="/project/id/'), pid, F.lit('?format=xml">XML</a> <a href="/project/id/'), pid,
+                     F.lit('?format=pdf">'), pdf, F.lit("</a>"))
+    other = F.concat(F.lit("<H2 id='d'>Download</H2><!-- <a href='/hidden.xml'>XML</a> --><div><div>as</div><A HREF='/project/id/"), pid,
+                     F.lit("?lang=en&amp;format=xml'>file</A></div><a class=x href=/project/id/"), pid, F.lit("?format=pdf>"), pdf, F.lit("</a>"))
+    download = F.concat(F.lit('<div class="download">'), F.when(F.pmod("page_id", F.lit(4)) == 1, other).otherwise(plain), F.lit("</div>"))
     url = F.concat(F.lit(SEARCH_URL_PREFIX + "orders+"), pid, F.lit("&p=1&num=10"))
     html = F.concat(F.lit('<html><body><div id="search"><ul class="results-list">'), F.col("body"),
                     F.lit("</ul></div>"), download, F.lit("</body></html>"))

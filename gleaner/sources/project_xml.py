@@ -134,7 +134,7 @@ def _sql(parts) -> str:
 
 
 def xml_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(project_id, xml, file_size, status, content_type) per order."""
+    """(project_id, xml, file_size, status, content_type, fetched_at) per order, fetched when it was placed."""
     o = spread(read_table(spark, sf_dir, "orders"))
     xml = _spark(LAYOUT)
     return o.select(
@@ -143,6 +143,7 @@ def xml_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_CONDS["d9"][0](), 404).otherwise(200).alias("status"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit("text/html"))
         .otherwise(F.lit("application/xml")).alias("content_type"),
+        F.col("o_orderdate").alias("fetched_at"),
     ).withColumn("file_size", F.octet_length("xml").cast("bigint"))
 
 

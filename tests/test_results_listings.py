@@ -34,3 +34,17 @@ def test_listing_links_and_next(spark):
 def test_hrefs_with_any_reference(spark):
     df = spark.createDataFrame([("<a href='?a=1&#38;b=2'>x</a><a href=\"/c&eacute;\">y</a><!-- <a href='z'> -->",), ("<a href='u&amp;v'>",)], "h string")
     assert [r[0] for r in df.select(H.link_hrefs(F.col("h"))).collect()] == [["?a=1&b=2", "/cé"], ["u&v"]]
+
+
+def test_download_probes_read_the_tree(spark):
+    """Quoting, letter case, comments, references, nesting; only an element's own first text counts."""
+    html = ("<div><!-- <a href='/c.xml'>XML</a> --><A HREF='/q?a=1&amp;format=xml'>get <b>it</b></A><a>XML only</a><a href=/n>no <i>XML</i></a>"
+            "<section><h2 class=x>Download area</h2><div><p>x</p><div>y</div><a href='one'>One</a></div><a href=two>download " + "z" * 60 + "</a></section>"
+            "<p>late <b>Download</b> " + "<i>download</i>" * 5 + "</p><script>download()</script></div>")
+    df = spark.createDataFrame([(1, "http://h/s/p", html), (2, "http://h/", None), (3, "http://h/", "")], "page_id long, url string, html string")
+    got = [tuple(r) for r in RR.download_probes(df).orderBy("kind", "pos").collect()]
+    assert got == [
+        (1, "download_element", 0, "h2", "Download area", None), (1, "download_element", 1, "a", "download " + "z" * 41 + "...", None),
+        *[(1, "download_element", 2 + k, t, x, None) for k, (t, x) in enumerate([("b", "Download"), ("i", "download"), ("i", "download")])],
+        (1, "section_link", 0, "a", "One", "http://h/s/one"), (1, "section_link", 1, "a", "download " + "z" * 60, "http://h/s/two"),
+        (1, "xml_link", 0, "a", "get it", "http://h/q?a=1&format=xml"), (1, "xml_link", 1, "a", "XML only", None)]
