@@ -12,7 +12,10 @@ from gleaner import fixed_values as FV
 from gleaner.functions.xml import METADATA_FIELDS
 from gleaner.operators import xmlrecords as X
 from gleaner.plans.registry import plan
-from gleaner.sources.project_xml import CORDIS_NS, OTHER_NS, XML_CAPTURES_SQL, xml_captures
+from gleaner.session import scratch_path
+from gleaner.sources.captures import CORRUPT, xml_records
+from gleaner.sources.project_xml import CORDIS_NS, OTHER_NS, RECORDS_PER_FILE, XML_CAPTURES_SQL, record_files, xml_captures
+from gleaner.sources.sinks import write_record_files
 
 _D = "((o_custkey % 10 + 10) % 10)"
 _K = "CAST(o_orderkey AS VARCHAR)"
@@ -201,3 +204,21 @@ def xml_scan_rows(spark, sf_dir):
     docs = o.select(F.to_xml(rec, {"rowTag": "project"}).alias("xml"))
     parsed = docs.select(F.from_xml("xml", _SCAN_SCHEMA, {"rowTag": "project"}).alias("p"))
     return parsed.select(F.col("p.id").alias("project_id"), "p.title", "p.startDate", "p.totalCost")
+
+
+@plan("xml_source_records", oracle="""
+WITH o AS (
+  SELECT *, o_orderkey // 200 AS file_no,
+         min(CASE WHEN o_custkey % 400 = 0 THEN o_orderkey END) OVER (PARTITION BY o_orderkey // 200) AS first_bad FROM orders)
+SELECT file_no, CAST(o_orderkey AS VARCHAR) AS project_id, 'Order & ' || o_orderpriority AS title, strftime(o_orderdate, '%Y-%m-%d') AS start_date,
+       CAST(round(o_totalprice * 100) AS BIGINT) AS total_cost, false AS malformed
+FROM o WHERE first_bad IS NULL OR o_orderkey < first_bad
+UNION ALL SELECT DISTINCT file_no, NULL, NULL, NULL, NULL, true FROM o WHERE first_bad IS NOT NULL""")
+def xml_source_records(spark, sf_dir):
+    """Record files, many records in each, read with Spark's XML source; malformed ones are reported."""
+    path = scratch_path(spark, "record-files")
+    write_record_files(record_files(spark, sf_dir), path)
+    r = xml_records(spark, path, "project", "_id string, title string, startDate string, totalCost bigint")
+    named = r.withColumn("own", F.regexp_extract(F.col(CORRUPT), 'no="([0-9]+)"', 1).cast("bigint"))
+    return named.select(F.coalesce("own", F.floor(F.col("_id").cast("bigint") / RECORDS_PER_FILE)).alias("file_no"), F.col("_id").alias("project_id"),
+                        "title", F.col("startDate").alias("start_date"), F.col("totalCost").alias("total_cost"), F.col(CORRUPT).isNotNull().alias("malformed"))

@@ -157,3 +157,20 @@ FROM (SELECT CAST(o_orderkey AS VARCHAR) AS project_id, {_sql(LAYOUT)} AS xml,
              o_custkey, o_orderpriority, o_orderstatus, o_orderkey, o_totalprice, o_orderdate
       FROM orders)
 """
+
+
+#: Orders in one record file.
+RECORDS_PER_FILE = 200
+
+
+def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(xml): files of up to 200 orders as records, by key; those of every 400th customer have a wrong end tag."""
+    o = read_table(spark, sf_dir, "orders")
+    end = F.when(F.pmod("o_custkey", F.lit(400)) == 0, F.lit("</titel>")).otherwise(F.lit("</title>"))
+    record = F.concat(F.lit('<project id="'), F.col("o_orderkey").cast("string"), F.lit('"><title>Order &amp; '), F.col("o_orderpriority"), end,
+                      F.lit("<startDate>"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</startDate><totalCost>"),
+                      F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string"), F.lit("</totalCost></project>"))
+    files = (o.groupBy(F.floor(F.col("o_orderkey") / RECORDS_PER_FILE).cast("bigint").alias("file_no"))
+             .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", record.alias("record")))).alias("r")))
+    return files.select(F.concat(F.lit('<?xml version="1.0"?><projects no="'), F.col("file_no").cast("string"), F.lit('">'),
+                                 F.array_join(F.col("r.record"), ""), F.lit("</projects>")).alias("xml"))

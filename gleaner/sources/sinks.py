@@ -36,3 +36,8 @@ def write_xml_store(captures: DataFrame, path: str) -> None:
     """K5: (project_id, file_name, xml) with the record's stored name."""
     captures.select("project_id", F.concat(F.lit(XML_FILE_PREFIX), "project_id", F.lit(XML_FILE_SUFFIX))
                     .alias("file_name"), "xml").write.mode("overwrite").parquet(path)
+
+
+def write_record_files(files: DataFrame, path: str) -> None:
+    """One XML file per row of ``files`` (xml: a whole file)."""
+    files.select("xml").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
