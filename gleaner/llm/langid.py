@@ -11,8 +11,8 @@ Words are runs of letters, lower-cased; n-grams include the word's edges.
 Fitting reads about ``SAMPLE_ROWS`` labelled rows (a bound on the labelled
 sample, chosen by a hash of doc_id; every row is taken while there are fewer).  The
 bound is shared out by language, and a language with fewer rows than its share
-gives all of them, so that none is lost.  Fitting keeps the ``MODEL_ENTRIES`` most frequent words and n-grams per language, so
-the model that is sent to the tasks has a fixed largest size.  Prediction reads
+gives all of them, so that none is lost.  Fitting keeps the ``MODEL_ENTRIES`` most frequent words and n-grams of each language,
+with their counts in every language, so the model that is sent to the tasks has a fixed largest size.  Prediction reads
 every whole text.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0, as is
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HashIndex, chunks, hash_spans, mix64, seeds
+from .common import HashIndex, chunks, hash_spans, mix64, seeds, stored
 
 LONGEST = 5
 SAMPLE_ROWS = 20_000
@@ -184,12 +184,14 @@ def fit(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = MOD
                         [pa.array([lang] * len(keys), pa.string()), pa.array([is_word] * len(keys)), pa.array(keys.view(np.int64)),
                          pa.array(counts.astype(np.int64))], names=["lang", "is_word", "hash", "n"])
 
-    counted = (train.select("lang", "text").mapInArrow(count, "lang string, is_word boolean, hash long, n long")
-               .groupBy("lang", "is_word", "hash").agg(F.sum("n").alias("n")))
+    counted = stored(train.select("lang", "text").mapInArrow(count, "lang string, is_word boolean, hash long, n long")
+                     .groupBy("lang", "is_word", "hash").agg(F.sum("n").alias("n")), "language-counts")
     frequent = Window.partitionBy("lang", "is_word").orderBy(F.desc("n"), "hash")
-    whole = Window.partitionBy("lang", "is_word")
-    top = (counted.withColumn("total", F.sum("n").over(whole)).withColumn("rank", F.row_number().over(frequent))
-           .filter(F.col("rank") <= entries).select("lang", "is_word", "hash", "n", "total").toArrow())
+    # an entry that one language keeps counts in every language, however rare it is there
+    keys = counted.withColumn("rank", F.row_number().over(frequent)).filter(F.col("rank") <= entries).select("is_word", "hash").distinct()
+    totals = counted.groupBy("lang", "is_word").agg(F.sum("n").alias("total"))
+    top = (counted.join(keys, ["is_word", "hash"], "left_semi").join(F.broadcast(totals), ["lang", "is_word"])  # two rows per language
+           .select("lang", "is_word", "hash", "n", "total").toArrow())
     lists = [top.column(k).to_pylist() for k in ("lang", "is_word", "hash", "n", "total")]
     return Model(list(zip(*lists[:4])), {(lang, w): n for lang, w, n in zip(lists[0], lists[1], lists[4])})
 

@@ -266,3 +266,102 @@ def test_resampled_totals_meet_the_targets(spark):
     left = mixing.resample(docs, labels, weights).select("doc_id").join(members, "doc_id")
     got = left.agg(*(F.sum(F.col("n_tokens") * F.col(f"p_{d}")) for d in mixing.DOMAINS)).first()
     assert abs(got[0] / target[0] - 1) < 0.02 and abs(got[1] / target[1] - 1) < 0.03
+
+
+# ---------------------------------------------------------------- against brute force
+
+def test_log_ratios_match_brute_force(spark, awkward, sf_small):
+    """The n-gram ratio, recomputed word by word with the hash function's own library."""
+    import struct
+
+    import xxhash
+
+    def hashed(*parts):
+        seed = 42
+        for p in parts:
+            seed = xxhash.xxh64_intdigest(struct.pack("<i", p) if isinstance(p, int) else p.encode(), seed=seed)
+        return seed % quality.BUCKETS
+
+    def grams(words):
+        out, before = [], None
+        for w in words:
+            joint = hashed(3) if before is None else hashed(4) if before == w else hashed(before[-1:], w[:1], 2)
+            out += [hashed(w), hashed(w[-2:], 1), joint]
+            before = w
+        return out
+
+    given = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_small}/labels.parquet").unionByName(
+        spark.createDataFrame([(1, 1, 0), (1, 1, 0), (6, 1, None), (None, 1, 0), (999_999, 0, 1)], "doc_id long, quality int, toxic int"))
+    docs = given.select((F.col("doc_id") + 100).alias("doc_id"), "text").unionByName(awkward.select("doc_id", "text").filter("doc_id is null or doc_id <> 7"))
+    labels = labels.withColumn("doc_id", F.when(F.col("doc_id") < 10, F.col("doc_id")).otherwise(F.col("doc_id") + 100))
+    rows = [(r.doc_id, re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in docs.collect()]
+    said = {}
+    for r in labels.collect():
+        said.setdefault(r.doc_id, []).append(r.quality == 1 and not r.toxic)
+    raw, target = Counter(), Counter()
+    for d, words in rows:
+        g = grams(words)
+        raw.update(g)
+        if d is not None and all(said.get(d, [False])):
+            target.update(g)
+    n, t, b = sum(raw.values()), sum(target.values()), quality.BUCKETS
+    weight = lambda x: np.log((target[x] + 1) / (t + b)) - np.log((raw[x] + 1) / (n + b))
+    want = sorted(((d is not None, d or 0, len(w)), sum(map(weight, grams(w))) / (3 * len(w) + quality.SHRINK)) for d, w in rows)
+    got = sorted(((r.doc_id is not None, r.doc_id or 0, r.n_words), r.llr, r.kept, r.base_failed) for r in quality.judge(docs, quality.fit(docs, labels)).collect())
+    assert t and [x[0] for x in got] == [x[0] for x in want]
+    for (_, llr, kept, failed), (_, expected) in zip(got, want):
+        assert abs(llr - expected) < 1e-4
+        assert kept == (not failed and llr >= quality.LEAST_SCORE)
+    kept = [tuple(r) for r in quality.kept_rows(docs, quality.fit(docs, labels)).collect()]
+    assert len(kept) == sum(x[2] for x in got)
+
+
+def test_entries_count_in_every_language(spark):
+    """A word that only one language keeps still has its count in the others."""
+    rows = [(i, "alpha alpha beta", "aa") for i in range(40)] + [(100 + i, "gamma gamma gamma delta delta", "bb") for i in range(40)]
+    rows += [(1000 + i, "alpha", "bb") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").filter(~langid.held_out(F.col("doc_id")))
+    model = langid.fit(docs, entries=1)
+    words = Counter((r.lang, w) for r in docs.collect() for w in r.text.split())
+    at = model.index[True].find(hash_spans(*langid_word("alpha"), langid._tables()[1]))
+    total = {lang: sum(n for (x, _), n in words.items() if x == lang) for lang in ("aa", "bb")}
+    for k, lang in enumerate(model.langs):
+        want = np.log((words[lang, "alpha"] + langid.SMOOTHING) / (total[lang] + langid.SMOOTHING * 2))
+        assert abs(model.logs[True][at[0], k] - want) < 1e-5
+
+
+def langid_word(word):
+    chars, _ = langid.letters([word])
+    starts, ends = langid.word_bounds(chars)
+    return chars, starts, ends
+
+
+def test_pseudonyms_are_undone_by_the_inverse(monkeypatch, spark):
+    """Long texts of random values: the inverse permutation gives every text back, and equal values stay equal."""
+    rng = np.random.default_rng(8)
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+
+    def value():
+        body = str(rng.integers(1, 10)) + digits(14)
+        day = date.fromordinal(int(rng.integers(date(1900, 1, 1).toordinal(), date(2100, 1, 1).toordinal())))
+        return [body + pii.luhn_digit(body), f"+{rng.integers(1, 999)} {digits(3)}-{digits(3)}-{digits(4)}", day.isoformat(), f"{day:%d.%m.%Y}", f"{day:%m/%d/%Y}",
+                ".".join(str(x) for x in rng.integers(0, 256, 4)), f"{rng.integers(1, 666):03d}-{rng.integers(1, 100):02d}-{rng.integers(1, 10000):04d}",
+                f"user{digits(3)}@host.example.org", "12.13", "0000-00-00", "999-99-9999"][rng.integers(0, 11)]
+
+    def replaced(text):
+        out, last = [], 0
+        for start, end, _, new in pii.finds(text, b"k" * 32):
+            out += [text[last:start], new]
+            last = end
+        return "".join([*out, text[last:]])
+
+    texts = [" and ".join(value() for _ in range(n)) for n in (1, 5, 50, 2000)]
+    new = [replaced(t) for t in texts]
+    assert all(a != b for a, b in zip(texts[1:], new[1:]))
+    forward = pii.feistel
+    monkeypatch.setattr(pii, "feistel", lambda v, s, k, t: forward(v, s, k, t, inverse=True))
+    assert [replaced(t) for t in new] == texts
+    docs = spark.createDataFrame([(1, texts[3]), (1, texts[3]), (None, texts[2]), (3, None), (4, "")], "doc_id long, text string").withColumn("start", F.lit("clash"))
+    got = Counter((r.doc_id, r.start, r.end, r.kind, r.pseudonym) for r in pii.find(docs, "key").collect())
+    assert {n for (d, *_), n in got.items() if d == 1} == {2} and sum(d is None for d, *_ in got) == len(pii.finds(texts[2], b"k" * 32))
