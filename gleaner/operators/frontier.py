@@ -1,9 +1,9 @@
 """Link-graph traversal: bounded-depth frontier (G1, J3, A10) and
 pagination chains (G2).
 
-Both are iterative joins driven from the driver with a bound that does not
-grow with the data: ``max_depth`` levels for the frontier, and about
-log2(chain length) rounds of pointer jumping for the chain.  Each level is
+These are iterative joins driven from the driver: ``max_depth`` levels for the
+frontier, about log2(chain length) rounds of pointer jumping for the chain, and for the
+original's crawl order as many rounds as pages hang on one another's order.  Each level is
 written to the shared checkpoint folder (``spark.checkpoint.dir``) so lineage
 stays short and a lost executor re-reads one level, not the walk.
 """
@@ -41,6 +41,35 @@ def bfs_frontier(spark: SparkSession, seeds: DataFrame, edges: DataFrame, max_de
     return reduce(DataFrame.unionByName, levels)
 
 
+def ordered_crawl(spark: SparkSession, seeds: DataFrame, edges: DataFrame, max_depth: int = 1, most_rounds: int = 200) -> DataFrame:
+    """G1 in the original's order: depth first, seed after seed, links as they stand on the page.
+
+    seeds: (url, place); edges: (src, dst, place), places being whole numbers that order
+    the seeds and each page's links.  Returns (url, depth, label): ``label`` holds the seed's
+    place and the places of the links that lead to the page when it is first visited; pages
+    by label are in visiting order.  One visited set covers all seeds, and a page first
+    met at ``max_depth`` is never expanded, even if a shorter way turns up later.
+
+    The crawl tries links in the order of their labels, so a page's label is the smallest of
+    its seed places and of (label of q, link place) over the pages q that link to it and
+    were themselves met above ``max_depth``.  Labels grow along links, so this has
+    exactly one solution, and every round of recomputing all labels from the last ones
+    settles at least the smallest unsettled one; a round is one join and one minimum per page.
+    """
+    links = materialize(edges.groupBy("src", "dst").agg(F.min(F.col("place").cast("long")).alias("place")).filter("src <> dst"))
+    first = seeds.groupBy("url").agg(F.array(F.min(F.col("place").cast("long"))).alias("label"))
+    labels, state = materialize(first), None
+    for _ in range(most_rounds):
+        row = labels.agg(F.count("*"), F.bit_xor(F.xxhash64("url", "label")), F.sum(F.xxhash64("label", "url").cast("decimal(38,0)"))).first()
+        if tuple(row) == state:
+            return labels.select("url", (F.size("label") - 1).alias("depth"), "label")
+        state = tuple(row)
+        met = (labels.filter(F.size("label") <= max_depth).join(links, F.col("url") == F.col("src"))
+               .select(F.col("dst").alias("url"), F.concat("label", F.array("place")).alias("label")))
+        labels = materialize(first.unionByName(met).groupBy("url").agg(F.min("label").alias("label")))
+    raise RuntimeError(f"the crawl order did not settle within {most_rounds} rounds")
+
+
 def list_rank(spark: SparkSession, nodes: DataFrame, start_url: str, max_rounds: int = 64) -> DataFrame:
     """Walk next-links from ``start_url`` without a per-page loop.
 

@@ -41,6 +41,32 @@ def crawl_frontier(spark, sf_dir, max_depth=MAX_DEPTH):
                     U.capture_file_name(F.col("depth"), F.col("url")).alias("file_name"))
 
 
+def _round(k: int) -> str:
+    return f"""
+l{k} AS MATERIALIZED (SELECT url, min(label) AS label FROM (
+  SELECT * FROM l0 UNION ALL
+  SELECT e.dst, list_append(l.label, e.place) FROM l{k - 1} l JOIN e ON e.src = l.url WHERE len(l.label) <= {MAX_DEPTH}) GROUP BY url)"""
+
+
+#: Rounds that the statement below unrolls; its last two must agree, else it fails.
+_ROUNDS = 12
+
+
+@plan("crawl_in_order", oracle=f"""
+WITH e AS MATERIALIZED (
+  SELECT src, dst, min(place) AS place FROM (
+    SELECT '{SHOP}/order/' || l_orderkey AS src, '{SHOP}/part/' || l_partkey AS dst, l_linenumber::BIGINT AS place FROM lineitem
+    UNION ALL SELECT '{SHOP}/part/' || l_partkey, '{SHOP}/order/' || l_orderkey, l_orderkey * 8 + l_linenumber FROM lineitem) GROUP BY ALL),
+l0 AS MATERIALIZED (SELECT '{SHOP}/order/' || o_orderkey AS url, [o_orderkey] AS label FROM orders
+       WHERE o_orderdate = (SELECT min(o_orderdate) FROM orders)),
+{",".join(_round(k) for k in range(1, _ROUNDS + 1))}
+SELECT url, (len(label) - 1)::INTEGER AS depth, label FROM l{_ROUNDS}
+WHERE CASE WHEN EXISTS (SELECT * FROM l{_ROUNDS} EXCEPT SELECT * FROM l{_ROUNDS - 1}) THEN error('not settled') ELSE true END""")
+def crawl_in_order(spark, sf_dir, max_depth=MAX_DEPTH):
+    """G1 as the original walks: depth first from ordered seeds, one visited set, the way to each page."""
+    return FR.ordered_crawl(spark, fixtures.ordered_seeds(spark, sf_dir), fixtures.ordered_links(spark, sf_dir), max_depth)
+
+
 @plan("crawl_new_links", oracle=f"""
 SELECT DISTINCT l.link_url FROM (
   SELECT page_id, pos, href, {Q.resolve_href('href', 'url')} AS link_url FROM (

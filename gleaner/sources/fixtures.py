@@ -131,6 +131,22 @@ def crawl_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.select(F.concat(F.lit(SHOP_BASE + "/order/"), F.col("o_orderkey").cast("string")).alias("url"))
 
 
+def ordered_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst, place): the link graph with the links' places: an order's by line, a part's by order and line."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    order_url = F.concat(F.lit(SHOP_BASE + "/order/"), F.col("l_orderkey").cast("string"))
+    part_url = F.concat(F.lit(SHOP_BASE + "/part/"), F.col("l_partkey").cast("string"))
+    line = F.col("l_linenumber").cast("long")
+    return (li.select(order_url.alias("src"), part_url.alias("dst"), line.alias("place"))
+            .unionByName(li.select(part_url.alias("src"), order_url.alias("dst"), (F.col("l_orderkey") * 8 + line).alias("place"))))
+
+
+def ordered_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(url, place): the seed list by order key."""
+    url = F.col("url")
+    return crawl_seeds(spark, sf_dir).select("url", F.regexp_extract(url, "([0-9]+)$", 1).cast("long").alias("place"))
+
+
 LISTING_PAGE_SIZE = 10
 LISTING_PATH = "/gepris/OCTOPUS?task=doKatalog&context=projekt&page="
 
