@@ -1,9 +1,9 @@
 """Plans for catalog search and project resolution.
 
 Queries are derived from ``documents`` (``fixtures.project_queries``) and
-searched against the catalog built from the same table.  Plans with an
-oracle use the JVM-only ``native`` scorer; the fuzzy scorer (M4-M6) has no
-SQL form and is checked against brute force in the tests.
+searched against the catalog built from the same table.  Most plans use the
+JVM-only ``native`` scorer; those of the fuzzy scorer (M4-M6) have oracles by dynamic
+programming (``fuzzy_sql``).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from gleaner.functions import text as TX
 from gleaner.functions.fuzzy import fuzzy_scores
 from gleaner.operators import resolve as RS
 from gleaner.operators import search as S
+from gleaner.plans import fuzzy_sql
 from gleaner.plans import match_sql as MS
 from gleaner.plans import sqlbits as Q
 from gleaner.plans.registry import plan
@@ -129,14 +130,17 @@ def unmatched_queries(spark, sf_dir):
     return RS.unmatched(q, RS.ranked_candidates(q, c, "native")).select("query_no", "query")
 
 
-@plan("resolve_projects", oracle=None)
+@plan("resolve_projects", oracle=f"""
+SELECT query_no, query, project_id, title, milli / 1000.0::DOUBLE AS match_score, strategy AS search_strategy, verdict,
+       n_candidates::BIGINT AS n_candidates FROM ({MS.RANKED_FUZZY}) WHERE rank = 1""")
 def resolve_projects(spark, sf_dir):
-    """Best project per query with the fuzzy scorer (checked in tests)."""
+    """Best project per query with the fuzzy scorer."""
     q, c = _inputs(spark, sf_dir)
     return RS.resolve(q, c, "fuzzy")
 
 
-@plan("match_score", oracle=None)
+@plan("match_score", oracle=f"""
+SELECT query_no, strategy_no, project_id, milli, milli / 1000.0::DOUBLE AS match_score FROM ({MS.SCORED_FUZZY})""")
 def match_score(spark, sf_dir):
     """M9 with the fuzzy kernels, every search result."""
     q, c = _inputs(spark, sf_dir)
@@ -144,6 +148,17 @@ def match_score(spark, sf_dir):
         "query_no", "strategy_no", "project_id", "milli", "match_score")
 
 
+_PAIRS = f"""
+SELECT q.query_no, {Q.normalize('q.query')} AS qn, {Q.normalize('c.title')} AS tn
+FROM ({Q.QUERIES}) q JOIN ({Q.CATALOG}) c ON c.project_id = q.source_id"""
+
+
+def _pair_oracle(column: str, name: str) -> str:
+    return f"""
+WITH pairs AS MATERIALIZED ({_PAIRS}), f AS MATERIALIZED ({fuzzy_sql.scores("SELECT qn, tn FROM pairs")})
+SELECT query_no, f.{column} AS {name} FROM pairs p JOIN f ON f.qn = p.qn AND f.tn = p.tn"""
+
+
 def _pair_scores(spark, sf_dir):
     q, c = _inputs(spark, sf_dir)
     p = q.join(c, q.source_id == c.project_id).select(
@@ -151,19 +166,19 @@ def _pair_scores(spark, sf_dir):
     return p.withColumn("s", fuzzy_scores(F.col("qn"), F.col("tn")))
 
 
-@plan("fuzzy_ratio", oracle=None)
+@plan("fuzzy_ratio", oracle=_pair_oracle("ratio", "ratio"))
 def fuzzy_ratio(spark, sf_dir):
     """M4 of each query against its source title."""
     return _pair_scores(spark, sf_dir).select("query_no", F.col("s.ratio").alias("ratio"))
 
 
-@plan("fuzzy_partial_ratio", oracle=None)
+@plan("fuzzy_partial_ratio", oracle=_pair_oracle("partial", "partial_ratio"))
 def fuzzy_partial_ratio(spark, sf_dir):
     """M5 of each query against its source title."""
     return _pair_scores(spark, sf_dir).select("query_no", F.col("s.partial").alias("partial_ratio"))
 
 
-@plan("fuzzy_token_set", oracle=None)
+@plan("fuzzy_token_set", oracle=_pair_oracle("token_set", "token_set_ratio"))
 def fuzzy_token_set(spark, sf_dir):
     """M6 of each query against its source title."""
     return _pair_scores(spark, sf_dir).select("query_no", F.col("s.token_set").alias("token_set_ratio"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from gleaner import fixed_values as FV
 from gleaner.functions import text as TX
+from gleaner.plans import fuzzy_sql
 from gleaner.plans import sqlbits as Q
 
 
@@ -99,32 +100,53 @@ SELECT s.*, least({_W} * (CASE WHEN {_M} = 0 THEN 100
 FROM norm s, {Q.char_map('SELECT * FROM norm', 'qn', 'title_norm')} m
 """
 
-KEPT = f"""
+SCORED_FUZZY = f"""
+WITH norm AS MATERIALIZED ({_NORM}), fuzzy AS MATERIALIZED ({fuzzy_sql.scores("SELECT qn, title_norm AS tn FROM norm")})
+SELECT s.*, least({FV.RATIO_WEIGHT} * f.ratio + {FV.PARTIAL_WEIGHT} * f.partial + {FV.TOKEN_SET_WEIGHT} * f.token_set
+                  + {Q.description_bonus('s.qn', 'dn')}
+                  + CASE WHEN {Q.is_acronym_match('query', 'title')} THEN {FV.ACRONYM_BONUS} ELSE 0 END
+                  + CASE WHEN s.qn = title_norm THEN {FV.EXACT_BONUS} ELSE 0 END, 1000)::INTEGER AS milli
+FROM norm s JOIN fuzzy f ON f.qn = s.qn AND f.tn = s.title_norm
+"""
+
+
+def _kept(scored: str) -> str:
+    return f"""
 SELECT * FROM (
   SELECT *, min(CASE WHEN milli > {FV.HIGH_CONFIDENCE_MILLI} THEN strategy_no END) OVER (PARTITION BY query_no)
     AS stop_strategy_no
-  FROM ({SCORED}))
+  FROM ({scored}))
 WHERE stop_strategy_no IS NULL OR strategy_no <= stop_strategy_no
 """
 
-BEST = f"""
+
+def _best(kept: str) -> str:
+    return f"""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, min(strategy_no * 100 + pos) OVER (PARTITION BY query_no, project_id) AS first_seen,
          row_number() OVER (PARTITION BY query_no, project_id ORDER BY milli DESC, strategy_no, pos) AS rn
-  FROM ({KEPT}))
+  FROM ({kept}))
 WHERE rn = 1
 """
 
-RANKED = f"""
+
+def _ranked(best: str) -> str:
+    return f"""
 SELECT *, CASE WHEN n_candidates = 1 OR top_milli > {FV.HIGH_CONFIDENCE_MILLI} THEN 'high_confidence'
                ELSE 'ambiguous' END AS verdict
 FROM (
   SELECT *, row_number() OVER (PARTITION BY query_no ORDER BY milli DESC, first_seen)::INTEGER AS rank,
          count(*) OVER (PARTITION BY query_no) AS n_candidates,
          max(milli) OVER (PARTITION BY query_no) AS top_milli
-  FROM ({BEST}))
+  FROM ({best}))
 """
 
+
+KEPT = _kept(SCORED)
+BEST = _best(KEPT)
+RANKED = _ranked(BEST)
+RANKED_FUZZY = _ranked(_best(_kept(SCORED_FUZZY)))
+
 #: Every misspelt name against every title, by their distance alone.
 _NAMES = f"""
 SELECT doc_id AS query_no, {Q.normalize("regexp_replace(title, '([A-Za-z]{2})[a-z]([a-z]{2,})', '" + chr(92) + "1" + chr(92) + "2', 'g')")} AS qn,
