@@ -92,12 +92,14 @@ def levenshtein_sim(a: Column, b: Column) -> Column:
 def keyword_hits(text: Column, keywords: list[str]) -> Column:
     """How many keywords occur (as substrings) in the lower-cased text.
     Unrolled, so lower(text) is one common subexpression."""
+    if not keywords:
+        return F.lit(0)
     low = F.lower(text)
     hits = [F.when(low.contains(F.lit(k)), 1).otherwise(0) for k in keywords]
     total = hits[0]
     for h in hits[1:]:
         total = total + h
-    return total if keywords else F.lit(0)
+    return total
 
 
 def word_count(text: Column) -> Column:

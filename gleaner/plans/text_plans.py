@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleaner.functions import keywords as K
 from gleaner.functions import text as TX
 from gleaner.plans import sqlbits as Q
 from gleaner.plans.registry import plan
@@ -43,6 +44,28 @@ def relevance_filter(spark, sf_dir, keywords=RELEVANCE_KEYWORDS,
     return scored.filter((F.col("n_keywords") >= threshold) & (F.col("n_words") >= min_words))
 
 
+#: Keywords of the long-list filter: the most frequent longer words of the catalog's titles.
+LONG_LIST = 10_000
+_LONG_LIST = f"""
+SELECT list(word ORDER BY n DESC, word) AS words FROM (
+  SELECT word, count(*) AS n FROM (
+    SELECT unnest(list_distinct(string_split({Q.normalize('title')}, ' '))) AS word FROM ({Q.CATALOG}))
+  WHERE length(word) > 4 GROUP BY word ORDER BY n DESC, word LIMIT {LONG_LIST})"""
+
+
+@plan("keyword_hits", oracle=f"""
+SELECT doc_id, len(list_filter(words, lambda k: contains(low, k)))::BIGINT AS n_keywords
+FROM (SELECT doc_id, lower(text) AS low FROM documents), ({_LONG_LIST})""")
+def keyword_hits(spark, sf_dir, most=LONG_LIST):
+    """H15 with a long keyword list: how many of the titles' words each document holds."""
+    word = F.explode(F.array_distinct(F.split(TX.normalize(F.col("title")), " "))).alias("word")
+    top = (fixtures.catalog(spark, sf_dir).select(word).filter(F.length("word") > 4).groupBy("word").agg(F.count("*").alias("n"))
+           .orderBy(F.col("n").desc(), "word").limit(most))
+    listed = [r.word for r in top.collect()]  # the keyword list: a parameter of at most ``most`` words
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", K.keyword_hits(F.col("text"), listed).alias("n_keywords"))
+
+
 @plan("normalize_text", oracle=f"""
 SELECT doc_id, title, {Q.normalize('title')} AS title_norm FROM ({Q.CATALOG})
 """)
