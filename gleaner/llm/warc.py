@@ -334,7 +334,9 @@ def read_warc(files: DataFrame) -> DataFrame:
 def refers_to(records: DataFrame) -> DataFrame:
     """``records`` with ``refers_to``: the page_id of the response that a revisit names."""
     responses = records.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
-    return records.join(responses, "refers_to_id", "left")
+    # only revisits are joined: what names no other record would all meet under the one null key
+    named = records.filter("refers_to_id is not null").join(responses, "refers_to_id", "left")
+    return named.unionByName(records.filter("refers_to_id is null").withColumn("refers_to", F.lit(None).cast("long")))
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
