@@ -239,14 +239,14 @@ def _phrase_pages(phrases: DataFrame, index: Index) -> DataFrame:
     p = phrases.withColumnRenamed("n", "pn")
     short = p.filter(F.size("seq") <= 2).select("key", "pn", F.concat_ws(" ", "seq").alias("gram")).join(index.ranked, "gram")
     long_ = p.filter(F.size("seq") > 2)
-    pairs = long_.select("key", "pn", F.col("seq").alias("asked"), F.posexplode(F.transform(
+    pairs = long_.select("key", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.size("seq") - 2), lambda i: F.concat_ws(" ", F.get("seq", i), F.get("seq", i + 1)))).alias("i", "gram"))
-    rarest = (pairs.join(index.gram_sizes, "gram").groupBy("key", "pn", "asked", "gram", "i").agg(F.sum("many").alias("many"))
-              .groupBy("key", "pn", "asked").agg(F.min(F.struct("many", "gram", "i")).alias("m")).select("key", "pn", "asked", "m.gram", "m.i"))
+    sizes = index.gram_sizes.groupBy("gram").agg(F.sum("many").alias("many"))  # an extended index has a row per extension
+    rarest = pairs.join(sizes, "gram").groupBy("key").agg(F.min(F.struct("many", "gram", "i")).alias("m")).select("key", "m.gram", "m.i")
     at = (rarest.join(index.grams.select("gram", "place", "cid"), "gram").filter(F.col("place") >= F.col("i"))
-          .select("key", "pn", "asked", "cid", (F.col("place") - F.col("i")).alias("start")))
-    hits = (at.join(index.titles.select("cid", "seq", "n", "title_len"), "cid")
-            .filter(F.slice("seq", F.col("start") + 1, F.size("asked")) == F.col("asked"))
+          .select("key", "cid", (F.col("place") - F.col("i")).alias("start")))
+    hits = (at.join(index.titles.select("cid", F.col("seq").alias("held"), "n", "title_len"), "cid").join(long_, "key")
+            .filter(F.slice("held", F.col("start") + 1, F.size("seq")) == F.col("seq"))
             .select("key", "cid", "pn", "n", "title_len").distinct())
     return _first(rated(short).unionByName(rated(hits)), ["key"], [F.col("jaccard").desc(), "title_len", "cid"])
 
