@@ -222,7 +222,7 @@ def test_entry_lists_these_queries():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {"pipeline"} <= names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert {"pipeline"} <= names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert set(entry.oracle_sql()) <= names
 
 
