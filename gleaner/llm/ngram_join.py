@@ -266,25 +266,30 @@ def by_group(rows: DataFrame, keys: list[str], compare: Callable[[dict], list[tu
 
 
 def across(per_cent: int, exact: bool) -> Callable[[dict], list[tuple[int, int]]]:
-    """Compare the two blocks of a group: pairs that join components which nothing joins yet."""
+    """Compare the two blocks of a group: pairs of nodes in different components.
+
+    A pair is left out where the pairs put out before join its ends: exact ones join whole
+    components, the others, which may be no links, only the nodes that they name.
+    """
     def compare(rows: dict) -> list[tuple[int, int]]:
         node, size, own, root = rows["node"], rows["n_shingles"], rows["own"], rows["component"].copy()
         bits = same_width(list(rows["bits"]))
         sets = _arrays(pd.Series(rows["members"])) if exact else None
         two = rows["lo"][0] != rows["hi"][0]
+        met = root if exact else np.arange(len(node))
         out = []
         left = np.flatnonzero(own == rows["lo"][0]) if two else np.arange(len(node))
         for i in left:  # block ``lo`` is an open one
-            rest = root != root[i]
+            rest = (root != root[i]) & (met != met[i])
             if two:
                 rest &= own != own[i]
             else:
                 rest[:i] = False
             at = np.flatnonzero(rest)
             for j in at[may_link(bits[at], bits[i], size[at], size[i], per_cent)]:
-                if root[j] != root[i] and (not exact or linked(sets[i], sets[j], per_cent)):
+                if met[j] != met[i] and (not exact or linked(sets[i], sets[j], per_cent)):
                     out.append((int(node[i]), int(node[j])))
-                    root[root == root[j]] = root[i]
+                    met[met == met[j]] = met[i]
         return out
     return compare
 

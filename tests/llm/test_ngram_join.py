@@ -88,3 +88,19 @@ def test_reduced_links_keep_components(spark):
     assert small.count() < len(links)
     got = {r.node: r.component for r in common.components(small, "test-forest").collect()}
     assert got == root
+
+
+def test_bounds_that_are_no_links_hide_no_pair(monkeypatch):
+    """Two components: a rough pair of them is no link, another pair is; both must reach the exact comparison."""
+    allowed = {(1, 11), (2, 12), (3, 12)}
+
+    def fits(a, b, size_a, size_b, per_cent):
+        other = np.atleast_1d(a[..., 0]).tolist()
+        return np.array([tuple(sorted((x, int(b[0])))) in allowed for x in other], dtype=bool)
+
+    monkeypatch.setattr(ngram_join, "may_link", fits)
+    node = np.array([1, 2, 3, 11, 12])
+    for own, lo, hi in (([0] * 5, 0, 0), ([0, 0, 0, 1, 1], 0, 1)):
+        rows = {"node": node, "n_shingles": np.full(5, 9), "own": np.array(own), "component": np.array([1, 1, 3, 11, 11]),
+                "lo": np.full(5, lo), "hi": np.full(5, hi), "bits": np.array([np.uint64([n]).tobytes() for n in node], dtype=object)}
+        assert set(ngram_join.across(85, exact=False)(rows)) == allowed
