@@ -10,7 +10,7 @@ from gleaner.operators import frontier as FR
 from gleaner.operators import graph as G
 from gleaner.sources import fixtures
 from gleaner.sources.project_xml import xml_captures
-from gleaner.streaming import stats
+from gleaner.streaming import ingest, stats
 
 
 def test_bfs_depth_is_shortest(spark, sf_small):
@@ -82,6 +82,15 @@ def test_stream_equals_batch(spark, sf_small):
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_streams_read_tables_of_many_files(spark, sf_small, tmpdir_path):
+    for name in ("pages", "events"):
+        spark.read.parquet(f"{sf_small}/{name}.parquet").repartition(3).write.parquet(f"{tmpdir_path}/{name}.parquet")
+    got, want = (ingest.run_ingest(spark, d).drop("ts") for d in (tmpdir_path, sf_small))
+    assert want.count() > 0 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    got, want = (stats.run_stats(spark, d) for d in (tmpdir_path, sf_small))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_manifest_and_graph_sinks(spark, sf_small, tmpdir_path):
     c = CO.collect(fixtures.project_queries(spark, sf_small), fixtures.catalog(spark, sf_small),
                    xml_captures(spark, sf_small), "native")
