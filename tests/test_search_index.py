@@ -98,3 +98,22 @@ def test_edit_join_finds_all_pairs(spark, per_cent):
     want = {(a, b): d for a in texts for b in edited if a and b
             for d in [levenshtein(a, b)] if 100 * (max(len(a), len(b)) - d) >= per_cent * max(len(a), len(b))}
     assert got == want and want
+
+
+def test_rows_of_words_and_word_pairs_do_not_carry_their_text(spark, monkeypatch):
+    title = " ".join(f"word{i}" for i in range(2000))
+    q = spark.createDataFrame([(1, title), (2, title + " more")], "query_no long, query string")
+    c = spark.createDataFrame([("1", title, None), ("2", "word1 word2", None)], "project_id string, title string, description string")
+    sizes = []
+
+    def kept(f):
+        def g(texts, index):
+            sizes.append(texts.selectExpr("max(length(cast(key as string)))").first()[0])
+            return f(texts, index)
+        return g
+
+    for name in ("_set_pages", "_phrase_pages"):
+        monkeypatch.setattr(S, name, kept(getattr(S, name)))
+    got = {(r.query_no, r.strategy_no): (r.project_id, r.overlap) for r in S.search(q, c).collect()}
+    assert got == {(1, 0): ("1", 2000), (1, 1): ("1", 2000), (2, 0): ("1", 2000)}
+    assert len(sizes) == 2 and max(sizes) < 25  # each text is cut into 2,000 rows
