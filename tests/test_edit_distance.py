@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import BANDS, SHORT_TEXT, edit_distance
+from gleaner.functions.editscript import distance
+from gleaner.functions.text import BANDS, LONG_TEXT, SHORT_TEXT, edit_distance
 from gleaner.operators.editjoin import edit_join
 
 
@@ -37,3 +38,16 @@ def test_texts_of_the_join_do_not_pass_through_the_driver(spark):
     assert {(r.left, r.right) for r in out.collect() if r.distance == 0} == {(x, x) for x in names}
     # a size estimate cannot turn the two joins that carry texts into broadcasts
     assert out._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") == 2
+
+
+def test_long_texts_are_compared_by_rows(spark):
+    rng = random.Random(5)
+    rows = [(a, changed(rng, a, k)) for n in (LONG_TEXT - 3, LONG_TEXT, LONG_TEXT + 1, 3000)
+            for a in [text(rng, n)] for k in (0, 2, 40, 2000)] + [(text(rng, LONG_TEXT + 1), b) for b in (None, "", "é")]
+    rows += [(b, a) for a, b in rows]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select(edit_distance(F.col("a"), F.col("b")).alias("d"), F.levenshtein("a", "b").alias("whole")).collect()
+    assert [r.d for r in got] == [r.whole for r in got]
+    # the square of these has 1.6 billion cells
+    a = text(rng, 40_000)
+    assert 0 < distance(a, changed(rng, a, 500)) <= 500 < distance(a, text(rng, 40_000))
