@@ -71,3 +71,20 @@ def test_udf_matches_python(spark):
     for r in rows:
         assert (r.s.ratio, r.s.partial, r.s.token_set) == (
             FZ.ratio(r.a, r.b), FZ.partial_ratio(r.a, r.b), FZ.token_set_ratio(r.a, r.b))
+
+
+def test_partial_ratio_compares_few_windows_of_long_texts(monkeypatch):
+    rng, calls, lcs = random.Random(9), [], FZ._lcs
+
+    def counted(*args):
+        calls.append(1)
+        return lcs(*args)
+
+    monkeypatch.setattr(FZ, "_lcs", counted)
+    for letters in ("ab", "abcdefgh é"):
+        short, long_ = ("".join(rng.choice(letters) for _ in range(n)) for n in (1500, 1900))
+        starts = {max(j - i, 0) for i, j, _ in FZ.matching_blocks(short, long_)} - {len(long_)}
+        whole = max(2 * lcs(FZ.char_masks(short), 1500, w) / (1500 + len(w)) for w in (long_[s:s + 1500] for s in starts))
+        calls.clear()
+        assert FZ.partial_ratio(short, long_) == FZ.partial_ratio(long_, short) == round(100 * whole)
+        assert len(calls) / 2 < len(starts) / 2
