@@ -1,5 +1,6 @@
 """The search index: saved, extended, read without a shuffle; and what hot keys send on."""
 
+import os
 import random
 import re
 import tempfile
@@ -117,3 +118,16 @@ def test_rows_of_words_and_word_pairs_do_not_carry_their_text(spark, monkeypatch
     got = {(r.query_no, r.strategy_no): (r.project_id, r.overlap) for r in S.search(q, c).collect()}
     assert got == {(1, 0): ("1", 2000), (1, 1): ("1", 2000), (2, 0): ("1", 2000)}
     assert len(sizes) == 2 and max(sizes) < 25  # each text is cut into 2,000 rows
+
+
+def test_a_search_writes_no_descriptions(spark):
+    rng = random.Random(6)
+    noise = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400_000))
+    c = spark.createDataFrame([(str(i), f"deep sea probe {i}", noise()) for i in range(6)], "project_id string, title string, description string")
+    q = spark.createDataFrame([(1, "deep sea probe 3")], "query_no long, query string")
+    root = spark.conf.get("spark.checkpoint.dir").replace("file://", "")
+    size = lambda: sum(os.path.getsize(f"{d}/{x}") for d, _, names in os.walk(root) for x in names)
+    before = size()
+    found = S.search(q, c).filter("strategy_no = 0 and pos = 0").first()
+    assert (found.project_id, len(found.description)) == ("3", 400_000)
+    assert size() - before < 400_000

@@ -2,7 +2,7 @@
 
 import os
 
-from gleaner.session import checkpoint_root, materialize
+from gleaner.session import SHUFFLE_CLEANUP_CONF, checkpoint_root, materialize
 from gleaner.sources.tables import read_table, spread
 
 
@@ -24,3 +24,12 @@ def test_spread_only_single_split_scans(spark, sf_small):
     assert spread(pages).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
     assert spread(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+
+
+def test_what_materialize_shuffled_goes_with_the_write(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    count = lambda: sum(x.startswith("shuffle_") for d in dirs for _, _, names in os.walk(d) for x in names)
+    before, setting = count(), spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    df = materialize(spark.range(2000).selectExpr("id % 700 AS k").groupBy("k").count())
+    assert count() <= before and df.count() == 700
+    assert spark.conf.get(SHUFFLE_CLEANUP_CONF, None) == setting
