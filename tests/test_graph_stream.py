@@ -110,6 +110,20 @@ def test_manifest_and_graph_sinks(spark, sf_small, tmpdir_path):
     assert report["dangling_src"] == 0 and report["dangling_dst"] == 0
 
 
+def test_records_that_no_query_matched_are_not_opened(spark, sf_small, monkeypatch):
+    from gleaner.operators import xmlrecords as X
+    from gleaner.plans.collect_plans import collected
+
+    plain, seen = X.validate, []
+    monkeypatch.setattr(X, "validate", lambda captures: seen.append(captures) or plain(captures))
+    got = collected(spark, sf_small)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS xml" in plan[:plan.index("LeftSemi")] and "AS xml" not in plan[plan.index("LeftSemi"):]
+    whole = CO.collect(fixtures.project_queries(spark, sf_small), fixtures.catalog(spark, sf_small), xml_captures(spark, sf_small), "native")
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+    assert got.filter("downloaded").count() > 0
+
+
 def test_batch_and_build_contracts(spark, sf_small, tmpdir_path):
     from datetime import datetime
 
