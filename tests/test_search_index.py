@@ -131,3 +131,23 @@ def test_a_search_writes_no_descriptions(spark):
     found = S.search(q, c).filter("strategy_no = 0 and pos = 0").first()
     assert (found.project_id, len(found.description)) == ("3", 400_000)
     assert size() - before < 400_000
+
+
+def test_phrases_are_compared_where_the_titles_lie(spark):
+    rng = random.Random(9)
+    titles = [" ".join(rng.choices("abc", k=rng.randrange(3, 12))) for _ in range(150)] + ["a b c a b c a b c", "a b", "c a"]
+    asked = sorted({" ".join(rng.choices("abc", k=n)) for n in (3, 4, 5, 6) for _ in range(12)} | {"a b c", "b c a b", "a b c d", "c c c c c c c c c"})
+    c = spark.createDataFrame([(f"{i:03d}", t, "") for i, t in enumerate(titles)], "project_id string, title string, description string")
+    q = spark.createDataFrame([(i, f'"{t}"') for i, t in enumerate(asked)], "query_no long, query string")
+    got = {}
+    for r in S.search(q, c).filter("strategy_no = 0").collect():
+        got.setdefault(r.query_no, []).append((r.pos, r.project_id))
+    for i, p in enumerate(asked):
+        k = len(set(p.split()))
+        held = sorted((-k / len(set(t.split())), len(t), f"{n:03d}") for n, t in enumerate(titles) if f" {p} " in f" {t} ")[:10]
+        assert [x for _, x in sorted(got.get(i, []))] == [n for *_, n in held]
+    index = S.build_index(c)
+    phrases = spark.createDataFrame([(1, ["a", "b", "c", "a"], 3)], "key long, seq array<string>, n int")
+    lines = S._phrase_pages(phrases, index)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    # neither the titles nor the phrases go on to another join
+    assert any("Join" in x and "md5" in x and "cid" in x for x in lines)
